@@ -19,8 +19,14 @@ from airlens.operators import scoring as S
 from airlens.operators import serving as V
 from airlens.operators import windows as W
 from airlens.plans import oracle as O
-from airlens.schemas import SERVING_COLUMNS, WINDOW_COLUMNS
+from airlens.schemas import READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
+from airlens.operators import ingest as I
+from airlens.plans.batch import run_batch
+from airlens.session import ensure_utc, scratch_dir
+from airlens.sinks.files import keyed_records
+from airlens.sources import testdata as td
 from airlens.sources.testdata import readings_from_events
+from airlens.streaming import speed as SP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +159,74 @@ def q_dangerous_reading_count(spark, sf):
     return B.dangerous_reading_counts(S.score(readings_from_events(spark, sf)))
 
 
+def _ingested(spark, sf):
+    polled = td.table(spark, sf, "events").select(F.max(F.col("ts").cast("timestamp"))).scalar()
+    return I.readings_from_latest(td.locations_from_events(spark, sf),
+                                  td.latest_from_events(spark, sf), polled_at=polled)
+
+
+def q_readings_from_latest(spark, sf):
+    return _ingested(spark, sf)
+
+
+def q_sensor_lookup(spark, sf):
+    return I.sensor_lookup(td.locations_from_events(spark, sf))
+
+
+def q_parameter_catalog(spark, sf):
+    return I.parameters(td.locations_from_events(spark, sf))
+
+
+def q_select_stations(spark, sf):
+    docs = td.locations_from_events(spark, sf)
+    stations = docs.select(F.col("id").alias("location_id"), F.col("country.code").alias("iso"))
+    return I.select_stations(stations, td.region_quotas(spark, sf), max_locations=td.REGION_CAP)
+
+
+def q_keyed_records(spark, sf):
+    keyed = keyed_records(_ingested(spark, sf))
+    return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+
+
+def q_view_roundtrip(spark, sf):
+    out = scratch_dir(spark, "batch-views")
+    hourly_back, _summary = run_batch(spark, out, readings=readings_from_events(spark, sf))
+    return ntz(hourly_back, "hour").select(*B.HOURLY_COLUMNS)
+
+
+def _run_speed(spark, sf, state_partitions: int = 8) -> str:
+    """Stream the events file through the speed layer once (availableNow)
+    and return the output folder. The static nation/region join is a
+    stream-static join; state lives under the shared checkpoint folder."""
+    ensure_utc(spark)
+    out = scratch_dir(spark, "speed")
+    schema = td.table(spark, sf, "events").schema
+    # A one-file glob: the file source needs a directory or a pattern.
+    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/[e]vents.parquet")
+    windowed = SP.windowed_stream(readings_from_events(spark, sf, events=stream))
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = SP.start(windowed, out, f"{out}/_checkpoint", available_now=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return out
+
+
+def q_windowed_aqi_stream(spark, sf):
+    hist = SP.read_history(spark, _run_speed(spark, sf))
+    return ntz(hist, "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
+def q_snapshot_roundtrip(spark, sf):
+    snap = SP.read_snapshot(spark, _run_speed(spark, sf))
+    cols = [c for c in SNAPSHOT_COLUMNS if c != "computed_at"]
+    return ntz(snap, "window_start", "window_end").select(*cols)
+
+
 QUERIES: dict[str, Query] = {
     "score_readings": q_score_readings,
     "score_with_table": q_score_with_table,
@@ -171,6 +245,14 @@ QUERIES: dict[str, Query] = {
     "map_points": q_map_points,
     "serving_counts": q_serving_counts,
     "dangerous_reading_count": q_dangerous_reading_count,
+    "readings_from_latest": q_readings_from_latest,
+    "sensor_lookup": q_sensor_lookup,
+    "parameter_catalog": q_parameter_catalog,
+    "select_stations": q_select_stations,
+    "keyed_records": q_keyed_records,
+    "view_roundtrip": q_view_roundtrip,
+    "windowed_aqi_stream": q_windowed_aqi_stream,
+    "snapshot_roundtrip": q_snapshot_roundtrip,
 }
 
 
@@ -209,6 +291,35 @@ _SERVING_SQL = (
     "round(vs_historical_avg, 6) AS vs_historical_avg")
 
 
+def _sensor_values() -> str:
+    rows = [f"({k}, {O.s(p)}, {O.s(td.SENSOR_UNITS[p])})"
+            for k, p in enumerate(td.POLLUTANT_CYCLE) if p in td.SENSOR_UNITS]
+    return ", ".join(rows)
+
+
+def _select_stations_sql() -> str:
+    quotas = " ".join(f"WHEN {i} THEN {q}" for i, q in enumerate(td.REGION_QUOTAS))
+    cap = td.REGION_CAP
+    return f"""
+    WITH st AS (
+      SELECT DISTINCT e.user_id AS location_id, r.r_name AS iso
+      FROM events e JOIN nation n ON e.user_id % {td.NATIONS} = n.n_nationkey
+      JOIN region r ON n.n_regionkey = r.r_regionkey),
+    q AS (SELECT r_regionkey AS ord, r_name AS iso, r_name AS label,
+                 CASE r_regionkey {quotas} END AS quota FROM region),
+    found AS (SELECT iso, count(*) AS found FROM st GROUP BY iso),
+    a AS (SELECT q.*, least(q.quota, coalesce(found.found, 0)) AS a
+          FROM q LEFT JOIN found ON q.iso = found.iso),
+    cum AS (SELECT *, sum(a) OVER (ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
+            FROM a),
+    takes AS (SELECT ord, iso, label, least({cap}, c) - least({cap}, c - a) AS taken FROM cum),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY iso ORDER BY location_id) AS station_rank
+               FROM st)
+    SELECT t.ord, t.iso, t.label, r.location_id, CAST(r.station_rank AS INTEGER) AS station_rank
+    FROM ranked r JOIN takes t ON r.iso = t.iso WHERE r.station_rank <= t.taken
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     top = "ORDER BY max_aqi DESC, city ASC NULLS FIRST, country ASC NULLS FIRST"
     serving = _serving_ctes()
@@ -253,4 +364,26 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {O.scored_ctes()} SELECT "
             f"CAST(count(*) FILTER (WHERE coalesce(aqi_sub_index, 0) >= {aqi.DANGEROUS_AQI}) AS BIGINT) "
             f"AS dangerous_readings, CAST(count(*) AS BIGINT) AS readings FROM scored"),
+        "readings_from_latest": (
+            f"WITH {O.scored_ctes(ingest=True)} SELECT {', '.join(READING_COLUMNS)} FROM scored"),
+        "sensor_lookup": (
+            f"SELECT CAST(u.user_id AS INTEGER) AS location_id, u.user_id * {td.SENSOR_STRIDE} + p.k AS sensor_id, "
+            f"p.pollutant, p.units FROM (SELECT DISTINCT user_id FROM events) u, "
+            f"(VALUES {_sensor_values()}) p(k, pollutant, units) "
+            f"WHERE u.user_id % {td.NATIONS} IN (SELECT n_nationkey FROM nation n "
+            f"JOIN region r ON n.n_regionkey = r.r_regionkey)"),
+        "parameter_catalog": (
+            f"SELECT DISTINCT p.pollutant, p.units FROM (SELECT DISTINCT user_id FROM events) u, "
+            f"(VALUES {_sensor_values()}) p(k, pollutant, units)"),
+        "select_stations": _select_stations_sql(),
+        "keyed_records": (
+            f"WITH {O.scored_ctes(ingest=True)} SELECT coalesce(nullif(city, ''), "
+            f"CAST(nullif(location_id, 0) AS VARCHAR), 'unknown') AS key, "
+            f"CAST(count(*) AS BIGINT) AS records FROM scored GROUP BY 1"),
+        "view_roundtrip": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
+        "windowed_aqi_stream": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
+        "snapshot_roundtrip": (
+            f"WITH {O.windowed_ctes()}, latest AS ({_LATEST}) SELECT city, country, aqi, "
+            f"dominant_pollutant, reading_count, dangerous, latitude, longitude, window_start, "
+            f"window_end FROM latest"),
     }

@@ -84,9 +84,26 @@ def _cycle_sql(ix: str, values: list[str]) -> str:
     return f"(CASE {arms} END)"
 
 
-def readings_cte() -> str:
-    """The adapter of ``airlens.sources.testdata`` in SQL (CTE body)."""
+def readings_cte(ingest: bool = False) -> str:
+    """The adapter of ``airlens.sources.testdata`` in SQL (CTE body).
+
+    ``ingest``: the readings that the ingest path builds from the derived
+    station documents: units by pollutant only, bc entries (no sensor)
+    dropped, ``ingested_at`` = newest reading time.
+    """
     pol = _cycle_sql(f"(e.event_id % {len(td.POLLUTANT_CYCLE)})", td.POLLUTANT_CYCLE)
+    units = " ".join(f"WHEN {pol} = {s(p)} THEN {s(u)}" for p, u in td.SENSOR_UNITS.items())
+    if ingest:
+        unit = f"CASE {units} END"
+        where = f"WHERE e.event_id % {len(td.POLLUTANT_CYCLE)} <> 6 AND e.value IS NOT NULL"
+        ingested = "(SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') FROM events)"
+    else:
+        unit = f"""CASE WHEN e.event_id % {td.MYSTERY_EVERY} = 0 THEN 'mystery'
+                WHEN {pol} IN ('pm25', 'pm10') THEN 'µg/m³'
+                WHEN {pol} IN ('o3', 'co') THEN 'ppm'
+                ELSE 'ppb' END"""
+        where = ""
+        ingested = "strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%fZ')"
     return f"""
     SELECT CAST(e.user_id AS INTEGER) AS location_id,
            'Station ' || CAST(e.user_id AS VARCHAR) AS location_name,
@@ -99,25 +116,24 @@ def readings_cte() -> str:
            CASE WHEN {pol} = 'o3' THEN e.value / {d(1000.0)}
                 WHEN {pol} = 'co' THEN e.value / {d(10.0)}
                 ELSE e.value END AS value,
-           CASE WHEN e.event_id % {td.MYSTERY_EVERY} = 0 THEN 'mystery'
-                WHEN {pol} IN ('pm25', 'pm10') THEN 'µg/m³'
-                WHEN {pol} IN ('o3', 'co') THEN 'ppm'
-                ELSE 'ppb' END AS unit,
+           {unit} AS unit,
            strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS datetime_utc,
+           {ingested} AS ingested_at,
            CAST(e.ts AS TIMESTAMP) AS event_time,
            e.event_id AS event_id
     FROM events e
     JOIN nation n ON e.user_id % {td.NATIONS} = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey
+    {where}
     """
 
 
-def scored_ctes() -> str:
+def scored_ctes(ingest: bool = False) -> str:
     """WITH-list entries: readings, scored (every reading, with score),
     prepared (scored only, with hour)."""
     conc = concentration_sql("p", "value", "u")
     return f"""
-    readings AS ({readings_cte()}),
+    readings AS ({readings_cte(ingest)}),
     norm AS (SELECT *, lower(pollutant) AS p, {unit_sql('unit')} AS u FROM readings),
     conc AS (SELECT *, {conc} AS c FROM norm),
     scored AS (SELECT *, {sub_index_sql('p', 'c')} AS aqi_sub_index FROM conc),

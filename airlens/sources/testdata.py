@@ -111,3 +111,66 @@ def readings_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | N
         event_time.alias("event_time"),
     )
     return out.select(*READING_COLUMNS, "event_time")
+
+
+# --- raw API documents derived from the same tables ------------------------
+
+# Sensor k of station u has id u*10+k and measures POLLUTANT_CYCLE[k]; the
+# entry of event e goes to sensor (e % 7), so bc entries (k = 6) hit no
+# sensor and drop. Sensor 7 has no parameter (dropped by the lookup).
+SENSOR_STRIDE = 10
+SENSOR_UNITS = {"pm25": "µg/m³", "pm10": "µg/m³", "o3": "ppm", "co": "ppm", "so2": "ppb", "no2": "ppb"}
+# Parameter names as the API may spell them; the lookup lower-cases them.
+SENSOR_NAMES = {"pm25": "PM25", "pm10": "PM10", "o3": "o3", "co": "co", "so2": "so2", "no2": "no2"}
+UNNAMED_SENSOR = 7
+
+
+def locations_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One station document per distinct ``user_id`` (LOCATION schema)."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    dims = cities(spark, sf_dir)
+    j = users.join(F.broadcast(dims), F.pmod(users.user_id, F.lit(NATIONS)) == dims.n_nationkey)
+    lat, lon = coordinates(F.col("user_id"), F.col("n_nationkey"))
+    base = F.col("user_id") * F.lit(SENSOR_STRIDE)
+    sensors = [
+        F.struct((base + F.lit(k)).alias("id"),
+                 F.struct(F.lit(SENSOR_NAMES[p]).alias("name"),
+                          F.lit(SENSOR_UNITS[p]).alias("units")).alias("parameter"))
+        for k, p in enumerate(POLLUTANT_CYCLE) if p in SENSOR_UNITS
+    ]
+    sensors.append(F.struct((base + F.lit(UNNAMED_SENSOR)).alias("id"),
+                            F.lit(None).cast("struct<name:string,units:string>").alias("parameter")))
+    return j.select(
+        F.col("user_id").alias("id"),
+        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("name"),
+        F.col("city").alias("locality"),
+        F.struct(F.col("country").alias("code"), F.col("country").alias("name")).alias("country"),
+        F.when(lat.isNotNull(), F.struct(lat.alias("latitude"), lon.alias("longitude"))).alias("coordinates"),
+        F.array(*sensors).alias("sensors"),
+    )
+
+
+def latest_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One latest-value entry per event (LATEST schema)."""
+    ev = table(spark, sf_dir, "events")
+    k = F.pmod(F.col("event_id"), F.lit(len(POLLUTANT_CYCLE)))
+    pollutant = pollutant_of(F.col("event_id"))
+    return ev.select(
+        F.col("user_id").alias("location_id"),
+        (F.col("user_id") * F.lit(SENSOR_STRIDE) + k).alias("sensorsId"),
+        value_of(pollutant, F.col("value")).alias("value"),
+        F.struct(iso_utc_string(F.col("ts").cast("timestamp")).alias("utc")).alias("datetime"),
+    )
+
+
+# Quotas per region for the station-selection query (regions in key order
+# play the countries of the priority list), and its global cap.
+REGION_QUOTAS = [15, 15, 20, 20, 15]
+REGION_CAP = 60
+
+
+def region_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = table(spark, sf_dir, "region")
+    quota = F.element_at(F.array(*[F.lit(q) for q in REGION_QUOTAS]), F.col("r_regionkey") + 1)
+    return region.select(F.col("r_regionkey").alias("ord"), F.col("r_name").alias("iso"),
+                         F.col("r_name").alias("label"), quota.cast("int").alias("quota"))
