@@ -25,6 +25,13 @@ def speed_snapshot(windowed: DataFrame, computed_at: Column | None = None) -> Da
     return latest.select(*SNAPSHOT_COLUMNS).orderBy(F.desc("aqi"), "city", "country")
 
 
+def snapshot_from_latest(latest: DataFrame, computed_at: Column | None = None) -> DataFrame:
+    """The 11 snapshot columns from rows that already are one window per
+    city (e.g. ``latest_windows_direct``)."""
+    stamp = computed_at if computed_at is not None else F.current_timestamp()
+    return latest.withColumn("computed_at", stamp).select(*SNAPSHOT_COLUMNS)
+
+
 def merge_views(summary: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Snapshot ⟕ summary on (city, country): the 16 serving columns.
 

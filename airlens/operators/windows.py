@@ -82,27 +82,11 @@ def windowed_aqi_bucketed(scored: DataFrame) -> DataFrame:
     buckets are expanded 12 times. Dense data (many readings per city per
     5 minutes) expands far fewer rows than the 12x-per-reading form.
     """
-    df = with_event_time(scored).filter(F.col("event_time").isNotNull())
-    us = F.unix_micros(F.col("event_time"))
-    df = df.withColumns({"_bucket": us - F.pmod(us, F.lit(_SLIDE_US)), "_sid": _coord_key()})
-    buckets = df.groupBy("_bucket", "city", "country").agg(
-        F.max(SCORE).alias("_b_aqi"),
-        F.count(SCORE).alias("_b_count"),
-        F.min("_sid").alias("_b_sid"),
-        F.min_by("latitude", "_sid").alias("_b_lat"),
-        F.min_by("longitude", "_sid").alias("_b_lon"),
-        *pollutant_max_aggs(),
-    ).filter(F.col("_b_aqi").isNotNull())
+    buckets = _bucket_aggregates(scored)
     slides = F.array(*[F.lit(i * _SLIDE_US) for i in range(_SLIDES_PER_WINDOW)])
     expanded = (buckets.withColumn("_k", F.explode(slides))
                 .withColumn("_ws", F.col("_bucket") - F.col("_k")))
-    agg = expanded.groupBy("_ws", "city", "country").agg(
-        F.max("_b_aqi").alias("aqi"),
-        F.sum("_b_count").alias("reading_count"),
-        F.min_by("_b_lat", "_b_sid").alias("latitude"),
-        F.min_by("_b_lon", "_b_sid").alias("longitude"),
-        *merge_pollutant_max_aggs(),
-    )
+    agg = _window_from_buckets(expanded, ["_ws", "city", "country"])
     start = F.timestamp_micros(F.col("_ws"))
     end = F.timestamp_micros(F.col("_ws") + F.lit(_SLIDES_PER_WINDOW * _SLIDE_US))
     return _finish(agg, start, end)
@@ -133,5 +117,84 @@ def trailing_hour(windowed: DataFrame, as_of) -> DataFrame:
     return latest_windows(windowed.filter(F.col("window_end") <= as_of))
 
 
+def _bucket_aggregates(scored: DataFrame) -> DataFrame:
+    """Per (city, country, 5-minute bucket) with a scored reading: the
+    mergeable partials of a window (per-pollutant maxima, count, smallest
+    station id and its coordinates). Map-side combined, so a hot city is
+    spread over its buckets."""
+    df = with_event_time(scored).filter(F.col("event_time").isNotNull())
+    us = F.unix_micros(F.col("event_time"))
+    df = df.withColumns({"_bucket": us - F.pmod(us, F.lit(_SLIDE_US)), "_sid": _coord_key()})
+    return df.groupBy("_bucket", "city", "country").agg(
+        F.max(SCORE).alias("_b_aqi"),
+        F.count(SCORE).alias("_b_count"),
+        F.min("_sid").alias("_b_sid"),
+        F.min_by("latitude", "_sid").alias("_b_lat"),
+        F.min_by("longitude", "_sid").alias("_b_lon"),
+        *pollutant_max_aggs(),
+    ).filter(F.col("_b_aqi").isNotNull())
+
+
+def _window_from_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    return buckets.groupBy(*keys).agg(
+        F.max("_b_aqi").alias("aqi"),
+        F.sum("_b_count").alias("reading_count"),
+        F.min_by("_b_lat", "_b_sid").alias("latitude"),
+        F.min_by("_b_lon", "_b_sid").alias("longitude"),
+        *merge_pollutant_max_aggs(),
+    )
+
+
+def latest_windows_direct(scored: DataFrame, ordered: bool = True) -> DataFrame:
+    """Same rows as ``latest_windows(windowed_aqi(scored))`` without
+    computing every window of the history.
+
+    A city's newest window starts at the 5-minute mark of its newest scored
+    reading, so it holds exactly that reading's bucket: the answer is the
+    newest bucket aggregate per city (a partial top-1 before the shuffle).
+    """
+    b = _bucket_aggregates(scored).filter(F.col("city").isNotNull() & F.col("country").isNotNull())
+    w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc())
+    newest = b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    agg = newest.select(
+        F.col("_bucket").alias("_ws"), "city", "country",
+        F.col("_b_aqi").alias("aqi"), F.col("_b_count").alias("reading_count"),
+        F.col("_b_lat").alias("latitude"), F.col("_b_lon").alias("longitude"),
+        *pollutant_max_columns())
+    start = F.timestamp_micros(F.col("_ws"))
+    end = F.timestamp_micros(F.col("_ws") + F.lit(_SLIDES_PER_WINDOW * _SLIDE_US))
+    out = _finish(agg, start, end)
+    return out.orderBy(F.desc("aqi"), "city", "country") if ordered else out
+
+
+def trailing_hour_direct(scored: DataFrame, as_of) -> DataFrame:
+    """Same rows as ``trailing_hour(windowed_aqi(scored), as_of)`` from the
+    5-minute buckets before ``as_of`` only.
+
+    With E the last 5-minute mark at or before ``as_of`` and b the city's
+    newest bucket before E, the last window that has ended is
+    ``[e - 60 min, e)`` with ``e = min(E, b + 60 min)``; it is assembled
+    from the (at most 12) buckets it covers. The per-city ends are one row
+    per city, joined back on the city keys.
+    """
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    a_us = F.unix_micros(as_of.cast("timestamp"))
+    mark = a_us - F.pmod(a_us, F.lit(_SLIDE_US))
+    b = (_bucket_aggregates(scored)
+         .filter(F.col("city").isNotNull() & F.col("country").isNotNull())
+         .filter(F.col("_bucket") < mark))
+    span = F.lit(_SLIDES_PER_WINDOW * _SLIDE_US)
+    ends = (b.groupBy("city", "country").agg(F.max("_bucket").alias("_newest"))
+            .withColumn("_we", F.least(mark, F.col("_newest") + span))
+            .select("city", "country", "_we"))
+    covered = (b.join(ends, ["city", "country"])
+               .filter((F.col("_bucket") >= F.col("_we") - span) & (F.col("_bucket") < F.col("_we"))))
+    agg = _window_from_buckets(covered, ["_we", "city", "country"])
+    start = F.timestamp_micros(F.col("_we") - span)
+    end = F.timestamp_micros(F.col("_we"))
+    return _finish(agg, start, end).orderBy(F.desc("aqi"), "city", "country")
+
+
 __all__ = ["windowed_aqi", "windowed_aqi_bucketed", "latest_windows", "trailing_hour",
+           "latest_windows_direct", "trailing_hour_direct",
            "WINDOW_COLUMNS", "pollutant_max_columns"]

@@ -68,8 +68,8 @@ def newest_reading_time(spark: SparkSession, sf: str):
 
 
 def serving(spark: SparkSession, sf: str) -> DataFrame:
-    snap = V.speed_snapshot(windowed(spark, sf, bucketed=True),
-                            computed_at=newest_reading_time(spark, sf))
+    latest = W.latest_windows_direct(prepared(spark, sf), ordered=False)
+    snap = V.snapshot_from_latest(latest, computed_at=newest_reading_time(spark, sf))
     return V.merge_views(summary(spark, sf, ordered=False), snap)
 
 
@@ -138,6 +138,16 @@ def q_trailing_hour(spark, sf):
     return ntz(out, "window_start", "window_end").select(*WINDOW_COLUMNS)
 
 
+def q_latest_windows_direct(spark, sf):
+    out = W.latest_windows_direct(prepared(spark, sf))
+    return ntz(out, "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
+def q_trailing_hour_direct(spark, sf):
+    out = W.trailing_hour_direct(prepared(spark, sf), newest_reading_time(spark, sf))
+    return ntz(out, "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
 def q_serving_view(spark, sf):
     return _serving_out(serving(spark, sf))
 
@@ -240,6 +250,8 @@ QUERIES: dict[str, Query] = {
     "windowed_aqi_bucketed": q_windowed_aqi_bucketed,
     "latest_windows": q_latest_windows,
     "trailing_hour": q_trailing_hour,
+    "latest_windows_direct": q_latest_windows_direct,
+    "trailing_hour_direct": q_trailing_hour_direct,
     "serving_view": q_serving_view,
     "dangerous_now": q_dangerous_now,
     "map_points": q_map_points,
@@ -350,6 +362,13 @@ def oracle_sql() -> dict[str, str]:
             f"WHERE window_end <= (SELECT max(event_time) FROM readings)), "
             f"latest AS ({_LATEST.replace('FROM windowed', 'FROM ended')}) "
             f"SELECT {_WINDOW_SQL} FROM latest"),
+        "latest_windows_direct": (
+            f"WITH {O.windowed_ctes()}, latest AS ({_LATEST}) SELECT {_WINDOW_SQL} FROM latest"),
+        "trailing_hour_direct": (
+            f"WITH {O.windowed_ctes()}, ended AS (SELECT * FROM windowed "
+            f"WHERE window_end <= (SELECT max(event_time) FROM readings)), "
+            f"latest AS ({_LATEST.replace('FROM windowed', 'FROM ended')}) "
+            f"SELECT {_WINDOW_SQL} FROM latest"),
         "serving_view": f"WITH {serving} SELECT {_SERVING_SQL} FROM serving",
         "dangerous_now": (
             f"WITH {serving} SELECT city, country, aqi, dominant_pollutant, reading_count, "

@@ -54,3 +54,28 @@ def test_latest_uses_partial_group_limit(spark):
     p = prepare(readings_from_events(spark, SF_SMALL))
     plan = latest_windows(windowed_aqi_bucketed(p))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def _same(a, b):
+    cols = ["window_start", "window_end", "city", "country", "aqi", "dominant_pollutant",
+            "reading_count", "dangerous", "latitude", "longitude"]
+    a, b = a.select(*cols), b.select(*cols)
+    return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_direct_latest_equals_latest_of_all_windows(spark):
+    from airlens.operators.windows import latest_windows_direct
+
+    p = prepare(readings_from_events(spark, SF_SMALL))
+    assert _same(latest_windows_direct(p), latest_windows(windowed_aqi(p)))
+
+
+def test_direct_trailing_hour_equals_filtered_windows(spark):
+    from airlens.operators.windows import trailing_hour_direct
+
+    p = prepare(readings_from_events(spark, SF_SMALL))
+    w = windowed_aqi(p)
+    for as_of in ["2024-01-03 07:12:30", "2024-01-15 00:00:00", "2024-01-31 00:00:00",
+                  "2023-12-31 00:00:00"]:
+        t = F.to_timestamp(F.lit(as_of))
+        assert _same(trailing_hour_direct(p, t), trailing_hour(w, t)), as_of
