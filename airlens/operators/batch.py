@@ -53,7 +53,7 @@ def hourly_aqi(prepared: DataFrame) -> DataFrame:
     )
     return agg.filter(F.col("aqi").isNotNull()).select(
         "city", "country", "hour",
-        dominant_of_maxes(F.col("aqi")).alias("dominant_pollutant"),
+        dominant_of_maxes("aqi").alias("dominant_pollutant"),
         "aqi", "reading_count",
         aqi.is_dangerous("aqi").alias("dangerous"),
     )

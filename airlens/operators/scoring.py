@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.functions import aqi
+from airlens.functions.cache import cached
 
 SCORE = "aqi_sub_index"
 
@@ -26,14 +27,14 @@ def score(readings: DataFrame, trust_existing: bool = False) -> DataFrame:
     Do not filter on the score before a big plan: the filter would be pushed
     below these projections and recompute the whole score.
     """
-    staged = readings.withColumns({
+    staged = readings.withColumns(cached(("score", "normalise"), lambda: {
         "_aq_p": F.lower(F.col("pollutant")),
         "_aq_u": aqi.normalize_unit("unit"),
-    })
-    staged = staged.withColumn(
-        "_aq_c", aqi.concentration("_aq_p", "value", "_aq_u", unit_is_normalized=True))
-    staged = staged.withColumn("_aq_b", aqi.band_number("_aq_p", "_aq_c"))
-    computed = aqi.sub_index_from_band("_aq_p", "_aq_c", "_aq_b")
+    }))
+    staged = staged.withColumn("_aq_c", cached(("score", "conc"), lambda: aqi.concentration(
+        "_aq_p", "value", "_aq_u", unit_is_normalized=True)))
+    staged = staged.withColumn("_aq_b", cached(("score", "band"), lambda: aqi.band_number("_aq_p", "_aq_c")))
+    computed = cached(("score", "index"), lambda: aqi.sub_index_from_band("_aq_p", "_aq_c", "_aq_b"))
     if trust_existing and SCORE in readings.columns:
         computed = F.coalesce(F.col(SCORE), computed)
     return staged.withColumn(SCORE, computed).drop("_aq_p", "_aq_u", "_aq_c", "_aq_b")
@@ -93,14 +94,17 @@ def pollutant_max_aggs(score_col: str = SCORE, pollutant_col: str = "pollutant")
     """One ``max`` per scorable pollutant. Keeps the aggregate a
     HashAggregate (a ``max_by`` on a string forces a sort aggregate) and
     gives a deterministic dominant pollutant on ties."""
-    p = F.lower(F.col(pollutant_col))
-    return [F.max(F.when(p == name, F.col(score_col))).alias(_max_name(name))
-            for name in aqi.POLLUTANTS]
+    def build():
+        p = F.lower(F.col(pollutant_col))
+        return [F.max(F.when(p == name, F.col(score_col))).alias(_max_name(name))
+                for name in aqi.POLLUTANTS]
+    return list(cached(("max_aggs", score_col, pollutant_col), build))
 
 
 def merge_pollutant_max_aggs() -> list[Column]:
     """Re-aggregate partial per-pollutant maxima (bucketed windows)."""
-    return [F.max(_max_name(name)).alias(_max_name(name)) for name in aqi.POLLUTANTS]
+    return list(cached(("merge_max_aggs",), lambda: [
+        F.max(_max_name(name)).alias(_max_name(name)) for name in aqi.POLLUTANTS]))
 
 
 def pollutant_max_columns() -> list[str]:
@@ -111,8 +115,10 @@ def worst_of_maxes() -> Column:
     return F.greatest(*[F.col(_max_name(n)) for n in aqi.POLLUTANTS])
 
 
-def dominant_of_maxes(top: Column) -> Column:
+def dominant_of_maxes(top: Column | str) -> Column:
     """First pollutant, in the fixed tie order, whose maximum equals ``top``."""
+    if isinstance(top, str):
+        return cached(("dominant", top), lambda: dominant_of_maxes(F.col(top)))
     expr = None
     for name in aqi.POLLUTANTS:
         hit = F.col(_max_name(name)) == top

@@ -38,7 +38,7 @@ def _finish(agg: DataFrame, start: Column, end: Column) -> DataFrame:
         start.alias("window_start"),
         end.alias("window_end"),
         "city", "country", "aqi",
-        dominant_of_maxes(F.col("aqi")).alias("dominant_pollutant"),
+        dominant_of_maxes("aqi").alias("dominant_pollutant"),
         "reading_count",
         aqi.is_dangerous("aqi").alias("dangerous"),
         "latitude", "longitude",

@@ -380,9 +380,9 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {serving} SELECT CAST(count(*) AS BIGINT) AS cities, "
             f"CAST(count(*) FILTER (WHERE dangerous) AS BIGINT) AS dangerous_cities FROM serving"),
         "dangerous_reading_count": (
-            f"WITH {O.scored_ctes()} SELECT "
+            f"WITH {O.scored_ctes()}, s AS MATERIALIZED (SELECT aqi_sub_index FROM scored) SELECT "
             f"CAST(count(*) FILTER (WHERE coalesce(aqi_sub_index, 0) >= {aqi.DANGEROUS_AQI}) AS BIGINT) "
-            f"AS dangerous_readings, CAST(count(*) AS BIGINT) AS readings FROM scored"),
+            f"AS dangerous_readings, CAST(count(*) AS BIGINT) AS readings FROM s"),
         "readings_from_latest": (
             f"WITH {O.scored_ctes(ingest=True)} SELECT {', '.join(READING_COLUMNS)} FROM scored"),
         "sensor_lookup": (

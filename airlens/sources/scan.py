@@ -1,0 +1,24 @@
+"""Scan-side parallelism guard."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_undersplit(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a batch scan that has fewer splits than the cluster has
+    cores (e.g. one large parquet row group), so the per-row work after it
+    (scoring, window expansion) runs on every core.
+
+    A no-op for inputs already split into at least ``min_partitions``
+    (default: the default parallelism), which is the normal case for a big
+    table of many files; those are never shuffled here.
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a client session without RDDs
+        return df
+    return df.repartition(target) if n < target else df
