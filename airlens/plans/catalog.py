@@ -22,6 +22,9 @@ from airlens.plans import oracle as O
 from airlens.schemas import READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
 from airlens.operators import ingest as I
 from airlens.plans.batch import run_batch
+from airlens.plans.serving import build_and_write_serving_view
+from airlens.sinks.files import write_readings
+from airlens.sources.files import read_readings
 from airlens.session import ensure_utc, scratch_dir
 from airlens.sinks.files import keyed_records
 from airlens.sources import testdata as td
@@ -237,6 +240,37 @@ def q_snapshot_roundtrip(spark, sf):
     return ntz(snap, "window_start", "window_end").select(*cols)
 
 
+def _landed_readings(spark, sf) -> str:
+    """Write the adapter's readings as raw JSON lines (the ingest sink) and
+    return the folder; later steps read them like the reference's raw data."""
+    raw = scratch_dir(spark, "raw")
+    write_readings(readings_from_events(spark, sf).select(*READING_COLUMNS), "local", directory=raw)
+    return raw
+
+
+def q_readings_json_roundtrip(spark, sf):
+    raw = _landed_readings(spark, sf)
+    return S.score(read_readings(spark, raw)).select(*READING_OUT)
+
+
+def q_batch_job_from_json(spark, sf):
+    raw = _landed_readings(spark, sf)
+    _hourly, summary_back = run_batch(spark, scratch_dir(spark, "batch-views"), raw_path=raw)
+    return _summary_out(summary_back)
+
+
+def q_serving_job(spark, sf):
+    """Batch views and the speed snapshot go through files; the serving job
+    merges what it loads. ``computed_at`` is the wall clock of the stream."""
+    views = scratch_dir(spark, "batch-views")
+    run_batch(spark, views, raw_path=_landed_readings(spark, sf))
+    speed_out = _run_speed(spark, sf)
+    served = build_and_write_serving_view(spark, views, speed_out, scratch_dir(spark, "serving"))
+    cols = [c for c in SERVING_COLUMNS if c != "computed_at"]
+    return ntz(round6(served, "historical_avg_aqi", "vs_historical_avg"),
+               "window_start", "window_end").select(*cols)
+
+
 QUERIES: dict[str, Query] = {
     "score_readings": q_score_readings,
     "score_with_table": q_score_with_table,
@@ -265,6 +299,9 @@ QUERIES: dict[str, Query] = {
     "view_roundtrip": q_view_roundtrip,
     "windowed_aqi_stream": q_windowed_aqi_stream,
     "snapshot_roundtrip": q_snapshot_roundtrip,
+    "readings_json_roundtrip": q_readings_json_roundtrip,
+    "batch_job_from_json": q_batch_job_from_json,
+    "serving_job": q_serving_job,
 }
 
 
@@ -405,4 +442,8 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {O.windowed_ctes()}, latest AS ({_LATEST}) SELECT city, country, aqi, "
             f"dominant_pollutant, reading_count, dangerous, latitude, longitude, window_start, "
             f"window_end FROM latest"),
+        "readings_json_roundtrip": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
+        "batch_job_from_json": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
+        "serving_job": (
+            f"WITH {serving} SELECT " + _SERVING_SQL.replace("computed_at, ", "") + " FROM serving"),
     }
