@@ -24,7 +24,7 @@ from airlens.operators import ingest as I
 from airlens.plans.batch import run_batch
 from airlens.plans.serving import build_and_write_serving_view
 from airlens.sinks.files import write_readings
-from airlens.sources.files import read_readings
+from airlens.sources.files import read_latest, read_locations, read_readings
 from airlens.session import ensure_utc, scratch_dir
 from airlens.sinks.files import keyed_records
 from airlens.sources import testdata as td
@@ -207,16 +207,21 @@ def q_view_roundtrip(spark, sf):
     return ntz(hourly_back, "hour").select(*B.HOURLY_COLUMNS)
 
 
-def _run_speed(spark, sf, state_partitions: int = 8) -> str:
-    """Stream the events file through the speed layer once (availableNow)
-    and return the output folder. The static nation/region join is a
-    stream-static join; state lives under the shared checkpoint folder."""
+def _run_speed(spark, sf, state_partitions: int = 8, raw_json: str | None = None) -> str:
+    """Run the speed layer once over everything available (availableNow)
+    and return its output folder: over the events file itself (a
+    stream-static join with nation/region), or over landed raw JSON
+    readings. State lives under the shared checkpoint folder."""
     ensure_utc(spark)
     out = scratch_dir(spark, "speed")
-    schema = td.table(spark, sf, "events").schema
-    # A one-file glob: the file source needs a directory or a pattern.
-    stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/[e]vents.parquet")
-    windowed = SP.windowed_stream(readings_from_events(spark, sf, events=stream))
+    if raw_json is None:
+        schema = td.table(spark, sf, "events").schema
+        # A one-file glob: the file source needs a directory or a pattern.
+        stream = spark.readStream.schema(schema).parquet(f"{sf.rstrip('/')}/[e]vents.parquet")
+        readings = readings_from_events(spark, sf, events=stream)
+    else:
+        readings = SP.read_stream(spark, raw_json)
+    windowed = SP.windowed_stream(readings)
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:
@@ -263,14 +268,26 @@ def q_serving_job(spark, sf):
     """Batch views and the speed snapshot go through files; the serving job
     merges what it loads. ``computed_at`` is the wall clock of the stream."""
     views = scratch_dir(spark, "batch-views")
-    run_batch(spark, views, raw_path=_landed_readings(spark, sf))
-    speed_out = _run_speed(spark, sf)
+    raw = _landed_readings(spark, sf)
+    run_batch(spark, views, raw_path=raw)
+    speed_out = _run_speed(spark, sf, raw_json=raw)
     served = build_and_write_serving_view(spark, views, speed_out, scratch_dir(spark, "serving"))
     cols = [c for c in SERVING_COLUMNS if c != "computed_at"]
     return ntz(round6(served, "historical_avg_aqi", "vs_historical_avg"),
                "window_start", "window_end").select(*cols)
 
 
+def q_ingest_from_json(spark, sf):
+    """Station documents and latest entries landed as JSON, read back with
+    their declared schemas, turned into readings."""
+    docs, entries = scratch_dir(spark, "locations"), scratch_dir(spark, "latest")
+    td.locations_from_events(spark, sf).write.mode("overwrite").json(docs)
+    td.latest_from_events(spark, sf).write.mode("overwrite").json(entries)
+    polled = td.table(spark, sf, "events").select(F.max(F.col("ts").cast("timestamp"))).scalar()
+    return I.readings_from_latest(read_locations(spark, docs), read_latest(spark, entries),
+                                  polled_at=polled)
+
+
 QUERIES: dict[str, Query] = {
     "score_readings": q_score_readings,
     "score_with_table": q_score_with_table,
@@ -302,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "readings_json_roundtrip": q_readings_json_roundtrip,
     "batch_job_from_json": q_batch_job_from_json,
     "serving_job": q_serving_job,
+    "ingest_from_json": q_ingest_from_json,
 }
 
 
@@ -446,4 +464,6 @@ def oracle_sql() -> dict[str, str]:
         "batch_job_from_json": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
         "serving_job": (
             f"WITH {serving} SELECT " + _SERVING_SQL.replace("computed_at, ", "") + " FROM serving"),
+        "ingest_from_json": (
+            f"WITH {O.scored_ctes(ingest=True)} SELECT {', '.join(READING_COLUMNS)} FROM scored"),
     }

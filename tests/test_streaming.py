@@ -99,3 +99,37 @@ def test_stream_schema_is_declared(spark, scratch):
     s = speed.read_stream(spark, raw)
     assert s.isStreaming and s.schema == READING
     assert F is not None
+
+
+def test_restart_resumes_from_checkpoint(spark, scratch):
+    raw = os.path.join(scratch, "raw")
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+    land(raw, [[reading("A", "pm25", 100.0, "ug/m3", at("10:07"))]])
+
+    def once():
+        q = speed.start(speed.windowed_stream(speed.read_stream(spark, raw)), out, ckpt,
+                        available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    once()
+    first = spark.read.parquet(os.path.join(out, "history")).select("batch_id").distinct().count()
+    path = os.path.join(raw, "late-arrival.jsonl")
+    with open(path, "w") as f:
+        f.write(json.dumps(dict(zip(READING_COLUMNS, reading("A", "pm25", 10.0, "ug/m3", at("10:20"))))) + "\n")
+    once()                                            # the old file is not read again
+    hist = spark.read.parquet(os.path.join(out, "history"))
+    assert hist.select("batch_id").distinct().count() > first
+    newest = speed.read_history(spark, out)
+    w = {r.window_start.strftime("%H:%M"): r.reading_count for r in newest.collect()}
+    assert w["10:05"] == 2 and w["09:10"] == 1 and w["10:20"] == 1
+
+
+def test_processing_time_trigger_and_bounded_run(spark, scratch):
+    raw = os.path.join(scratch, "raw")
+    land(raw, [[reading("A", "pm25", 100.0, "ug/m3", at("10:07"))]])
+    q = speed.start(speed.windowed_stream(speed.read_stream(spark, raw)),
+                    os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), trigger_seconds=1)
+    speed.run_for(q, 8)
+    assert not q.isActive
+    assert speed.read_history(spark, os.path.join(scratch, "out")).count() == 12
