@@ -151,83 +151,125 @@ def normalize_unit(unit) -> Column:
                      F.lit("g/m³"), F.lit("g/m3"))
 
 
-def truncate(x, decimals: int) -> Column:
-    """Truncate toward zero at ``decimals`` places; NaN and +-inf give NULL."""
+def truncate(x, decimals) -> Column:
+    """Truncate toward zero at ``decimals`` places (an int, or a Column
+    holding the factor ``10**decimals`` as a double); NaN and +-inf give
+    NULL."""
     x = _col(x)
-    factor = float(10 ** decimals)
+    factor = F.lit(float(10 ** decimals)) if isinstance(decimals, int) else decimals
     # least/greatest skip NULLs, so NULL must be routed around them.
     bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(math.inf))
     bounded = F.when(bad, F.lit(None).cast("double")).otherwise(
         F.greatest(F.least(x, F.lit(_VALUE_BOUND)), F.lit(-_VALUE_BOUND)))
-    return (bounded * F.lit(factor)).cast("long") / F.lit(factor)
+    return (bounded * factor).cast("long") / factor
+
+
+def _by_code(code: Column, arms: list) -> Column:
+    expr = None
+    for i, arm in enumerate(arms):
+        expr = F.when(code == i, arm) if expr is None else expr.when(code == i, arm)
+    return expr
+
+
+def pollutant_code(pollutant_lower) -> Column:
+    """0-based position of a (lower-case) pollutant in the table order, NULL
+    for a pollutant without breakpoints."""
+    p = _col(pollutant_lower)
+    expr = None
+    for i, name in enumerate(POLLUTANTS):
+        expr = F.when(p == name, F.lit(i)) if expr is None else expr.when(p == name, F.lit(i))
+    return expr
+
+
+UNIT_PPM, UNIT_PPB, UNIT_MASS = 1, 2, 3
+
+
+def unit_code(unit_normalized) -> Column:
+    u = _col(unit_normalized)
+    return (F.when(u == "ppm", F.lit(UNIT_PPM)).when(u == "ppb", F.lit(UNIT_PPB))
+            .when(u.isin(*MASS_UNITS), F.lit(UNIT_MASS)))
+
+
+def raw_concentration(code, value, ucode) -> Column:
+    """Value converted to the breakpoint unit, before truncation; NULL for
+    an unsupported pollutant/unit pair."""
+    k, v, u = _col(code), _col(value), _col(ucode)
+    arms = []
+    for name, (target, _decimals) in BREAKPOINT_UNIT.items():
+        if name in PARTICULATES:
+            arms.append(F.when(u == UNIT_MASS, v))
+            continue
+        mw = MOLECULAR_WEIGHT[name]
+        ppm = (F.when(u == UNIT_PPM, v)
+               .when(u == UNIT_PPB, v / F.lit(1000.0))
+               .when(u == UNIT_MASS, (v * F.lit(MOLAR_VOLUME_25C)) / (F.lit(mw) * F.lit(1000.0))))
+        arms.append(ppm if target == "ppm" else ppm * F.lit(1000.0))
+    return _by_code(k, arms)
+
+
+def _position(code) -> Column:
+    """1-based array position of a pollutant code. A NULL code (unknown
+    pollutant) maps to 1: every result derived from it is NULL anyway, and
+    an always-valid index keeps ANSI ``element_at`` from ever seeing 0."""
+    return F.coalesce(_col(code), F.lit(0)) + 1
+
+
+def truncation_factor(code) -> Column:
+    factors = [float(10 ** d) for _unit, d in BREAKPOINT_UNIT.values()]
+    return F.element_at(_lit_array(factors), _position(code))
 
 
 def concentration(pollutant, value, unit, unit_is_normalized: bool = False) -> Column:
     """Concentration in the breakpoint unit, truncated; NULL when the
     pollutant/unit pair is not supported. ``pollutant`` must be lower case."""
-    p, v = _col(pollutant), _col(value)
     u = _col(unit) if unit_is_normalized else normalize_unit(unit)
-    is_mass = u.isin(*MASS_UNITS)
-    expr = None
-    for name, (target, decimals) in BREAKPOINT_UNIT.items():
-        if name in PARTICULATES:
-            conc = F.when(is_mass, truncate(v, decimals))
-        else:
-            mw = MOLECULAR_WEIGHT[name]
-            ppm = (F.when(u == "ppm", v)
-                   .when(u == "ppb", v / F.lit(1000.0))
-                   .when(is_mass, (v * F.lit(MOLAR_VOLUME_25C)) / (F.lit(mw) * F.lit(1000.0))))
-            conc = truncate(ppm if target == "ppm" else ppm * F.lit(1000.0), decimals)
-        expr = (F.when(p == name, conc) if expr is None else expr.when(p == name, conc))
-    return expr
+    code = pollutant_code(pollutant)
+    return truncate(raw_concentration(code, value, unit_code(u)), truncation_factor(code))
 
 
-def band_number(pollutant, c) -> Column:
+def band_number(code, c) -> Column:
     """1-based position in the flattened band arrays of the band whose floor
-    is the largest one at or below ``c`` (``c`` >= 0)."""
-    p, c = _col(pollutant), _col(c)
-    expr = None
+    is the largest one at or below ``c`` (``c`` >= 0), for pollutant code
+    ``code``."""
+    c = _col(c)
+    arms = []
     for name, bands in BREAKPOINTS.items():
         idx = F.lit(BAND_OFFSET[name] + 1)
         for lo, _hi, _alo, _ahi in bands[1:]:
             idx = idx + (c >= F.lit(float(lo))).cast("int")
-        expr = F.when(p == name, idx) if expr is None else expr.when(p == name, idx)
-    return expr
+        arms.append(idx)
+    return _by_code(_col(code), arms)
 
 
-def _top_band_number(pollutant) -> Column:
-    p = _col(pollutant)
-    expr = None
-    for name, bands in BREAKPOINTS.items():
-        top = F.lit(BAND_OFFSET[name] + len(bands))
-        expr = F.when(p == name, top) if expr is None else expr.when(p == name, top)
-    return expr
+_TOP_BAND = [BAND_OFFSET[name] + len(bands) for name, bands in BREAKPOINTS.items()]
 
 
-def sub_index_from_band(pollutant, c, band) -> Column:
+def sub_index_from_band(code, c, band) -> Column:
     """Interpolate inside band ``band``; clamp above the top band; NULL for
     a negative or missing concentration (or one in a gap between bands)."""
-    p, c, b = _col(pollutant), _col(c), _col(band)
+    c = _col(c)
+    b = F.coalesce(_col(band), F.lit(1))      # NULL band only with a NULL concentration
     c_lo = F.element_at(_lit_array(BAND_C_LO), b)
     c_hi = F.element_at(_lit_array(BAND_C_HI), b)
     a_lo = F.element_at(_lit_array(BAND_AQI_LO), b)
     a_hi = F.element_at(_lit_array(BAND_AQI_HI), b)
+    top = F.element_at(_lit_array(_TOP_BAND), _position(code))
     interpolated = ((a_hi - a_lo) / (c_hi - c_lo)) * (c - c_lo) + a_lo
     return (F.when(c.isNull() | (c < 0), F.lit(None).cast("double"))
             .when(c <= c_hi, interpolated)
-            .when(b == _top_band_number(p), a_hi))
+            .when(b == top, a_hi))
 
 
 def sub_index(pollutant, value, unit) -> Column:
     """EPA sub-index of one reading (double), NULL when unscorable.
 
-    One self-contained column; it repeats the concentration sub-tree, so
-    for whole tables use ``airlens.operators.scoring.score``, which stages
-    the same steps as separate projections.
+    One self-contained column; it repeats sub-trees, so for whole tables
+    use ``airlens.operators.scoring.score``, which stages the same steps as
+    separate projections.
     """
-    p = F.lower(_col(pollutant))
-    c = concentration(p, value, unit)
-    return sub_index_from_band(p, c, band_number(p, c))
+    code = pollutant_code(F.lower(_col(pollutant)))
+    c = truncate(raw_concentration(code, value, unit_code(normalize_unit(unit))), truncation_factor(code))
+    return sub_index_from_band(code, c, band_number(code, c))
 
 
 def category(aqi) -> Column:

@@ -27,17 +27,19 @@ def score(readings: DataFrame, trust_existing: bool = False) -> DataFrame:
     Do not filter on the score before a big plan: the filter would be pushed
     below these projections and recompute the whole score.
     """
-    staged = readings.withColumns(cached(("score", "normalise"), lambda: {
-        "_aq_p": F.lower(F.col("pollutant")),
-        "_aq_u": aqi.normalize_unit("unit"),
+    staged = readings.withColumns(cached(("score", "codes"), lambda: {
+        "_aq_k": aqi.pollutant_code(F.lower(F.col("pollutant"))),
+        "_aq_u": aqi.unit_code(aqi.normalize_unit("unit")),
     }))
-    staged = staged.withColumn("_aq_c", cached(("score", "conc"), lambda: aqi.concentration(
-        "_aq_p", "value", "_aq_u", unit_is_normalized=True)))
-    staged = staged.withColumn("_aq_b", cached(("score", "band"), lambda: aqi.band_number("_aq_p", "_aq_c")))
-    computed = cached(("score", "index"), lambda: aqi.sub_index_from_band("_aq_p", "_aq_c", "_aq_b"))
+    staged = staged.withColumn("_aq_x", cached(("score", "raw"), lambda: aqi.raw_concentration(
+        "_aq_k", "value", "_aq_u")))
+    staged = staged.withColumn("_aq_c", cached(("score", "conc"), lambda: aqi.truncate(
+        "_aq_x", aqi.truncation_factor("_aq_k"))))
+    staged = staged.withColumn("_aq_b", cached(("score", "band"), lambda: aqi.band_number("_aq_k", "_aq_c")))
+    computed = cached(("score", "index"), lambda: aqi.sub_index_from_band("_aq_k", "_aq_c", "_aq_b"))
     if trust_existing and SCORE in readings.columns:
         computed = F.coalesce(F.col(SCORE), computed)
-    return staged.withColumn(SCORE, computed).drop("_aq_p", "_aq_u", "_aq_c", "_aq_b")
+    return staged.withColumn(SCORE, computed).drop("_aq_k", "_aq_u", "_aq_x", "_aq_c", "_aq_b")
 
 
 def scored_only(scored: DataFrame) -> DataFrame:

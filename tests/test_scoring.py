@@ -165,3 +165,21 @@ def test_overall_tie_takes_fixed_order(spark):
 @pytest.mark.parametrize("value,expected", [(35.4, 100.0), (900.0, 500.0)])
 def test_overall_rounds(spark, value, expected):
     assert groups(spark, [(1, "pm25", value, "ug/m3")])[1].aqi == expected
+
+
+def test_danger_uses_unrounded_in_views_and_rounded_in_overall(spark):
+    from airlens.operators.batch import hourly_aqi, prepare
+    from airlens.schemas import READING
+
+    row = (1, "S", "A", "IN", 1.0, 2.0, "pm25", 55.45, "ug/m3", "2026-07-02T10:00:00Z",
+           "2026-07-02T10:00:00Z", 150.6)
+    trusted = prepare(spark.createDataFrame([row], READING), rescore=False)
+    assert hourly_aqi(trusted).first().dangerous is False          # 150.6 < 151
+    overall = overall_aqi(trusted, ["city"]).first()
+    assert overall.aqi == 151 and overall.dangerous is True
+
+
+def test_several_readings_of_one_pollutant_count_by_max(spark):
+    out = groups(spark, [(1, "pm25", 10.0, "ug/m3"), (1, "pm25", 40.0, "ug/m3"), (1, "o3", 0.06, "ppm")])
+    assert out[1].dominant_pollutant == "pm25"
+    assert out[1].sub_indices["pm25"] == one(spark, "pm25", 40.0, "ug/m3")
