@@ -18,11 +18,14 @@ from airlens.schemas import READING_COLUMNS
 LOOKUP_COLUMNS = ["location_id", "sensor_id", "pollutant", "units"]
 
 
-def _named_sensors(sensors: Column) -> Column:
-    """Sensors with a parameter name, each id kept once: the last one in
-    array order wins. Done inside each document (no shuffle); documents
-    hold a handful of sensors."""
-    named = F.filter(sensors, lambda s: F.coalesce(s["parameter"]["name"], F.lit("")) != "")
+def _named(sensors: Column) -> Column:
+    return F.filter(sensors, lambda s: F.coalesce(s["parameter"]["name"], F.lit("")) != "")
+
+
+def _last_per_id(named: Column) -> Column:
+    """Each sensor id once, the last one in array order winning. Done
+    inside each document (no shuffle); documents hold a handful of
+    sensors."""
     return F.filter(
         named,
         lambda s, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda t: t["id"] == s["id"]),
@@ -32,23 +35,32 @@ def _named_sensors(sensors: Column) -> Column:
 def station_attributes(locations: DataFrame) -> DataFrame:
     """Flattened station columns: city = locality, else name, else
     'Unknown' (empty counts as missing); country code, '' without a country
-    object; coordinates; name ('' when missing)."""
-    return locations.select(
+    object; coordinates; name ('' when missing); named sensors."""
+    flat = locations.select(
         F.col("id").cast("int").alias("location_id"),
         F.coalesce(F.col("name"), F.lit("")).alias("location_name"),
         first_truthy(F.col("locality"), F.col("name"), F.lit("Unknown")).alias("city"),
         F.when(F.col("country").isNull(), F.lit("")).otherwise(F.col("country.code")).alias("country"),
         F.col("coordinates.latitude").alias("latitude"),
         F.col("coordinates.longitude").alias("longitude"),
-        _named_sensors(F.col("sensors")).alias("_sensors"),
+        _named(F.col("sensors")).alias("_named"),
     )
+    return flat.withColumn("_sensors", _last_per_id(F.col("_named"))).drop("_named")
+
+
+def _explode_sensors(stations: DataFrame, *keep: str) -> DataFrame:
+    """One row per sensor. ``explode_outer`` + a NULL filter rather than
+    ``explode``: the latter makes Catalyst infer a ``size(array) > 0``
+    filter and push the (interpreted) array functions below joins and
+    aggregates, onto every input row."""
+    return (stations.select(*keep, F.explode_outer("_sensors").alias("s"))
+            .filter(F.col("s").isNotNull()))
 
 
 def sensor_lookup(locations: DataFrame) -> DataFrame:
     """(location_id, sensor_id, pollutant, units): named sensors only,
     pollutant lower-cased, the last duplicate id winning."""
-    return (station_attributes(locations)
-            .select("location_id", F.explode("_sensors").alias("s"))
+    return (_explode_sensors(station_attributes(locations), "location_id")
             .select("location_id",
                     F.col("s.id").alias("sensor_id"),
                     F.lower(F.col("s.parameter.name")).alias("pollutant"),
@@ -69,9 +81,8 @@ def readings_from_latest(locations: DataFrame, latest: DataFrame,
     """
     polled = iso_utc_string(polled_at if polled_at is not None else F.current_timestamp())
     stations = station_attributes(locations)
-    sensors = stations.select(
-        "location_id", "location_name", "city", "country", "latitude", "longitude",
-        F.explode("_sensors").alias("s"),
+    sensors = _explode_sensors(
+        stations, "location_id", "location_name", "city", "country", "latitude", "longitude",
     ).select(
         "*",
         F.col("s.id").alias("sensor_id"),
