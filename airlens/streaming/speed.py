@@ -36,6 +36,28 @@ def read_stream(spark: SparkSession, path: str, fmt: str = "json", schema: Struc
     return reader.load(path)
 
 
+def parse_keyed_readings(records: DataFrame, schema: StructType = READING) -> DataFrame:
+    """Readings from keyed records (a Kafka-style source: ``value`` holds
+    one JSON reading, as written by ``airlens.sinks.files.keyed_records``).
+    A malformed value gives an all-NULL reading, as the file scan does."""
+    value = F.col("value").cast("string")
+    return records.select(F.from_json(value, schema).alias("r")).select("r.*")
+
+
+def read_kafka_readings(spark: SparkSession, bootstrap_servers: str, topic: str,
+                        max_offsets_per_trigger: int | None = None, **options) -> DataFrame:
+    """Streaming readings from a Kafka topic (needs the Kafka connector on
+    the classpath)."""
+    reader = (spark.readStream.format("kafka")
+              .option("kafka.bootstrap.servers", bootstrap_servers)
+              .option("subscribe", topic))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", int(max_offsets_per_trigger))
+    for k, v in options.items():
+        reader = reader.option(k, v)
+    return parse_keyed_readings(reader.load())
+
+
 def windowed_stream(raw_stream: DataFrame, rescore: bool = True,
                     watermark: str = WATERMARK) -> DataFrame:
     """Windowed AQI per city over a stream of readings. ``rescore=False``

@@ -133,3 +133,17 @@ def test_processing_time_trigger_and_bounded_run(spark, scratch):
     speed.run_for(q, 8)
     assert not q.isActive
     assert speed.read_history(spark, os.path.join(scratch, "out")).count() == 12
+
+
+def test_keyed_records_parse_back_to_readings(spark):
+    from airlens.sinks.files import keyed_records
+
+    rows = [reading("A", "pm25", 100.0, "ug/m3", at("10:07")), reading("", "o3", 0.05, "ppm", at("10:08"))]
+    df = readings_df(spark, rows)
+    keyed = keyed_records(df)
+    assert [r.key for r in keyed.collect()] == ["A", "1"]
+    back = speed.parse_keyed_readings(keyed)
+    assert back.schema == READING
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+    junk = spark.createDataFrame([("k", "{oops")], "key string, value string")
+    assert speed.parse_keyed_readings(junk).first().city is None
