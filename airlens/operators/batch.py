@@ -11,6 +11,8 @@ from airlens.functions.common import parse_iso_timestamp
 from airlens.operators.scoring import (
     SCORE,
     dominant_of_maxes,
+    dominant_with_other,
+    other_pollutant_aggs,
     pollutant_max_aggs,
     score,
 )
@@ -41,19 +43,26 @@ def prepare(readings: DataFrame, rescore: bool = True, trust_existing: bool = Fa
     return df.withColumn("hour", F.date_trunc("hour", F.col("event_time")))
 
 
-def hourly_aqi(prepared: DataFrame) -> DataFrame:
+def hourly_aqi(prepared: DataFrame, other_pollutants: bool = False) -> DataFrame:
     """Per (city, country, hour): worst sub-index, its pollutant (ties in
     the order pm25, pm10, o3, co, so2, no2), count of scored readings and
     the danger flag on the unrounded value. A NULL hour (unparseable time)
-    is a group of its own; groups with no scored reading give no row."""
+    is a group of its own; groups with no scored reading give no row.
+
+    ``other_pollutants``: also report a pollutant without breakpoints as
+    dominant when its (trusted, stored) score is the worst.
+    """
+    extra = other_pollutant_aggs() if other_pollutants else []
     agg = prepared.groupBy("city", "country", "hour").agg(
         F.max(SCORE).alias("aqi"),
         F.count(SCORE).alias("reading_count"),
         *pollutant_max_aggs(),
+        *extra,
     )
+    dominant = dominant_with_other("aqi") if other_pollutants else dominant_of_maxes("aqi")
     return agg.filter(F.col("aqi").isNotNull()).select(
         "city", "country", "hour",
-        dominant_of_maxes("aqi").alias("dominant_pollutant"),
+        dominant.alias("dominant_pollutant"),
         "aqi", "reading_count",
         aqi.is_dangerous("aqi").alias("dangerous"),
     )

@@ -128,6 +128,23 @@ def dominant_of_maxes(top: Column | str) -> Column:
     return expr
 
 
+def other_pollutant_aggs(score_col: str = SCORE, pollutant_col: str = "pollutant") -> list[Column]:
+    """Worst score among pollutants without breakpoints and its name. Only
+    trusted stored scores can give such a score; the ``max_by`` on a string
+    makes the aggregate sort-based, so it is opt-in."""
+    other = aqi.pollutant_code(F.lower(F.col(pollutant_col))).isNull()
+    s = F.when(other, F.col(score_col))
+    return [F.max(s).alias("_max_other"),
+            F.max_by(F.when(other, F.col(pollutant_col)), s).alias("_other_name")]
+
+
+def dominant_with_other(top: str) -> Column:
+    """The fixed-order dominant pollutant, else the other pollutant whose
+    score is the maximum."""
+    return F.coalesce(dominant_of_maxes(top),
+                      F.when(F.col("_max_other") == F.col(top), F.col("_other_name")))
+
+
 def sub_index_map() -> Column:
     m = F.map_from_arrays(F.array(*[F.lit(n) for n in aqi.POLLUTANTS]),
                           F.array(*[F.col(_max_name(n)) for n in aqi.POLLUTANTS]))

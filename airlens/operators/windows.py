@@ -11,6 +11,8 @@ from airlens.operators.batch import with_event_time
 from airlens.operators.scoring import (
     SCORE,
     dominant_of_maxes,
+    dominant_with_other,
+    other_pollutant_aggs,
     merge_pollutant_max_aggs,
     pollutant_max_aggs,
     pollutant_max_columns,
@@ -33,19 +35,21 @@ def _coord_key() -> Column:
     return F.when(ok, F.col("location_id"))
 
 
-def _finish(agg: DataFrame, start: Column, end: Column) -> DataFrame:
+def _finish(agg: DataFrame, start: Column, end: Column, other: bool = False) -> DataFrame:
+    dominant = dominant_with_other("aqi") if other else dominant_of_maxes("aqi")
     return agg.filter(F.col("aqi").isNotNull()).select(
         start.alias("window_start"),
         end.alias("window_end"),
         "city", "country", "aqi",
-        dominant_of_maxes("aqi").alias("dominant_pollutant"),
+        dominant.alias("dominant_pollutant"),
         "reading_count",
         aqi.is_dangerous("aqi").alias("dangerous"),
         "latitude", "longitude",
     )
 
 
-def windowed_aqi(scored: DataFrame, watermark: str | None = None) -> DataFrame:
+def windowed_aqi(scored: DataFrame, watermark: str | None = None,
+                 other_pollutants: bool = False) -> DataFrame:
     """60-minute windows sliding by 5 minutes (12 per reading), per
     (window, city, country): worst sub-index, dominant pollutant, count of
     scored readings, danger flag, one station's coordinates.
@@ -54,7 +58,8 @@ def windowed_aqi(scored: DataFrame, watermark: str | None = None) -> DataFrame:
     ``watermark`` for a stream. In a stream an unscored reading gets a NULL
     event time, so it neither feeds a window nor moves the watermark (the
     predicate on the event time stays above the watermark node, so the
-    score is not recomputed by a pushed-down filter).
+    score is not recomputed by a pushed-down filter). ``other_pollutants``
+    as in :func:`airlens.operators.batch.hourly_aqi`.
     """
     df = with_event_time(scored)
     if watermark:
@@ -70,8 +75,9 @@ def windowed_aqi(scored: DataFrame, watermark: str | None = None) -> DataFrame:
         F.min_by("latitude", "_sid").alias("latitude"),
         F.min_by("longitude", "_sid").alias("longitude"),
         *pollutant_max_aggs(),
+        *(other_pollutant_aggs() if other_pollutants else []),
     )
-    return _finish(agg, F.col("window.start"), F.col("window.end"))
+    return _finish(agg, F.col("window.start"), F.col("window.end"), other=other_pollutants)
 
 
 def windowed_aqi_bucketed(scored: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def run_batch(spark: SparkSession, out_path: str, raw_path: str | None = None,
     ensure_utc(spark)
     if readings is None:
         readings = read_readings(spark, raw_path)
-    hourly = hourly_aqi(prepare(readings, rescore=rescore))
+    hourly = hourly_aqi(prepare(readings, rescore=rescore), other_pollutants=not rescore)
     write_hourly_view(hourly, out_path)
     hourly_back = read_hourly_view(spark, out_path)
     write_summary_view(city_summary(hourly_back), out_path)

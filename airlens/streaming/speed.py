@@ -61,8 +61,10 @@ def read_kafka_readings(spark: SparkSession, bootstrap_servers: str, topic: str,
 def windowed_stream(raw_stream: DataFrame, rescore: bool = True,
                     watermark: str = WATERMARK) -> DataFrame:
     """Windowed AQI per city over a stream of readings. ``rescore=False``
-    trusts the score stored with each reading."""
-    return windowed_aqi(prepare(raw_stream, rescore=rescore), watermark=watermark)
+    trusts the score stored with each reading (then a pollutant without
+    breakpoints can be the dominant one, too)."""
+    return windowed_aqi(prepare(raw_stream, rescore=rescore), watermark=watermark,
+                        other_pollutants=not rescore)
 
 
 def make_batch_writer(out_dir: str, snapshot_mode: str = "batch"):

@@ -95,3 +95,15 @@ def test_trusted_scores_are_kept(spark):
             reading("A", "pm25", 1.0, "ug/m3", "2026-07-02T10:00:00Z", score=77.0)]
     p = prepare(readings_df(spark, rows), rescore=False)
     assert p.agg(F.max("aqi_sub_index")).first()[0] == 77.0
+
+
+def test_trusted_score_of_other_pollutant_can_dominate(spark):
+    rows = [reading("A", "radon", 1.0, "x", "2026-07-02T10:00:00Z", score=90.0),
+            reading("A", "pm25", 1.0, "ug/m3", "2026-07-02T10:10:00Z", score=40.0),
+            reading("B", "radon", 1.0, "x", "2026-07-02T10:00:00Z", score=40.0),
+            reading("B", "o3", 1.0, "ppm", "2026-07-02T10:10:00Z", score=40.0)]
+    p = prepare(readings_df(spark, rows), rescore=False)
+    got = {r.city: r.dominant_pollutant for r in hourly_aqi(p, other_pollutants=True).collect()}
+    assert got == {"A": "radon", "B": "o3"}                 # a known pollutant wins a tie
+    plain = {r.city: r.dominant_pollutant for r in hourly_aqi(p).collect()}
+    assert plain == {"A": None, "B": "o3"}
