@@ -160,6 +160,10 @@ def q_dangerous_now(spark, sf):
     return ntz(round6(out, "historical_avg_aqi"), "window_end")
 
 
+def q_console_dangerous(spark, sf):
+    return V.console_rows(V.dangerous_now(serving(spark, sf)))
+
+
 def q_map_points(spark, sf):
     return V.map_points(V.dangerous_now(serving(spark, sf)))
 
@@ -306,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "serving_view": q_serving_view,
     "dangerous_now": q_dangerous_now,
     "map_points": q_map_points,
+    "console_dangerous": q_console_dangerous,
     "serving_counts": q_serving_counts,
     "dangerous_reading_count": q_dangerous_reading_count,
     "readings_from_latest": q_readings_from_latest,
@@ -431,6 +436,7 @@ def oracle_sql() -> dict[str, str]:
         "map_points": (
             f"WITH {serving} SELECT latitude AS lat, longitude AS lon FROM serving "
             f"WHERE dangerous AND latitude IS NOT NULL AND longitude IS NOT NULL"),
+        "console_dangerous": f"WITH {serving} SELECT city, country, aqi, dominant_pollutant FROM serving WHERE dangerous",
         "serving_counts": (
             f"WITH {serving} SELECT CAST(count(*) AS BIGINT) AS cities, "
             f"CAST(count(*) FILTER (WHERE dangerous) AS BIGINT) AS dangerous_cities FROM serving"),
