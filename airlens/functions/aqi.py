@@ -164,59 +164,61 @@ def truncate(x, decimals) -> Column:
     return (bounded * factor).cast("long") / factor
 
 
-def _by_code(code: Column, arms: list) -> Column:
-    expr = None
-    for i, arm in enumerate(arms):
-        expr = F.when(code == i, arm) if expr is None else expr.when(code == i, arm)
-    return expr
+# Per-pollutant constants as arrays indexed by the pollutant code (table
+# order), so that the per-row code is array reads and arithmetic instead of
+# CASE chains. Small generated code matters: the scoring is fused with the
+# scan and the partial aggregate into one generated method, and HotSpot does
+# not JIT-compile methods above 8,000 bytes of bytecode.
+_MAX_BANDS = max(len(b) for b in BREAKPOINTS.values())
+_IS_PARTICULATE = [p in PARTICULATES for p in POLLUTANTS]
+_MOLECULAR_WEIGHT = [MOLECULAR_WEIGHT.get(p) for p in POLLUTANTS]
+_TARGET_MULTIPLIER = [1.0 if BREAKPOINT_UNIT[p][0] == "ppm" else 1000.0 for p in POLLUTANTS]
+_TRUNCATION_FACTOR = [float(10 ** BREAKPOINT_UNIT[p][1]) for p in POLLUTANTS]
+_FIRST_BAND = [BAND_OFFSET[p] for p in POLLUTANTS]
+_TOP_BAND = [BAND_OFFSET[p] + len(BREAKPOINTS[p]) - 1 for p in POLLUTANTS]
+# _FLOOR[k][code]: floor of band k (0-based) of a pollutant, +inf past its last band.
+_FLOOR = [[float(BREAKPOINTS[p][k][0]) if k < len(BREAKPOINTS[p]) else math.inf for p in POLLUTANTS]
+          for k in range(_MAX_BANDS)]
+_UNITS = ["ppm", "ppb", *MASS_UNITS]
+
+
+def _get(values, index) -> Column:
+    """0-based read of a literal array; NULL for a NULL index."""
+    return F.get(_lit_array(values), _col(index))
 
 
 def pollutant_code(pollutant_lower) -> Column:
     """0-based position of a (lower-case) pollutant in the table order, NULL
     for a pollutant without breakpoints."""
-    p = _col(pollutant_lower)
-    expr = None
-    for i, name in enumerate(POLLUTANTS):
-        expr = F.when(p == name, F.lit(i)) if expr is None else expr.when(p == name, F.lit(i))
-    return expr
+    pos = F.array_position(_lit_array(POLLUTANTS), _col(pollutant_lower))
+    return F.when(pos > 0, (pos - 1).cast("int"))
 
 
 UNIT_PPM, UNIT_PPB, UNIT_MASS = 1, 2, 3
 
 
 def unit_code(unit_normalized) -> Column:
-    u = _col(unit_normalized)
-    return (F.when(u == "ppm", F.lit(UNIT_PPM)).when(u == "ppb", F.lit(UNIT_PPB))
-            .when(u.isin(*MASS_UNITS), F.lit(UNIT_MASS)))
+    """1 = ppm, 2 = ppb, 3 = mass concentration, NULL otherwise."""
+    pos = F.array_position(_lit_array(_UNITS), _col(unit_normalized))
+    return F.when(pos > 0, F.least(pos, F.lit(UNIT_MASS)).cast("int"))
 
 
 def raw_concentration(code, value, ucode) -> Column:
     """Value converted to the breakpoint unit, before truncation; NULL for
-    an unsupported pollutant/unit pair."""
+    an unsupported pollutant/unit pair. Same operations, in the same order,
+    as the per-reading rule: ppm = v | v / 1000 | (v * 24.45) / (mw * 1000),
+    then * 1000 for the ppb tables (* 1.0, an identity, for ppm tables)."""
     k, v, u = _col(code), _col(value), _col(ucode)
-    arms = []
-    for name, (target, _decimals) in BREAKPOINT_UNIT.items():
-        if name in PARTICULATES:
-            arms.append(F.when(u == UNIT_MASS, v))
-            continue
-        mw = MOLECULAR_WEIGHT[name]
-        ppm = (F.when(u == UNIT_PPM, v)
-               .when(u == UNIT_PPB, v / F.lit(1000.0))
-               .when(u == UNIT_MASS, (v * F.lit(MOLAR_VOLUME_25C)) / (F.lit(mw) * F.lit(1000.0))))
-        arms.append(ppm if target == "ppm" else ppm * F.lit(1000.0))
-    return _by_code(k, arms)
-
-
-def _position(code) -> Column:
-    """1-based array position of a pollutant code. A NULL code (unknown
-    pollutant) maps to 1: every result derived from it is NULL anyway, and
-    an always-valid index keeps ANSI ``element_at`` from ever seeing 0."""
-    return F.coalesce(_col(code), F.lit(0)) + 1
+    ppm = (F.when(u == UNIT_PPM, v)
+           .when(u == UNIT_PPB, v / F.lit(1000.0))
+           .when(u == UNIT_MASS,
+                 (v * F.lit(MOLAR_VOLUME_25C)) / (_get(_MOLECULAR_WEIGHT, k) * F.lit(1000.0))))
+    gas = ppm * _get(_TARGET_MULTIPLIER, k)
+    return F.when(_get(_IS_PARTICULATE, k), F.when(u == UNIT_MASS, v)).otherwise(gas)
 
 
 def truncation_factor(code) -> Column:
-    factors = [float(10 ** d) for _unit, d in BREAKPOINT_UNIT.values()]
-    return F.element_at(_lit_array(factors), _position(code))
+    return _get(_TRUNCATION_FACTOR, code)
 
 
 def concentration(pollutant, value, unit, unit_is_normalized: bool = False) -> Column:
@@ -228,36 +230,26 @@ def concentration(pollutant, value, unit, unit_is_normalized: bool = False) -> C
 
 
 def band_number(code, c) -> Column:
-    """1-based position in the flattened band arrays of the band whose floor
+    """0-based position in the flattened band arrays of the band whose floor
     is the largest one at or below ``c`` (``c`` >= 0), for pollutant code
     ``code``."""
-    c = _col(c)
-    arms = []
-    for name, bands in BREAKPOINTS.items():
-        idx = F.lit(BAND_OFFSET[name] + 1)
-        for lo, _hi, _alo, _ahi in bands[1:]:
-            idx = idx + (c >= F.lit(float(lo))).cast("int")
-        arms.append(idx)
-    return _by_code(_col(code), arms)
-
-
-_TOP_BAND = [BAND_OFFSET[name] + len(bands) for name, bands in BREAKPOINTS.items()]
+    c, k = _col(c), _col(code)
+    idx = _get(_FIRST_BAND, k)
+    for floors in _FLOOR[1:]:
+        idx = idx + (c >= _get(floors, k)).cast("int")
+    return idx
 
 
 def sub_index_from_band(code, c, band) -> Column:
     """Interpolate inside band ``band``; clamp above the top band; NULL for
     a negative or missing concentration (or one in a gap between bands)."""
-    c = _col(c)
-    b = F.coalesce(_col(band), F.lit(1))      # NULL band only with a NULL concentration
-    c_lo = F.element_at(_lit_array(BAND_C_LO), b)
-    c_hi = F.element_at(_lit_array(BAND_C_HI), b)
-    a_lo = F.element_at(_lit_array(BAND_AQI_LO), b)
-    a_hi = F.element_at(_lit_array(BAND_AQI_HI), b)
-    top = F.element_at(_lit_array(_TOP_BAND), _position(code))
+    c, b = _col(c), _col(band)
+    c_lo, c_hi = _get(BAND_C_LO, b), _get(BAND_C_HI, b)
+    a_lo, a_hi = _get(BAND_AQI_LO, b), _get(BAND_AQI_HI, b)
     interpolated = ((a_hi - a_lo) / (c_hi - c_lo)) * (c - c_lo) + a_lo
     return (F.when(c.isNull() | (c < 0), F.lit(None).cast("double"))
             .when(c <= c_hi, interpolated)
-            .when(b == top, a_hi))
+            .when(b == _get(_TOP_BAND, code), a_hi))
 
 
 def sub_index(pollutant, value, unit) -> Column:
