@@ -12,11 +12,15 @@ UTC = "UTC"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "airlens") -> SparkSession:
-    """A session for scripts and tests: UTC clock, AQE on, UI off."""
+                  app_name: str = "airlens", driver_memory: str | None = "8g") -> SparkSession:
+    """A session for scripts and tests: UTC clock, AQE on, UI off. In local
+    mode the driver heap is the only heap, so size it (applies only when
+    this call starts the JVM)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = (
         builder.config("spark.sql.session.timeZone", UTC)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
