@@ -9,7 +9,6 @@ from airlens.functions.aqi import (  # noqa: F401
     concentration,
     is_dangerous,
     normalize_unit,
-    pollutant_rank,
     round_half_even,
     sub_index,
     truncate,

@@ -280,13 +280,3 @@ def is_dangerous(aqi) -> Column:
 
 def round_half_even(x) -> Column:
     return F.bround(_col(x), 0)
-
-
-def pollutant_rank(pollutant) -> Column:
-    """0-based position in the tie order pm25, pm10, o3, co, so2, no2;
-    other names rank after them."""
-    p = F.lower(_col(pollutant))
-    expr = None
-    for i, name in enumerate(POLLUTANTS):
-        expr = F.when(p == name, F.lit(i)) if expr is None else expr.when(p == name, F.lit(i))
-    return expr.otherwise(F.lit(len(POLLUTANTS)))

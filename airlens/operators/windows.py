@@ -202,5 +202,4 @@ def trailing_hour_direct(scored: DataFrame, as_of) -> DataFrame:
 
 
 __all__ = ["windowed_aqi", "windowed_aqi_bucketed", "latest_windows", "trailing_hour",
-           "latest_windows_direct", "trailing_hour_direct",
-           "WINDOW_COLUMNS", "pollutant_max_columns"]
+           "latest_windows_direct", "trailing_hour_direct", "WINDOW_COLUMNS"]

@@ -108,13 +108,22 @@ def make_batch_writer(out_dir: str, snapshot_mode: str = "batch"):
     return write_batch
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def start(windowed: DataFrame, out_dir: str, checkpoint_location: str,
           trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, available_now: bool = False,
-          snapshot_mode: str = "batch", query_name: str | None = None) -> StreamingQuery:
+          snapshot_mode: str = "batch", query_name: str | None = None,
+          rocksdb_state: bool = False) -> StreamingQuery:
     """Start the update-mode query. ``available_now`` processes what is
     there and stops; otherwise a processing-time trigger fires every
     ``trigger_seconds``. The checkpoint makes a restart resume where it
-    stopped (and fixes the number of state partitions)."""
+    stopped (and fixes the number of state partitions: the session's
+    ``spark.sql.shuffle.partitions`` at the first start). ``rocksdb_state``
+    keeps window state in RocksDB on local disk instead of the JVM heap,
+    for many cities; it must be chosen before the first start."""
+    if rocksdb_state:
+        windowed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     writer = (windowed.writeStream.outputMode("update")
               .foreachBatch(make_batch_writer(out_dir, snapshot_mode))
               .option("checkpointLocation", checkpoint_location))

@@ -147,3 +147,18 @@ def test_keyed_records_parse_back_to_readings(spark):
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
     junk = spark.createDataFrame([("k", "{oops")], "key string, value string")
     assert speed.parse_keyed_readings(junk).first().city is None
+
+
+def test_rocksdb_state_store(spark, scratch):
+    raw = os.path.join(scratch, "raw")
+    land(raw, [[reading("A", "pm25", 100.0, "ug/m3", at("10:07"))]])
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    try:
+        q = speed.start(speed.windowed_stream(speed.read_stream(spark, raw)), os.path.join(scratch, "out"),
+                        os.path.join(scratch, "ckpt"), available_now=True, rocksdb_state=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    finally:
+        spark.conf.set(key, before)
+    assert speed.read_history(spark, os.path.join(scratch, "out")).count() == 12
