@@ -16,6 +16,7 @@ from airlens.operators.batch import prepare
 from airlens.operators.serving import speed_snapshot
 from airlens.operators.windows import WATERMARK, latest_windows, windowed_aqi
 from airlens.schemas import READING, SNAPSHOT_COLUMNS
+from airlens.session import checkpoint_root
 from airlens.sources.files import path_exists
 
 log = logging.getLogger(__name__)
@@ -92,6 +93,7 @@ def make_batch_writer(out_dir: str, snapshot_mode: str = "batch"):
             snap = speed_snapshot(df)
             snap_path = f"{root}/snapshot"
             if snapshot_mode == "merge" and path_exists(spark, snap_path):
+                checkpoint_root(spark)          # the shared folder checkpoint() writes to
                 prev = spark.read.schema(snap.schema).json(snap_path)
                 both = snap.unionByName(prev)
                 snap = latest_windows(both).select(*SNAPSHOT_COLUMNS)
