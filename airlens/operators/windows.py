@@ -175,29 +175,35 @@ def latest_windows_direct(scored: DataFrame, ordered: bool = True) -> DataFrame:
 
 def trailing_hour_direct(scored: DataFrame, as_of) -> DataFrame:
     """Same rows as ``trailing_hour(windowed_aqi(scored), as_of)`` from the
-    5-minute buckets before ``as_of`` only.
-
-    With E the last 5-minute mark at or before ``as_of`` and b the city's
-    newest bucket before E, the last window that has ended is
-    ``[e - 60 min, e)`` with ``e = min(E, b + 60 min)``; it is assembled
-    from the (at most 12) buckets it covers. The per-city ends are one row
-    per city, joined back on the city keys.
+    5-minute buckets before ``as_of`` only, without a join.
+
+    With E the last 5-minute mark at or before ``as_of``: a city with a
+    bucket in ``[E - 60 min, E)`` gets exactly that hour (an aggregate over
+    those buckets); any other city's last ended window starts at its newest
+    bucket before E and holds only that bucket (a partial top-1 per city).
+    Both parts are keyed by city and pre-aggregated before their shuffles,
+    so a city holding most of the data does not land in one task.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     a_us = F.unix_micros(as_of.cast("timestamp"))
     mark = a_us - F.pmod(a_us, F.lit(_SLIDE_US))
+    span = F.lit(_SLIDES_PER_WINDOW * _SLIDE_US)
     b = (_bucket_aggregates(scored)
          .filter(F.col("city").isNotNull() & F.col("country").isNotNull())
          .filter(F.col("_bucket") < mark))
-    span = F.lit(_SLIDES_PER_WINDOW * _SLIDE_US)
-    ends = (b.groupBy("city", "country").agg(F.max("_bucket").alias("_newest"))
-            .withColumn("_we", F.least(mark, F.col("_newest") + span))
-            .select("city", "country", "_we"))
-    covered = (b.join(ends, ["city", "country"])
-               .filter((F.col("_bucket") >= F.col("_we") - span) & (F.col("_bucket") < F.col("_we"))))
-    agg = _window_from_buckets(covered, ["_we", "city", "country"])
-    start = F.timestamp_micros(F.col("_we") - span)
-    end = F.timestamp_micros(F.col("_we"))
+    recent = _window_from_buckets(
+        b.filter(F.col("_bucket") >= mark - span).withColumn("_ws", mark - span),
+        ["_ws", "city", "country"])
+    w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc())
+    older = (b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+             .filter(F.col("_bucket") < mark - span)
+             .select(F.col("_bucket").alias("_ws"), "city", "country",
+                     F.col("_b_aqi").alias("aqi"), F.col("_b_count").alias("reading_count"),
+                     F.col("_b_lat").alias("latitude"), F.col("_b_lon").alias("longitude"),
+                     *pollutant_max_columns()))
+    agg = recent.unionByName(older)
+    start = F.timestamp_micros(F.col("_ws"))
+    end = F.timestamp_micros(F.col("_ws") + span)
     return _finish(agg, start, end).orderBy(F.desc("aqi"), "city", "country")
 
 
