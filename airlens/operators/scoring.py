@@ -43,7 +43,11 @@ def score(readings: DataFrame, trust_existing: bool = False) -> DataFrame:
 
 
 def scored_only(scored: DataFrame) -> DataFrame:
-    """Rows with a score (for row-level consumers, after the heavy plan)."""
+    """Rows with a score, for row-level consumers. Catalyst pushes this
+    filter below the scoring projections, so the score is computed twice
+    (and a very long plan can exceed the 64 KB codegen limit and fall back
+    to interpreted execution): aggregate instead, since every aggregate
+    here ignores NULL scores, or filter a written or checkpointed table."""
     return scored.filter(F.col(SCORE).isNotNull())
 
 

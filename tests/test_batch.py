@@ -107,3 +107,41 @@ def test_trusted_score_of_other_pollutant_can_dominate(spark):
     assert got == {"A": "radon", "B": "o3"}                 # a known pollutant wins a tie
     plain = {r.city: r.dominant_pollutant for r in hourly_aqi(p).collect()}
     assert plain == {"A": None, "B": "o3"}
+
+
+def test_country_filter_prunes_view_partitions(spark, scratch):
+    from airlens.sources.files import read_hourly_view
+
+    rows = [reading("A", "pm25", 20.0, "ug/m3", "2026-07-02T10:00:00Z", country=""),
+            reading("B", "pm25", 80.0, "ug/m3", "2026-07-02T10:00:00Z", country="IN")]
+    run_batch(spark, scratch, readings=readings_df(spark, rows))
+    view = read_hourly_view(spark, scratch)
+    for value, city in [("IN", "B"), ("", "A")]:
+        df = view.filter(F.col("country") == value)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "country" in plan.split("PartitionFilters: [", 1)[1][:200]
+        assert [r.city for r in df.collect()] == [city]
+
+
+def test_hot_city_results_match_a_plain_computation(spark):
+    """One city with most of the rows: the same answers as pandas on the
+    collected input (small fixture, brute force)."""
+    import pandas as pd
+
+    from airlens.sources.testdata import readings_from_events
+    from conftest import SF_SMALL
+
+    r = readings_from_events(spark, SF_SMALL)
+    is_hot = F.col("location_id") % 3 != 0
+    hot = (r.withColumn("city", F.when(is_hot, F.lit("HOT")).otherwise(F.col("city")))
+           .withColumn("country", F.when(is_hot, F.lit("HOTLAND")).otherwise(F.col("country"))))
+    got = {(x.city, x.country, x.hour): (x.aqi, x.reading_count)
+           for x in hourly_aqi(prepare(hot)).collect()}
+    pdf = (prepare(hot).select("city", "country", "hour", "aqi_sub_index").toPandas()
+           .dropna(subset=["aqi_sub_index"]))
+    want = pdf.groupby(["city", "country", "hour"], dropna=False)["aqi_sub_index"].agg(["max", "count"])
+    assert len(got) == len(want)
+    for (city, country, hour), row in want.iterrows():
+        key = (city, country, pd.Timestamp(hour).to_pydatetime())
+        assert got[key] == (row["max"], row["count"])
+    assert sum(c for (city, _, _), (_, c) in got.items() if city == "HOT") > 0.6 * sum(c for _, c in got.values())

@@ -24,8 +24,9 @@ NOTES = {
                              "Generate x12 over buckets only, then the window aggregate.",
     "latest_windows_direct": "Bucket aggregate, then a partial WindowGroupLimit (top-1 per city) "
                              "before the shuffle; no window expansion at all.",
-    "trailing_hour_direct": "Bucket aggregate filtered to before the as-of mark (a scalar "
-                            "subquery), one row per city for the window end, joined back.",
+    "trailing_hour_direct": "Bucket aggregate before the as-of mark (a reused scalar subquery); "
+                            "cities active in the last hour are aggregated over it, the others "
+                            "take their newest bucket (partial top-1); a union, no join.",
     "serving_view": "Summary and latest windows from the same scan, left join on (city, "
                     "country); AQE picks the join strategy from runtime sizes.",
     "select_stations": "Partial WindowGroupLimit (largest quota) before the per-country shuffle; "
