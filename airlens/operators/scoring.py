@@ -14,27 +14,34 @@ from airlens.functions.cache import cached
 SCORE = "aqi_sub_index"
 
 
+def _with_concentration(readings: DataFrame) -> DataFrame:
+    """Adds ``_aq_k`` (pollutant code) and ``_aq_c`` (truncated
+    concentration) as separate projections, so each is computed once per row
+    (Catalyst keeps them apart because they are reused)."""
+    staged = readings.withColumns(cached(("score", "codes"), lambda: {
+        "_aq_k": aqi.pollutant_code(F.lower(F.col("pollutant"))),
+        "_aq_u": aqi.unit_code(aqi.normalize_unit("unit")),
+    }))
+    staged = staged.withColumn("_aq_x", cached(("score", "raw"), lambda: aqi.raw_concentration(
+        "_aq_k", "value", "_aq_u")))
+    return staged.withColumn("_aq_c", cached(("score", "conc"), lambda: aqi.truncate(
+        "_aq_x", aqi.truncation_factor("_aq_k"))))
+
+
 def score(readings: DataFrame, trust_existing: bool = False) -> DataFrame:
     """Fill ``aqi_sub_index`` from (pollutant, value, unit).
 
-    The steps are separate projections (pollutant and unit normalised,
-    concentration, band number, score), so each intermediate is computed
-    once per row; Catalyst keeps them apart because they are reused.
-    With ``trust_existing`` a score already present in the data is kept and
-    only missing ones are computed (the raw files carry the ingest score).
+    The steps are separate projections (pollutant and unit codes, converted
+    value, truncated concentration, band, score), so each intermediate is
+    computed once per row. With ``trust_existing`` a score already present
+    in the data is kept and only missing ones are computed (the raw files
+    carry the ingest score).
 
     Unscored rows are kept (NULL score): every aggregate here ignores them.
     Do not filter on the score before a big plan: the filter would be pushed
     below these projections and recompute the whole score.
     """
-    staged = readings.withColumns(cached(("score", "codes"), lambda: {
-        "_aq_k": aqi.pollutant_code(F.lower(F.col("pollutant"))),
-        "_aq_u": aqi.unit_code(aqi.normalize_unit("unit")),
-    }))
-    staged = staged.withColumn("_aq_x", cached(("score", "raw"), lambda: aqi.raw_concentration(
-        "_aq_k", "value", "_aq_u")))
-    staged = staged.withColumn("_aq_c", cached(("score", "conc"), lambda: aqi.truncate(
-        "_aq_x", aqi.truncation_factor("_aq_k"))))
+    staged = _with_concentration(readings)
     staged = staged.withColumn("_aq_b", cached(("score", "band"), lambda: aqi.band_number("_aq_k", "_aq_c")))
     computed = cached(("score", "index"), lambda: aqi.sub_index_from_band("_aq_k", "_aq_c", "_aq_b"))
     if trust_existing and SCORE in readings.columns:
@@ -52,41 +59,42 @@ def scored_only(scored: DataFrame) -> DataFrame:
 
 
 def band_table(spark: SparkSession) -> DataFrame:
-    """The breakpoint table as rows, plus one open-ended clamp row per
-    pollutant above its top band. 41 rows: a fixed, proven size."""
+    """The breakpoint table as rows keyed by pollutant code, plus one
+    open-ended clamp row per pollutant above its top band. 41 rows: a fixed,
+    proven size."""
     rows = []
-    for p, bands in aqi.BREAKPOINTS.items():
+    for code, (p, bands) in enumerate(aqi.BREAKPOINTS.items()):
         for lo, hi, alo, ahi in bands:
-            rows.append((p, float(lo), float(hi), float(alo), float(ahi), False))
+            rows.append((code, p, float(lo), float(hi), float(alo), float(ahi), False))
         _lo, top_hi, _alo, top_aqi = bands[-1]
-        rows.append((p, float(top_hi), float("inf"), float(top_aqi), float(top_aqi), True))
+        rows.append((code, p, float(top_hi), float("inf"), float(top_aqi), float(top_aqi), True))
     return spark.createDataFrame(
-        rows, "b_pollutant string, c_lo double, c_hi double, aqi_lo double, aqi_hi double, clamp boolean")
+        rows, "b_code int, b_pollutant string, c_lo double, c_hi double, aqi_lo double, "
+              "aqi_hi double, clamp boolean")
 
 
 def score_with_table(readings: DataFrame, bands: DataFrame | None = None) -> DataFrame:
     """Same score as :func:`score`, computed as a range join of each reading
-    with its breakpoint band (``pollutant =`` and ``c_lo <= c <= c_hi``).
+    with its breakpoint band (pollutant equal, ``c_lo <= c <= c_hi``).
 
     The band side is the fixed 41-row table (or a caller's table of the same
     shape), so it is broadcast; the readings are never shuffled.
     """
     spark = readings.sparkSession
     bands = bands if bands is not None else band_table(spark)
-    p = F.lower(F.col("pollutant"))
-    with_c = readings.withColumn("_p", p).withColumn(
-        "_c", aqi.concentration(p, "value", "unit"))
+    with_c = _with_concentration(readings)
+    c = F.col("_aq_c")
     cond = (
-        (F.col("_p") == F.col("b_pollutant"))
-        & (F.col("_c") >= 0)
-        & ((~F.col("clamp") & F.col("_c").between(F.col("c_lo"), F.col("c_hi")))
-           | (F.col("clamp") & (F.col("_c") > F.col("c_lo"))))
+        (F.col("_aq_k") == F.col("b_code"))
+        & (c >= 0)
+        & ((~F.col("clamp") & c.between(F.col("c_lo"), F.col("c_hi")))
+           | (F.col("clamp") & (c > F.col("c_lo"))))
     )
     joined = with_c.join(F.broadcast(bands), cond, "left")
     interpolated = (((F.col("aqi_hi") - F.col("aqi_lo")) / (F.col("c_hi") - F.col("c_lo")))
-                    * (F.col("_c") - F.col("c_lo")) + F.col("aqi_lo"))
+                    * (c - F.col("c_lo")) + F.col("aqi_lo"))
     idx = F.when(F.col("clamp"), F.col("aqi_hi")).otherwise(interpolated)
-    keep = [c for c in readings.columns if c != SCORE]
+    keep = [col for col in readings.columns if col != SCORE]
     return joined.select(*keep, idx.alias(SCORE))
 
 
