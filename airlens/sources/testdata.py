@@ -20,9 +20,12 @@ The nation table is the fixed 25-row TPC-H dimension joined with the
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airlens.functions.cache import cached
 from airlens.functions.common import iso_utc_string
 from airlens.schemas import READING_COLUMNS
 from airlens.session import ensure_utc
@@ -37,8 +40,22 @@ LAT_STEP, LAT_BASE = 3.5, -40.0
 LON_STEP, LON_BASE = 14.0, -170.0
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. The DataFrame handle (schema and file listing) is
+    reused while the file is unchanged (same mtime and size)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+    except OSError:
+        return spark.read.parquet(path)
+    key = (id(spark), path, st.st_mtime_ns, st.st_size)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,23 +97,12 @@ def coordinates(user_id: Column, nation_key: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
-def readings_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """Readings in the declared schema plus a typed ``event_time`` column.
-
-    ``datetime_utc``/``ingested_at`` are the ISO texts of the reading time;
-    Catalyst prunes them (and the formatting) when a plan does not use them.
-    ``events`` may be a streaming frame with the ``events`` schema.
-    """
-    ensure_utc(spark)
-    ev = events if events is not None else table(spark, sf_dir, "events")
-    ev = spread_if_undersplit(ev.select("event_id", "ts", "user_id", "value"))
-    dims = cities(spark, sf_dir)
-    joined = ev.join(F.broadcast(dims), F.pmod(ev.user_id, F.lit(NATIONS)) == dims.n_nationkey)
+def _reading_columns() -> list[Column]:
     pollutant = pollutant_of(F.col("event_id"))
     lat, lon = coordinates(F.col("user_id"), F.col("n_nationkey"))
     event_time = F.col("ts").cast("timestamp")
     iso = iso_utc_string(event_time)
-    out = joined.select(
+    return [
         F.col("user_id").cast("int").alias("location_id"),
         F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("location_name"),
         F.col("city"),
@@ -110,7 +116,22 @@ def readings_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | N
         iso.alias("ingested_at"),
         F.lit(None).cast("double").alias("aqi_sub_index"),
         event_time.alias("event_time"),
-    )
+    ]
+
+
+def readings_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Readings in the declared schema plus a typed ``event_time`` column.
+
+    ``datetime_utc``/``ingested_at`` are the ISO texts of the reading time;
+    Catalyst prunes them (and the formatting) when a plan does not use them.
+    ``events`` may be a streaming frame with the ``events`` schema.
+    """
+    ensure_utc(spark)
+    ev = events if events is not None else table(spark, sf_dir, "events")
+    ev = spread_if_undersplit(ev.select("event_id", "ts", "user_id", "value"))
+    dims = cities(spark, sf_dir)
+    joined = ev.join(F.broadcast(dims), F.pmod(ev.user_id, F.lit(NATIONS)) == dims.n_nationkey)
+    out = joined.select(*cached(("adapter", "readings"), _reading_columns))
     return out.select(*READING_COLUMNS, "event_time")
 
 
