@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,21 +41,24 @@ LAT_STEP, LAT_BASE = 3.5, -40.0
 LON_STEP, LON_BASE = 14.0, -170.0
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The DataFrame handle (schema and file listing) is
-    reused while the file is unchanged (same mtime and size)."""
+    reused while the file is unchanged (same mtime and size) and its
+    session is still running."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     try:
         st = os.stat(path)
     except OSError:
         return spark.read.parquet(path)
     key = (id(spark), path, st.st_mtime_ns, st.st_size)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark and SparkContext._active_spark_context is spark.sparkContext:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[key] = (spark, df)          # holding the session keeps its id unique
     return df
 
 
