@@ -12,13 +12,16 @@ from typing import Any
 
 from pyspark import SparkContext
 
-_CACHE: dict[tuple, Any] = {}
+_CACHE: dict[tuple, tuple[Any, Any]] = {}
 
 
 def cached(key: tuple, build: Callable[[], Any]) -> Any:
     sc = SparkContext._active_spark_context
-    k = (id(sc._jvm) if sc is not None else None, *key)
-    value = _CACHE.get(k)
-    if value is None:
-        value = _CACHE[k] = build()
+    jvm = sc._jvm if sc is not None else None
+    k = (id(jvm), *key)
+    hit = _CACHE.get(k)
+    if hit is not None and hit[0] is jvm:
+        return hit[1]
+    value = build()
+    _CACHE[k] = (jvm, value)            # holding the JVM view keeps its id unique
     return value
