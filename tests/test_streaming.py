@@ -162,3 +162,30 @@ def test_rocksdb_state_store(spark, scratch):
     finally:
         spark.conf.set(key, before)
     assert speed.read_history(spark, os.path.join(scratch, "out")).count() == 12
+
+
+def test_fixture_f7_late_data_follows_the_lagged_watermark(spark, scratch):
+    """one file per trigger. Spark's late-row filter uses the watermark
+    of one batch earlier than eviction does, so a late reading still feeds
+    its youngest windows that end after that older watermark."""
+    batches = [[reading("A", "pm25", 100.0, "ug/m3", at("10:07")),
+                reading("A", "pm25", 50.0, "ug/m3", at("10:01"))],
+               [reading("A", "pm25", 40.0, "ug/m3", at("10:58"))],
+               [reading("A", "pm25", 30.0, "ug/m3", at("10:02")),       # late
+                reading("A", "pm25", 20.0, "ug/m3", at("09:10"))],      # late
+               [reading("A", "pm25", 10.0, "ug/m3", at("12:30"))],
+               [reading("A", "pm25", 300.0, "ug/m3", at("10:40"))],     # late
+               [reading("A", "pm25", 300.0, "ug/m3", None)]]
+    out = run_stream(spark, scratch, batches)
+    hist = spark.read.parquet(os.path.join(out, "history")).collect()
+    by_batch = {}
+    for r in hist:
+        by_batch.setdefault(r.batch_id, {})[r.window_start.strftime("%H:%M")] = r.reading_count
+    assert len(by_batch[0]) == 13 and len(by_batch[1]) == 12 and len(by_batch[3]) == 12
+    # batch 2, lateness watermark 10:05: windows ending after it take both late readings
+    late = by_batch[2]
+    assert min(late) == "09:10" and late["09:10"] == 4 and len(late) == 11
+    # batch 4, lateness watermark 10:56: only windows ending after 10:56 take 10:40
+    assert sorted(by_batch[4]) == [f"10:{m:02d}" for m in range(0, 45, 5)]
+    assert by_batch[4]["10:00"] == 5
+    assert 5 not in by_batch                             # the NULL-time reading emits nothing
