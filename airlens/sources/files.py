@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.schemas import LATEST, LOCATION, QUOTA, READING, SNAPSHOT, SUMMARY
+from airlens.schemas import HOURLY, LATEST, LOCATION, QUOTA, READING, SNAPSHOT, SUMMARY
 
 # Written in place of an empty-string partition value (Hive would turn ""
 # into its default partition and read it back as NULL).
@@ -64,8 +64,10 @@ def country_quotas(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def read_hourly_view(spark: SparkSession, batch_view_dir: str) -> DataFrame:
-    """The hourly view, with the empty-country partition mapped back."""
-    df = spark.read.parquet(f"{batch_view_dir.rstrip('/')}/hourly_city_aqi")
+    """The hourly view, with the empty-country partition mapped back. Read
+    with the declared schema, so a country code that looks like a number
+    stays a string (partition values are otherwise type-inferred)."""
+    df = spark.read.schema(HOURLY).parquet(f"{batch_view_dir.rstrip('/')}/hourly_city_aqi")
     country = F.when(F.col("country") == EMPTY_PARTITION, F.lit("")).otherwise(F.col("country"))
     return df.withColumn("country", country).select(
         "city", "country", "hour", "dominant_pollutant", "aqi", "reading_count", "dangerous")

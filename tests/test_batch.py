@@ -145,3 +145,10 @@ def test_hot_city_results_match_a_plain_computation(spark):
         key = (city, country, pd.Timestamp(hour).to_pydatetime())
         assert got[key] == (row["max"], row["count"])
     assert sum(c for (city, _, _), (_, c) in got.items() if city == "HOT") > 0.6 * sum(c for _, c in got.values())
+
+
+def test_numeric_looking_country_stays_text(spark, scratch):
+    rows = [reading("A", "pm25", 20.0, "ug/m3", "2026-07-02T10:00:00Z", country="001")]
+    hourly, summary = run_batch(spark, scratch, readings=readings_df(spark, rows))
+    assert [r.country for r in hourly.collect()] == ["001"]
+    assert dict(hourly.dtypes)["country"] == "string"
