@@ -15,6 +15,7 @@ from airlens.functions.common import first_truthy, iso_utc_string
 from airlens.operators.scoring import score
 from airlens.schemas import READING_COLUMNS
 
+
 def _named(sensors: Column) -> Column:
     return F.filter(sensors, lambda s: F.coalesce(s["parameter"]["name"], F.lit("")) != "")
 
