@@ -11,6 +11,7 @@ from airlens.functions.common import parse_iso_timestamp
 from airlens.operators.scoring import (
     SCORE,
     dominant_of_maxes,
+    merge_pollutant_max_aggs,
     dominant_with_other,
     other_pollutant_aggs,
     pollutant_max_aggs,
@@ -68,6 +69,25 @@ def hourly_aqi(prepared: DataFrame, other_pollutants: bool = False) -> DataFrame
     )
 
 
+def hourly_from_buckets(buckets: DataFrame) -> DataFrame:
+    """:func:`hourly_aqi` merged from 5-minute bucket aggregates
+    (``airlens.operators.windows.bucket_aggregates(..., keep_null_time=True)``):
+    buckets nest in hours, so maxima merge and counts add. The hourly view
+    then costs one small aggregate over buckets a plan already has."""
+    hour = F.date_trunc("hour", F.timestamp_micros(F.col("_bucket")))
+    agg = buckets.groupBy("city", "country", hour.alias("hour")).agg(
+        F.max("_b_aqi").alias("aqi"),
+        F.sum("_b_count").alias("reading_count"),
+        *merge_pollutant_max_aggs(),
+    )
+    return agg.select(
+        "city", "country", "hour",
+        dominant_of_maxes("aqi").alias("dominant_pollutant"),
+        "aqi", "reading_count",
+        aqi.is_dangerous("aqi").alias("dangerous"),
+    )
+
+
 def city_summary(hourly: DataFrame, ordered: bool = True) -> DataFrame:
     """Per (city, country) over the hourly view.
 

@@ -123,12 +123,16 @@ def trailing_hour(windowed: DataFrame, as_of) -> DataFrame:
     return latest_windows(windowed.filter(F.col("window_end") <= as_of))
 
 
-def _bucket_aggregates(scored: DataFrame) -> DataFrame:
+def bucket_aggregates(scored: DataFrame, keep_null_time: bool = False) -> DataFrame:
     """Per (city, country, 5-minute bucket) with a scored reading: the
-    mergeable partials of a window (per-pollutant maxima, count, smallest
-    station id and its coordinates). Map-side combined, so a hot city is
-    spread over its buckets."""
-    df = with_event_time(scored).filter(F.col("event_time").isNotNull())
+    mergeable partials of a window or an hour (per-pollutant maxima,
+    count, smallest station id and its coordinates). Map-side combined, so
+    a hot city is spread over its buckets. ``keep_null_time`` keeps one
+    NULL bucket per city for readings without a usable time (the hourly
+    view keeps them as a group; windows never do)."""
+    df = with_event_time(scored)
+    if not keep_null_time:
+        df = df.filter(F.col("event_time").isNotNull())
     us = F.unix_micros(F.col("event_time"))
     df = df.withColumns({"_bucket": us - F.pmod(us, F.lit(_SLIDE_US)), "_sid": _coord_key()})
     return df.groupBy("_bucket", "city", "country").agg(
@@ -141,6 +145,9 @@ def _bucket_aggregates(scored: DataFrame) -> DataFrame:
     ).filter(F.col("_b_aqi").isNotNull())
 
 
+_bucket_aggregates = bucket_aggregates
+
+
 def _window_from_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
     return buckets.groupBy(*keys).agg(
         F.max("_b_aqi").alias("aqi"),
@@ -159,9 +166,19 @@ def latest_windows_direct(scored: DataFrame, ordered: bool = True) -> DataFrame:
     reading, so it holds exactly that reading's bucket: the answer is the
     newest bucket aggregate per city (a partial top-1 before the shuffle).
     """
-    b = _bucket_aggregates(scored).filter(F.col("city").isNotNull() & F.col("country").isNotNull())
-    w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc())
-    newest = b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return latest_windows_from_buckets(bucket_aggregates(scored), ordered=ordered)
+
+
+def latest_windows_from_buckets(buckets: DataFrame, ordered: bool = True) -> DataFrame:
+    """:func:`latest_windows_direct` over bucket aggregates that may be
+    shared with other plans (e.g. the hourly view, from the same shuffle)."""
+    b = buckets.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
+    # A NULL bucket (no usable time) sorts last and is dropped after the
+    # rank, so the bucket aggregate itself stays as given (a filter on its
+    # grouping key would be pushed below it).
+    w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc_nulls_last())
+    newest = (b.withColumn("_rn", F.row_number().over(w))
+              .filter((F.col("_rn") == 1) & F.col("_bucket").isNotNull()))
     agg = newest.select(
         F.col("_bucket").alias("_ws"), "city", "country",
         F.col("_b_aqi").alias("aqi"), F.col("_b_count").alias("reading_count"),
@@ -208,4 +225,5 @@ def trailing_hour_direct(scored: DataFrame, as_of) -> DataFrame:
 
 
 __all__ = ["windowed_aqi", "windowed_aqi_bucketed", "latest_windows", "trailing_hour",
-           "latest_windows_direct", "trailing_hour_direct", "WINDOW_COLUMNS"]
+           "latest_windows_direct", "latest_windows_from_buckets", "trailing_hour_direct",
+           "bucket_aggregates", "WINDOW_COLUMNS"]

@@ -70,9 +70,18 @@ def newest_reading_time(spark: SparkSession, sf: str):
 
 
 def serving(spark: SparkSession, sf: str) -> DataFrame:
-    latest = W.latest_windows_direct(prepared(spark, sf), ordered=False)
+    """History and latest windows, both from 5-minute bucket aggregates of
+    the same readings (the hourly view merged from buckets, the snapshot
+    from each city's newest bucket); no window is expanded. The two sides
+    keep different bucket columns, so Catalyst plans two bucket aggregates;
+    the production merge reads both views from files instead."""
+    buckets = W.bucket_aggregates(prepared(spark, sf), keep_null_time=True)
+    # Cities without a name never match a snapshot row.
+    named = buckets.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
+    history = B.city_summary(B.hourly_from_buckets(named), ordered=False)
+    latest = W.latest_windows_from_buckets(buckets, ordered=False)
     snap = V.snapshot_from_latest(latest, computed_at=newest_reading_time(spark, sf))
-    return V.merge_views(summary(spark, sf, ordered=False), snap)
+    return V.merge_views(history, snap)
 
 
 def _summary_out(df: DataFrame) -> DataFrame:

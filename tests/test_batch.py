@@ -152,3 +152,20 @@ def test_numeric_looking_country_stays_text(spark, scratch):
     hourly, summary = run_batch(spark, scratch, readings=readings_df(spark, rows))
     assert [r.country for r in hourly.collect()] == ["001"]
     assert dict(hourly.dtypes)["country"] == "string"
+
+
+def test_hourly_from_buckets_equals_hourly(spark):
+    from airlens.operators.batch import hourly_from_buckets
+    from airlens.operators.windows import bucket_aggregates
+    from airlens.sources.testdata import readings_from_events
+    from conftest import SF_SMALL
+
+    extra = readings_df(spark, [reading("A", "pm25", 20.0, "ug/m3", "garbage"),
+                                reading("A", "pm25", 30.0, "ug/m3", "2026-07-02T10:59:59.999999Z")])
+    base = readings_from_events(spark, SF_SMALL).drop("event_time").unionByName(extra)
+    p = prepare(base)
+    a = hourly_aqi(p)
+    b = hourly_from_buckets(bucket_aggregates(p, keep_null_time=True))
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert b.filter(F.col("hour").isNull()).count() == 1
