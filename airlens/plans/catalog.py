@@ -107,6 +107,11 @@ def q_hourly_city_aqi(spark, sf):
     return ntz(hourly(spark, sf), "hour").select(*B.HOURLY_COLUMNS)
 
 
+def q_hourly_from_buckets(spark, sf):
+    buckets = W.bucket_aggregates(prepared(spark, sf), keep_null_time=True)
+    return ntz(B.hourly_from_buckets(buckets), "hour").select(*B.HOURLY_COLUMNS)
+
+
 def q_city_summary(spark, sf):
     return _summary_out(summary(spark, sf))
 
@@ -304,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "score_readings": q_score_readings,
     "score_with_table": q_score_with_table,
     "hourly_city_aqi": q_hourly_city_aqi,
+    "hourly_from_buckets": q_hourly_from_buckets,
     "city_summary": q_city_summary,
     "worst_cities_top10": q_worst_cities_top10,
     "worst_cities_top15": q_worst_cities_top15,
@@ -407,6 +413,7 @@ def oracle_sql() -> dict[str, str]:
         "score_readings": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
         "score_with_table": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
         "hourly_city_aqi": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
+        "hourly_from_buckets": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
         "city_summary": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
         "worst_cities_top10": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary {top} LIMIT 10",
         "worst_cities_top15": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary {top} LIMIT 15",
