@@ -1,5 +1,5 @@
-"""Batch layer operators: prepared readings, hourly city AQI, city summary,
-top-k worst cities."""
+"""Batch layer operators: prepared readings, hourly city AQI (from readings
+or from 5-minute bucket aggregates), city summary, top-k worst cities."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from airlens.functions.common import parse_iso_timestamp
 from airlens.operators.scoring import (
     SCORE,
     dominant_of_maxes,
-    merge_pollutant_max_aggs,
     dominant_with_other,
+    merge_pollutant_max_aggs,
     other_pollutant_aggs,
     pollutant_max_aggs,
     score,
