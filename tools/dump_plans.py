@@ -27,8 +27,9 @@ NOTES = {
     "trailing_hour_direct": "Bucket aggregate before the as-of mark (a reused scalar subquery); "
                             "cities active in the last hour are aggregated over it, the others "
                             "take their newest bucket (partial top-1); a union, no join.",
-    "serving_view": "Summary and latest windows from the same scan, left join on (city, "
-                    "country); AQE picks the join strategy from runtime sizes.",
+    "serving_view": "History (hourly merged from 5-minute buckets, then the summary) and the "
+                    "snapshot (newest bucket per city) from bucket aggregates; left join on "
+                    "(city, country), strategy chosen by AQE from runtime sizes.",
     "select_stations": "Partial WindowGroupLimit (largest quota) before the per-country shuffle; "
                        "the quota prefix sums run on the config-sized table.",
     "readings_from_latest": "Entries (big) join exploded sensors (per document, no shuffle) on "
