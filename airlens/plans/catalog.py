@@ -21,6 +21,7 @@ from airlens.operators import serving as V
 from airlens.operators import windows as W
 from airlens.plans import oracle as O
 from airlens.plans.batch import run_batch
+from airlens.plans.incremental import read_hourly_version, run_batch_incremental
 from airlens.plans.serving import build_and_write_serving_view
 from airlens.schemas import READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
 from airlens.session import ensure_utc, scratch_dir
@@ -281,6 +282,18 @@ def q_batch_job_from_json(spark, sf):
     return _summary_out(summary_back)
 
 
+def q_batch_incremental(spark, sf):
+    """The hourly view built by merging the landed raw files a few at a
+    time (several micro-batches, each merged into the previous version)."""
+    raw = _landed_readings(spark, sf)
+    out = scratch_dir(spark, "incremental")
+    q = run_batch_incremental(spark, raw, out, f"{out}/_checkpoint", max_files_per_trigger=3)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return ntz(read_hourly_version(spark, out), "hour").select(*B.HOURLY_COLUMNS)
+
+
 def q_serving_job(spark, sf):
     """Batch views and the speed snapshot go through files; the serving job
     merges what it loads. ``computed_at`` is the wall clock of the stream."""
@@ -337,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "readings_json_roundtrip": q_readings_json_roundtrip,
     "batch_job_from_json": q_batch_job_from_json,
+    "batch_incremental": q_batch_incremental,
     "serving_job": q_serving_job,
     "ingest_from_json": q_ingest_from_json,
 }
@@ -483,6 +497,7 @@ def oracle_sql() -> dict[str, str]:
             f"window_end FROM latest"),
         "readings_json_roundtrip": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
         "batch_job_from_json": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
+        "batch_incremental": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
         "serving_job": (
             f"WITH {serving} SELECT " + _SERVING_SQL.replace("computed_at, ", "") + " FROM serving"),
         "ingest_from_json": (
