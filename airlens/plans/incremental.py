@@ -41,9 +41,14 @@ def merge_hourly(old: DataFrame, new: DataFrame) -> DataFrame:
     Per (city, country, hour) present in either: the larger ``aqi``, the
     summed ``reading_count``, and the dominant pollutant of the larger side
     (on equal ``aqi`` the one first in the fixed pollutant order, as the
-    per-pollutant rule gives on the union). Both sides hold one row per
-    key, so this is one full outer join on null-safe keys (a NULL hour is a
-    group of its own).
+    per-pollutant rule gives on the union). Keys are compared null-safe (a
+    NULL hour is a group of its own); each side holds one row per key.
+
+    The old view is large and the new rows few, so this is not one full
+    outer join (which would shuffle the whole old view every cycle): old
+    rows take their new counterpart through a left join (AQE broadcasts the
+    small new side, the old side stays in place), and new keys missing from
+    the old view come from a left anti join that reads only the old keys.
     """
     o = old.select(*[F.col(k).alias(f"o_{k}") for k in KEYS],
                    F.col("aqi").alias("o_aqi"), F.col("reading_count").alias("o_n"),
@@ -55,7 +60,11 @@ def merge_hourly(old: DataFrame, new: DataFrame) -> DataFrame:
     for k in KEYS:
         c = F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}"))
         cond = c if cond is None else cond & c
-    j = o.join(n, cond, "full_outer")
+    kept = o.join(n, cond, "left")
+    added = n.join(o.select(*[f"o_{k}" for k in KEYS]), cond, "left_anti")
+    for name, dtype in o.dtypes:
+        added = added.withColumn(name, F.lit(None).cast(dtype))
+    j = kept.unionByName(added)
     in_old = F.col("o_aqi").isNotNull()
     in_new = F.col("n_aqi").isNotNull()
     top = F.greatest("o_aqi", "n_aqi")
