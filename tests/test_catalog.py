@@ -39,3 +39,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["city", "country", "hour", "dominant_pollutant", "aqi", "reading_count", "dangerous"]
+
+
+def test_oracle_sql_needs_no_spark():
+    import subprocess
+    import sys
+
+    code = ("import sys; sys.path.insert(0, '.'); import __spark_entry__ as e; "
+            "from pyspark import SparkContext; assert SparkContext._active_spark_context is None; "
+            "print(len(e.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+    assert out.returncode == 0, out.stderr
+    assert int(out.stdout.strip()) == len(QUERIES)
