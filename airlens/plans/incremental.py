@@ -147,7 +147,10 @@ def run_batch_incremental(spark: SparkSession, raw_path: str, out_dir: str, chec
                           max_files_per_trigger: int | None = None, rescore: bool = True,
                           fmt: str = "json") -> StreamingQuery:
     """Merge every raw file not merged before, then stop (``availableNow``).
-    Call it once per cycle; wait with ``awaitTermination()``."""
+    Call it once per cycle; wait with ``awaitTermination()``. The file log
+    in ``checkpoint_location`` (a shared folder) is what makes each file
+    count once, so producers should land files atomically (write, then
+    rename into ``raw_path``), as for any file stream."""
     stream = read_stream(spark, raw_path, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
     return (stream.writeStream.foreachBatch(make_merge_writer(out_dir, rescore))
             .option("checkpointLocation", checkpoint_location)
