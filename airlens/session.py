@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,9 +66,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder."""
+    """A fresh path under the shared checkpoint folder; Spark's writers create it."""
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/airlens/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return f"{root}/airlens/{label}-{uuid.uuid4().hex[:12]}"
