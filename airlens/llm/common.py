@@ -88,6 +88,21 @@ def by_bytes(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield batch.slice(start, len(run)), run
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def grouped(df: DataFrame, keys: list[str], order: str, fn: Callable[[list[dict]], dict], schema: str) -> DataFrame:
+    """The rows of each key go to ``fn``, in ``order``, which gives columns; a task streams over its groups, so many
+    small ones cost no call each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for b in batches:
+            for r in b.to_pylist():
+                k = tuple(r[c] for c in keys)
+                if k != at and held:
+                    yield pa.record_batch(fn(held))
+                    held = []
+                at = k
+                held.append(r)
+        if held:
+            yield pa.record_batch(fn(held))
+
+    n = partitions(df.sparkSession)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, order).mapInArrow(run, schema)

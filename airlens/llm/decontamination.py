@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm.common import by_bytes, stage
@@ -32,9 +32,9 @@ MAX_BITS = 1 << 28           # 32 MB at most, whatever the benchmark's size
 _CHUNK = 1 << 13
 
 
-def window_minima(h: np.ndarray, w: int) -> np.ndarray:
-    """Position of the smallest of every ``w`` consecutive hashes (the last
-    of equals), each position once."""
+def window_minima_at(h: np.ndarray, w: int) -> np.ndarray:
+    """For every ``w`` consecutive hashes the position of the smallest (the
+    last of equals)."""
     m = len(h) - w + 1
     if m <= 0:
         return np.zeros(0, np.int64)
@@ -53,7 +53,12 @@ def window_minima(h: np.ndarray, w: int) -> np.ndarray:
         k *= 2
     if w > k:
         size = merge(w - k, size)
-    return np.unique(at[:m])
+    return at[:m]
+
+
+def window_minima(h: np.ndarray, w: int) -> np.ndarray:
+    """Those positions, each once."""
+    return np.unique(window_minima_at(h, w))
 
 
 def _test_rows(items: DataFrame, window: int, k: int) -> DataFrame:
@@ -113,8 +118,11 @@ def _bit_table(prints: DataFrame, n: int) -> np.ndarray:
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         window: int = 10, k: int = 5) -> DataFrame:
-    """doc_id, n_words, n_hit, items (sorted), spans (array of word spans hit)."""
+         window: int = 10, k: int = 5, keep: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, the columns of ``keep``, n_words, n_hit, items (sorted), spans
+    (array of word spans hit)."""
+    keep = keep or {}
+    kept = ("doc_id", *keep)
     spark = docs.sparkSession
     test = stage(_test_rows(items, window, k), "test-windows")
     n_prints = test.where("kind = 1").count()
@@ -157,16 +165,17 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                 at = np.flatnonzero(found(few, g))
                 add(at, g[at], n)
             m = len(texts)
-            yield pa.record_batch({
-                "uid": np.arange(uid, uid + m), "doc_id": batch.column("doc_id"),
-                "n_words": words.count.astype(np.int64),
-                "hash": pa.array(keys, pa.list_(pa.int64())), "start": pa.array(starts, pa.list_(pa.int32())),
-                "length": pa.array(lengths, pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(uid, uid + m))] + [batch.column(c) for c in kept]
+                + [pa.array(words.count.astype(np.int64)), pa.array(keys, pa.list_(pa.int64())),
+                   pa.array(starts, pa.list_(pa.int32())), pa.array(lengths, pa.list_(pa.int32()))],
+                names=["uid", *kept, "n_words", "hash", "start", "length"])
             uid += m
 
-    id_type = dict(docs.dtypes)[id_col]
-    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    scan = stage(cols.mapInArrow(run, f"uid long, doc_id {id_type}, n_words long, hash array<long>, "
+    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                       *[c.alias(x) for x, c in keep.items()])
+    kinds = ", ".join(f"`{x}` {t}" for x, t in cols.drop("text").dtypes)
+    scan = stage(cols.mapInArrow(run, f"uid long, {kinds}, n_words long, hash array<long>, "
                                       "start array<int>, length array<int>"), "windows")
     cand = (scan.where("size(hash) > 0")
             .select("uid", F.explode(F.arrays_zip("hash", "start", "length")).alias("c"))
@@ -177,7 +186,7 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     per = (match.groupBy("uid").agg(
         F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))).alias("spans"),
         F.collect_set("item_id").alias("items")))
-    out = scan.select("uid", "doc_id", "n_words").join(per, "uid", "left")
+    out = scan.select("uid", *kept, "n_words").join(per, "uid", "left")
     spans = F.array_sort(F.coalesce("spans", F.expr("array()").cast("array<struct<start:int,end:int>>")))
     n_hit = F.aggregate(
         spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("upto")),
@@ -185,6 +194,6 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
             (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["upto"]))).alias("n"),
             F.greatest(a["upto"], s["end"]).alias("upto")),
         lambda a: a["n"].cast("long"))
-    return out.select("doc_id", "n_words", n_hit.alias("n_hit"),
+    return out.select(*kept, "n_words", n_hit.alias("n_hit"),
                       F.array_sort(F.coalesce("items", F.expr("array()").cast("array<string>"))).alias("items"),
                       spans.alias("spans"))

@@ -5,13 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm import decontamination, langid, packing, quality, tokenfile, toxicity
+from airlens.llm import brown, decontamination, langid, multi_index, ngram_join, packing, quality, suffix_dedup, tokenfile, toxicity
 from airlens.llm.common import fold, read_table, stage
 from airlens.session import scratch_dir
 
 TOXIC_CHAIN = ["low_quality", "toxic"]
 
 
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held = fold(F.col("doc_id"), 5) == 1
+    model, words = brown.fit(docs.where(~held))
+    return brown.score(docs, model, words, held)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -23,6 +30,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep={"held_out": held})
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontamination.hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -48,6 +63,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learned from labels of documents whose crc32 mod 5 is not 0."""
     docs = read_table(spark, sf_dir, "documents")
@@ -60,11 +79,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_brown_lm": op1_brown_lm,
     "op2_packing": op2_packing,
     "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_ngram_join": op5_ngram_join,
     "op6_decontamination": op6_decontamination,
     "op7_token_files": op7_token_files,
     "op8_quality": op8_quality,
+    "op9_near_vectors": op9_near_vectors,
     "op10_toxicity": op10_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
