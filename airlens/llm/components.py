@@ -5,7 +5,9 @@ larger side, then from the smaller, until the links are stars around each
 component's smallest node. Links of a task are first replaced by a spanning
 star of each local component. Each step is a pre-aggregated minimum, staged so
 that the join after it has a plain exchange on both sides, which Spark may
-split if one node has a large share of all links.
+split if one node has a large share of all links. What is left of the links
+after the first step is counted: up to ``small`` of them are solved in one task
+of so much memory, which saves the rounds' many short jobs.
 """
 
 from __future__ import annotations
@@ -64,14 +66,23 @@ def _print(df: DataFrame) -> tuple:
     return r["n"], r["x"]
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held = [(np.asarray(b.column("u")), np.asarray(b.column("v"))) for b in batches if b.num_rows]
+    if held:
+        u, v = stars(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
+        roots = np.unique(v)
+        yield pa.record_batch({"node": np.concatenate((u, roots)), "component": np.concatenate((v, roots))})
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60,
+               small: int = 1_000_000) -> DataFrame:
     """(node, component): component is the smallest node reachable. Only nodes
     with a link to another node are returned; nulls link nothing."""
     e = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u != v")
     e = stage(e.mapInArrow(_contract, "u long, v long").distinct(), "links")
     before = _print(e)
-    if not before[0]:
-        return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    if before[0] <= small:
+        return stage(e.coalesce(1).mapInArrow(_solve, "node long, component long"), "components")
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stage(both.groupBy("u").agg(F.min("v").alias("m")), "least")
