@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 import airlens
 from airlens.session import scratch_dir
 
-CHUNK_BYTES = 2 << 20       # texts are handled in runs of about this many bytes
+CHUNK_BYTES = 1 << 20       # texts are handled in runs of about this many bytes
 
 
 def ship(spark: SparkSession) -> None:
@@ -50,11 +50,18 @@ def fold_of(doc_id: int, modulus: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % modulus
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+# For rows that hold large packed values: the writer looks at its buffers after
+# every row, not after a hundred, and does not try to pack them again.
+BLOB_ROWS = {"compression": "uncompressed", "parquet.enable.dictionary": "false",
+             "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+             "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1"}
+
+
+def stage(df: DataFrame, label: str, blobs: bool = False) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: the
     lineage is cut and a lost executor costs a re-read, not a recomputation."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(BLOB_ROWS if blobs else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

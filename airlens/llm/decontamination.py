@@ -38,7 +38,7 @@ def window_minima_at(h: np.ndarray, w: int) -> np.ndarray:
     m = len(h) - w + 1
     if m <= 0:
         return np.zeros(0, np.int64)
-    best, at, k = h.copy(), np.arange(len(h)), 1
+    best, at, k = h.copy(), np.arange(len(h), dtype=np.int32), 1
     size = len(h)
 
     def merge(shift: int, size: int) -> int:

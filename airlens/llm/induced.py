@@ -25,7 +25,8 @@ import numpy as np
 
 from airlens.llm.wordhash import mix, powers
 
-_RECORD = np.dtype([("char", "<i8"), ("pos", "<i8"), ("src", "<i8")])
+_INT = np.int32              # texts of a task are far below 2**31 characters
+_RECORD = np.dtype([("char", _INT), ("pos", _INT), ("src", _INT)])
 
 
 def spill_folder() -> str:
@@ -117,7 +118,7 @@ class _Sweep:
     one before it (in sweep order)."""
 
     def __init__(self, size: int, common: bool):
-        self.pos = np.empty(size, np.int64)
+        self.pos = np.empty(size, _INT)
         self.lcp = np.zeros(size, np.int32) if common else None
         self.n = 0
 
@@ -151,7 +152,7 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, common: np.n
     run = None
     if common is not None:                       # repeats of the first character
         edge = np.flatnonzero(np.append(text[1:] != text[:-1], True))
-        run = np.repeat(edge, np.diff(np.append(-1, edge))) + 1 - np.arange(n)
+        run = (np.repeat(edge, np.diff(np.append(-1, edge))) + 1 - np.arange(n)).astype(_INT)
 
     def seam(a: int, b: int) -> int:
         return min(int(run[a]), int(run[b]))
@@ -199,7 +200,7 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, common: np.n
     queue, down = RunQueue(memory, descending=True), _Sweep(n, common is not None)
     pending = sorted(k for k, (a, b) in large.items() if b > a)
     buckets: list[tuple[np.ndarray, np.ndarray | None]] = []
-    end = np.array([n - 1])
+    end = np.array([n - 1], _INT)
     while pending or queue.heap:
         c = max(x for x in (pending[-1] if pending else None, queue.next_char()) if x is not None)
         begin, last = down.n, -1
@@ -236,12 +237,12 @@ def _induce(text: np.ndarray, small: np.ndarray, seeds: np.ndarray, common: np.n
 def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(S suffixes, seeds in text order); the last character is the least."""
     n = len(text)
-    step = np.sign(np.diff(text, append=text[-1] + 1))      # the end is S
-    idx = np.where(step != 0, np.arange(n), n)
+    step = np.sign(np.diff(text, append=text[-1] + 1)).astype(np.int8)   # the end is S
+    idx = np.where(step != 0, np.arange(n, dtype=_INT), _INT(n))
     idx = np.minimum.accumulate(idx[::-1])[::-1]            # next place with a change
     small = step[np.minimum(idx, n - 1)] > 0
     small[-1] = True
-    seeds = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    seeds = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(_INT)
     return small, seeds
 
 
@@ -296,13 +297,14 @@ def _order(text: np.ndarray, memory: int, base: int, limit: int, common: bool) -
     is_seed[seeds] = True
     ordered = order[is_seed[order]]
     # Names: substrings up to and with the next seed, in their order.
+    del order, rough
     prefix = _prefix(text)
-    following = np.full(n, n, np.int64)
+    following = np.full(n, n, _INT)
     following[seeds[:-1]] = seeds[1:] + 1
     length = following[ordered] - ordered
     h = _span(prefix, ordered, following[ordered])
     fresh = np.append(True, (h[1:] != h[:-1]) | (length[1:] != length[:-1]))
-    name = np.zeros(n, np.int64)
+    name = np.zeros(n, _INT)
     name[ordered] = np.cumsum(fresh) - 1
     names = name[seeds]
     if fresh.all():
@@ -316,6 +318,7 @@ def _order(text: np.ndarray, memory: int, base: int, limit: int, common: bool) -
     if common:
         lcp = np.zeros(len(ranked), np.int32)
         lcp[1:] = _common(prefix, ranked[:-1], ranked[1:], limit)
+    del prefix, following, name, ordered, h, length, is_seed
     return _induce(text, small, ranked, lcp, memory)
 
 
@@ -326,7 +329,9 @@ def suffix_array(text: np.ndarray, memory: int = 64 << 20, base: int = 1 << 22,
     ``memory``: bytes of a queue before it goes to disk; ``base``: seeds sorted in
     memory instead of by recursion. Common prefixes are exact up to ``limit``;
     longer ones are given as at least ``limit``."""
-    t = np.zeros(len(text) + 1, np.int64)
-    t[:-1] = text.astype(np.int64) + 1
+    if len(text) >= (1 << 31) - 2:
+        raise ValueError("a text of one call must be shorter than 2**31 - 2")
+    t = np.zeros(len(text) + 1, _INT)
+    t[:-1] = text.astype(_INT) + 1
     order, lcp = _order(t, memory, base, limit, True)
     return order[1:], lcp[1:]

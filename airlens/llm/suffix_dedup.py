@@ -41,9 +41,10 @@ from pyspark.sql import functions as F
 from airlens.llm.common import by_bytes, partitions, stage
 from airlens.llm.decontamination import window_minima_at
 from airlens.llm.induced import suffix_array
-from airlens.llm.wordhash import mix, prefix_hashes, span_hashes
+from airlens.llm.wordhash import mix, prefix_hashes, span_hashes, window_hashes
 
 K = 32
+SHARDS = 4                   # shards a shuffle partition: one is sorted at a time
 
 
 def _zip(data: bytes) -> bytes:
@@ -58,15 +59,17 @@ def runs_of(data: np.ndarray, sizes: np.ndarray, length: int, k: int) -> np.ndar
     """(anchor, first start, last start) of every run of a block."""
     if len(data) < length:
         return np.zeros((0, 3), np.int64)
-    grams = prefix_hashes(data)
-    at = np.arange(len(data) - k + 1)
-    h = span_hashes(grams, at, at + k)
+    # The upper half of the hashes orders as well, in half the memory.
+    h = (window_hashes(prefix_hashes(data), k) >> np.uint64(32)).astype(np.uint32)
     anchor = window_minima_at(h, length - k + 1)             # of the string at each start
+    del h
     offset = np.concatenate(([0], np.cumsum(sizes)))
-    start = np.arange(len(anchor))
-    doc = np.searchsorted(offset, start, side="right") - 1
-    inside = start + length <= offset[doc + 1]
-    start, anchor, doc = start[inside], anchor[inside], doc[inside]
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[:len(anchor)]
+    inside = np.zeros(len(anchor), bool)
+    for a, b in zip(offset[:-1].tolist(), offset[1:].tolist()):
+        inside[a:max(a, b - length + 1)] = True
+    start = np.flatnonzero(inside)
+    anchor, doc = anchor[inside].astype(np.int64), doc[inside]
     if not len(start):
         return np.zeros((0, 3), np.int64)
     # Starts of one anchor are neighbours, but a text border may cut a run.
@@ -76,7 +79,7 @@ def runs_of(data: np.ndarray, sizes: np.ndarray, length: int, k: int) -> np.ndar
 
 
 def blocks_of(docs: DataFrame, id_col: str, text_col: str, keep: dict[str, Column], length: int, k: int) -> DataFrame:
-    """One row per run of texts of about 2 MB."""
+    """One row per run of texts of about 1 MB."""
     cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        *[c.alias(n) for n, c in keep.items()])
     kept = ("doc_id", *keep)
@@ -93,22 +96,27 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, keep: dict[str, Colum
                 + [pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), _flat(batch.column(c))) for c in kept]
                 + [pa.array([sizes.tobytes()], pa.binary()), pa.array([len(joined)], pa.int64()),
                    pa.array([_zip(joined)], pa.binary()), pa.array([runs[:, 0].astype("<u4").tobytes()], pa.binary()),
-                   pa.array([(runs[:, 0:1] - runs[:, 1:]).astype("<u4").tobytes()], pa.binary())],
+                   pa.array([(runs[:, 0:1] - runs[:, 1:]).astype(_back_type(length, k)).tobytes()], pa.binary())],
                 names=["block", *kept, "sizes", "n", "data", "anchors", "spans"])
             block += 1
 
     kinds = ", ".join(f"`{n}` array<{t}>" for n, t in cols.select(*kept).dtypes)
     schema = f"block long, {kinds}, sizes binary, n long, data binary, anchors binary, spans binary"
-    return stage(cols.mapInArrow(run, schema), "text-blocks")
+    return stage(cols.mapInArrow(run, schema), "text-blocks", blobs=True)
 
 
 def _flat(column: pa.Array) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else pa.concat_arrays([column])
 
 
-def _runs(row) -> np.ndarray:
+def _back_type(length: int, k: int) -> str:
+    """Type of the distance from a start to its anchor."""
+    return "u1" if length - k < 256 else "<u4"
+
+
+def _runs(row, length: int, k: int) -> np.ndarray:
     anchor = np.frombuffer(row["anchors"], "<u4").astype(np.int64)
-    back = np.frombuffer(row["spans"], "<u4").astype(np.int64).reshape(-1, 2)
+    back = np.frombuffer(row["spans"], _back_type(length, k)).astype(np.int64).reshape(-1, 2)
     return np.column_stack((anchor, anchor[:, None] - back))
 
 
@@ -184,7 +192,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                runs = _runs(r)
+                runs = _runs(r, length, k)
                 if len(runs):
                     a, b = _run_hashes(_unzip(r["data"], r["n"]), runs, length, k)
                     h, n = _unique(np.concatenate((a, b)))
@@ -201,7 +209,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
         if not len(block) or not len(reply):
             return pd.DataFrame([], columns=[c.split()[0] for c in strip_schema.split(", ")])
         row = block.iloc[0]
-        data, runs, known = _unzip(row["data"], int(row["n"])), _runs(row), _reply(reply)
+        data, runs, known = _unzip(row["data"], int(row["n"])), _runs(row, length, k), _reply(reply)
         a, b = _run_hashes(data, runs, length, k)
         n_anchor, n_run = _total(known, a), _total(known, b)
         whole = n_run > 1
@@ -230,7 +238,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
             "strip_lo": first.astype("<u4").tobytes(), "strip_hi": last.astype("<u4").tobytes(),
             "cores": core.tobytes(), "n": len(joined), "data": _zip(joined)}])
 
-    cut = stage(texts.groupBy("block").cogroup(reply.groupBy("block")).applyInPandas(strips, strip_schema), "strips")
+    cut = stage(texts.groupBy("block").cogroup(reply.groupBy("block")).applyInPandas(strips, strip_schema), "strips", blobs=True)
 
     def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,7 +262,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
         size = hi - lo + length
         at = np.cumsum(size) - size
         out = []
-        shard = np.where((total > 1) & (total <= hot), ((core >> np.uint64(21)) % np.uint64(buckets)).astype(np.int64), -1)
+        shard = np.where((total > 1) & (total <= hot), ((core >> np.uint64(21)) % np.uint64(SHARDS * buckets)).astype(np.int64), -1)
         order = np.argsort(shard, kind="stable")
         used, first = np.unique(shard[order], return_index=True)
         bounds = np.append(first, len(shard)).tolist()
@@ -276,7 +284,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
         return pd.DataFrame(out, columns=names)
 
     sent = stage(cut.select("block", "strip_lo", "strip_hi", "cores", "n", "data").groupBy("block")
-                 .cogroup(reply.groupBy("block")).applyInPandas(send, send_schema), "strips-sent")
+                 .cogroup(reply.groupBy("block")).applyInPandas(send, send_schema), "strips-sent", blobs=True)
     span_schema = "block long, starts binary, ends binary"
 
     def sort_shard(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -386,4 +394,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out["text"] = texts
         return pd.DataFrame({c: pd.Series(list(v), dtype=object) if c in kept else v for c, v in out.items()})
 
-    return (blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(finish, schema))
+    texts = blocks.select("block", *kept, "sizes", "n", "data")
+    return texts.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(finish, schema)

@@ -62,6 +62,13 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def window_hashes(prefix: np.ndarray, k: int) -> np.ndarray:
+    """``span_hashes`` of every span of ``k`` bytes."""
+    m = max(len(prefix) - k, 0)
+    raw = (prefix[k:] - prefix[:m]) * powers(max(len(prefix), 1))[1][:m]
+    return mix(raw + np.uint64(k * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+
+
 class Words:
     """The words of a run of texts: ``hash`` per word, ``doc`` its text's
     number, ``first[i]:first[i+1]`` the words of text i; ``start``, ``end``
