@@ -115,9 +115,8 @@ MASS_UNITS = ("ug/m3", "ugm3")
 POLLUTANTS = list(BREAKPOINTS)          # tie order for the dominant pollutant
 PARTICULATES = ("pm25", "pm10")
 
-# Finite values beyond this magnitude all clamp (or go negative) the same
-# way; bounding them keeps the truncating cast inside BIGINT under ANSI.
-_VALUE_BOUND = 1e12
+# A double of this magnitude or more has no fraction to cut off.
+_INTEGRAL = float(1 << 53)
 
 
 def _band_layout():
@@ -157,11 +156,11 @@ def truncate(x, decimals) -> Column:
     NULL."""
     x = _col(x)
     factor = F.lit(float(10 ** decimals)) if isinstance(decimals, int) else decimals
-    # least/greatest skip NULLs, so NULL must be routed around them.
-    bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(math.inf))
-    bounded = F.when(bad, F.lit(None).cast("double")).otherwise(
-        F.greatest(F.least(x, F.lit(_VALUE_BOUND)), F.lit(-_VALUE_BOUND)))
-    return (bounded * factor).cast("long") / factor
+    scaled = x * factor
+    whole = F.abs(scaled) >= F.lit(_INTEGRAL)
+    # The cast sees only values that fit; NULL and NaN fall through to NULL.
+    return (F.when(F.abs(scaled) < F.lit(_INTEGRAL), scaled.cast("long") / factor)
+            .when(whole & ~F.isnan(x) & (F.abs(x) < F.lit(math.inf)), x))
 
 
 # Per-pollutant constants as arrays indexed by the pollutant code (table

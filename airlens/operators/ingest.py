@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from airlens.functions.common import first_truthy, iso_utc_string
 from airlens.operators.scoring import score
 from airlens.schemas import READING_COLUMNS
+from airlens.sources.files import DEFAULT_COUNTRY_LIMIT
 
 
 def _named(sensors: Column) -> Column:
@@ -32,13 +33,12 @@ def _last_per_id(named: Column) -> Column:
 
 def station_attributes(locations: DataFrame) -> DataFrame:
     """Flattened station columns: city = locality, else name, else
-    'Unknown' (empty counts as missing); country code, '' without a country
-    object; coordinates; name ('' when missing); named sensors."""
+    'Unknown' (empty counts as missing); country code, '' without one; coordinates; name ('' when missing); named sensors."""
     flat = locations.select(
         F.col("id").cast("int").alias("location_id"),
         F.coalesce(F.col("name"), F.lit("")).alias("location_name"),
         first_truthy(F.col("locality"), F.col("name"), F.lit("Unknown")).alias("city"),
-        F.when(F.col("country").isNull(), F.lit("")).otherwise(F.col("country.code")).alias("country"),
+        F.coalesce(F.col("country.code"), F.lit("")).alias("country"),
         F.col("coordinates.latitude").alias("latitude"),
         F.col("coordinates.longitude").alias("longitude"),
         _named(F.col("sensors")).alias("_named"),
@@ -114,7 +114,8 @@ def select_stations(stations: DataFrame, quotas: DataFrame, max_locations: int =
     """Stations chosen by country quota with a running global cap.
 
     ``stations``: (location_id, iso), list order = ``location_id`` within a
-    country. ``quotas``: (ord, iso, label, quota) in priority order. Country
+    country. ``quotas``: (ord, iso, label, quota) in priority order (no quota: the
+    default limit). Country
     *i* takes ``min(quota_i, found_i, max_locations - taken so far)``; since
     the running total is ``min(cap, prefix sum of min(quota, found))`` this
     is two small prefix sums instead of a loop. Output: (ord, iso, label,
@@ -126,7 +127,7 @@ def select_stations(stations: DataFrame, quotas: DataFrame, max_locations: int =
     into a partial top-k before the shuffle: a country holding most
     stations ships at most that many rows per map task.
     """
-    q = quotas.select("ord", "iso", "label", F.col("quota").cast("long").alias("quota"))
+    q = quotas.select("ord", "iso", "label", F.coalesce(F.col("quota").cast("long"), F.lit(DEFAULT_COUNTRY_LIMIT)).alias("quota"))
     max_quota = int(q.agg(F.max("quota")).first()[0] or 0)
     found = stations.groupBy("iso").agg(F.count(F.lit(1)).alias("found"))
     capped = (q.join(found, "iso", "left")

@@ -23,7 +23,7 @@ from airlens.plans import oracle as O
 from airlens.plans.batch import run_batch
 from airlens.plans.incremental import read_hourly_version, run_batch_incremental
 from airlens.plans.serving import build_and_write_serving_view
-from airlens.schemas import READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
+from airlens.schemas import READING, READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
 from airlens.session import ensure_utc, scratch_dir
 from airlens.sinks.files import keyed_records, write_readings
 from airlens.sources import testdata as td
@@ -133,8 +133,9 @@ def q_category_counts(spark, sf):
 
 def q_overall_aqi_city_day(spark, sf):
     p = prepared(spark, sf).withColumn("day", F.date_trunc("day", F.col("event_time")))
-    out = S.overall_aqi(p, ["city", "country", "day"]).drop("sub_indices")
-    return ntz(out, "day")
+    out = S.overall_aqi(p, ["city", "country", "day"])
+    parts = {f"sub_{n}": F.col("sub_indices")[n] for n in aqi.POLLUTANTS}
+    return ntz(out.withColumns(parts).drop("sub_indices"), "day")
 
 
 def q_windowed_aqi(spark, sf):
@@ -215,8 +216,9 @@ def q_select_stations(spark, sf):
 
 
 def q_keyed_records(spark, sf):
-    keyed = keyed_records(_ingested(spark, sf))
-    return keyed.groupBy("key").agg(F.count(F.lit(1)).alias("records"))
+    """The records are written as JSON and read back from their values."""
+    back = keyed_records(_ingested(spark, sf)).select("key", F.from_json("value", READING).alias("r"))
+    return back.select("key", *[F.col(f"r.{c}").alias(c) for c in READING_COLUMNS])
 
 
 def q_view_roundtrip(spark, sf):
@@ -225,7 +227,7 @@ def q_view_roundtrip(spark, sf):
     return ntz(hourly_back, "hour").select(*B.HOURLY_COLUMNS)
 
 
-def _run_speed(spark, sf, state_partitions: int = 8, raw_json: str | None = None) -> str:
+def _run_speed(spark, sf, raw_json: str | None = None) -> str:
     """Run the speed layer once over everything available (availableNow)
     and return its output folder: over the events file itself (a
     stream-static join with nation/region), or over landed raw JSON
@@ -240,12 +242,7 @@ def _run_speed(spark, sf, state_partitions: int = 8, raw_json: str | None = None
     else:
         readings = SP.read_stream(spark, raw_json)
     windowed = SP.windowed_stream(readings)
-    prev = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        q = SP.start(windowed, out, f"{out}/_checkpoint", available_now=True)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    q = SP.start(windowed, out, f"{out}/_checkpoint", available_now=True)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -442,7 +439,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT city, country, day, round_even(worst, 0) AS aqi, "
             f"       {O.category_sql('round_even(worst, 0)')} AS category, "
             f"       {O.dominant_sql('worst')} AS dominant_pollutant, "
-            f"       round_even(worst, 0) >= {aqi.DANGEROUS_AQI} AS dangerous FROM d"),
+            f"       round_even(worst, 0) >= {aqi.DANGEROUS_AQI} AS dangerous, "
+            + ", ".join(f"m_{n} AS sub_{n}" for n in aqi.POLLUTANTS) + " FROM d"),
         "windowed_aqi": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
         "windowed_aqi_bucketed": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
         "latest_windows": f"WITH {O.windowed_ctes()}, latest AS ({_LATEST}) SELECT {_WINDOW_SQL} FROM latest",
@@ -488,7 +486,7 @@ def oracle_sql() -> dict[str, str]:
         "keyed_records": (
             f"WITH {O.scored_ctes(ingest=True)} SELECT coalesce(nullif(city, ''), "
             f"CAST(nullif(location_id, 0) AS VARCHAR), 'unknown') AS key, "
-            f"CAST(count(*) AS BIGINT) AS records FROM scored GROUP BY 1"),
+            f"{', '.join(READING_COLUMNS)} FROM scored"),
         "view_roundtrip": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
         "windowed_aqi_stream": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
         "snapshot_roundtrip": (

@@ -25,9 +25,8 @@ def s(text: str) -> str:
 
 def _truncate(x: str, decimals: int) -> str:
     f = d(10 ** decimals)
-    bound = d(1e12)
     return (f"(CASE WHEN ({x}) IS NULL OR isnan({x}) OR isinf({x}) THEN NULL "
-            f"ELSE CAST(trunc(least(greatest({x}, -{bound}), {bound}) * {f}) AS BIGINT) / {f} END)")
+            f"WHEN abs(({x}) * {f}) >= {d(1 << 53)} THEN {x} ELSE trunc(({x}) * {f}) / {f} END)")
 
 
 def unit_sql(unit: str) -> str:
@@ -189,20 +188,12 @@ def windowed_ctes() -> str:
     windowed_m AS (
       SELECT window_start, city, country, max(aqi_sub_index) AS aqi,
              CAST(count(*) AS BIGINT) AS reading_count,
-             min(sid) AS min_sid, {pollutant_max_sql()}
+             arg_min(latitude, sid) AS latitude, arg_min(longitude, sid) AS longitude,
+             {pollutant_max_sql()}
       FROM wexp GROUP BY window_start, city, country),
-    wcoord AS (
-      SELECT window_start, city, country, min(latitude) AS latitude, min(longitude) AS longitude
-      FROM wexp w
-      WHERE sid IS NOT NULL
-        AND sid = (SELECT min_sid FROM windowed_m m WHERE m.window_start = w.window_start
-                   AND m.city IS NOT DISTINCT FROM w.city AND m.country IS NOT DISTINCT FROM w.country)
-      GROUP BY window_start, city, country),
     windowed AS (
       SELECT m.window_start, m.window_start + INTERVAL 60 MINUTE AS window_end, m.city, m.country,
              m.aqi, {dominant_sql('m.aqi', 'm.m_')} AS dominant_pollutant, m.reading_count,
-             m.aqi >= {aqi.DANGEROUS_AQI} AS dangerous, c.latitude, c.longitude
-      FROM windowed_m m LEFT JOIN wcoord c
-        ON m.window_start = c.window_start AND m.city IS NOT DISTINCT FROM c.city
-       AND m.country IS NOT DISTINCT FROM c.country)
+             m.aqi >= {aqi.DANGEROUS_AQI} AS dangerous, m.latitude, m.longitude
+      FROM windowed_m m)
     """

@@ -30,7 +30,6 @@ from airlens.functions.cache import cached
 from airlens.functions.common import iso_utc_string
 from airlens.schemas import READING_COLUMNS
 from airlens.session import ensure_utc
-from airlens.sources.scan import spread_if_undersplit
 
 # Fixed adapter parameters (shared with the DuckDB oracle).
 NATIONS = 25
@@ -132,7 +131,7 @@ def readings_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | N
     """
     ensure_utc(spark)
     ev = events if events is not None else table(spark, sf_dir, "events")
-    ev = spread_if_undersplit(ev.select("event_id", "ts", "user_id", "value"))
+    ev = ev.select("event_id", "ts", "user_id", "value")
     dims = cities(spark, sf_dir)
     joined = ev.join(F.broadcast(dims), F.pmod(ev.user_id, F.lit(NATIONS)) == dims.n_nationkey)
     out = joined.select(*cached(("adapter", "readings"), _reading_columns))
@@ -178,7 +177,7 @@ def locations_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def latest_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One latest-value entry per event (LATEST schema)."""
-    ev = spread_if_undersplit(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
     k = F.pmod(F.col("event_id"), F.lit(len(POLLUTANT_CYCLE)))
     pollutant = pollutant_of(F.col("event_id"))
     return ev.select(

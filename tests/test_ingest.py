@@ -27,18 +27,18 @@ def latest(spark, rows):
 
 def test_sensor_lookup(spark):
     got = {(r.sensor_id, r.pollutant, r.units) for r in sensor_lookup(locations(spark, [LOCATION_DOC])).collect()}
-    assert got == {(1, "pm25", "µg/m³"), (2, "o3", "ppm")}
+    assert got == {(71, "pm25", "µg/m³"), (72, "o3", "ppm")}
 
 
 def test_readings_normalised_scored_and_dropped(spark):
     t = "2026-07-02T10:00:00Z"
-    lat = latest(spark, [(8118, 1, 120.0, t), (8118, 2, 0.03, t), (8118, 99, 5.0, False), (8118, 1, None, t)])
+    lat = latest(spark, [(4242, 71, 120.0, t), (4242, 72, 0.03, t), (4242, 99, 5.0, False), (4242, 71, None, t)])
     out = readings_from_latest(locations(spark, [LOCATION_DOC]), lat, polled_at=poll())
     assert out.columns == READING_COLUMNS
     rows = {r.pollutant: r for r in out.collect()}
     assert set(rows) == {"pm25", "o3"}
     pm = rows["pm25"]
-    assert (pm.city, pm.country, pm.latitude, pm.datetime_utc) == ("New Delhi", "IN", 28.59, t)
+    assert (pm.city, pm.country, pm.latitude, pm.datetime_utc) == ("Porto Vale", "PV", -12.5, t)
     assert pm.aqi_sub_index >= 151
     assert rows["o3"].aqi_sub_index < 51
     assert all(r.ingested_at == "2026-07-02T10:30:00.000000Z" for r in rows.values())
@@ -46,7 +46,7 @@ def test_readings_normalised_scored_and_dropped(spark):
 
 def test_station_without_entries_contributes_nothing(spark):
     docs = [dict(LOCATION_DOC, id=1), dict(LOCATION_DOC, id=2)]
-    lat = latest(spark, [(1, 1, 10.0, "2026-07-02T10:00:00Z")])
+    lat = latest(spark, [(1, 71, 10.0, "2026-07-02T10:00:00Z")])
     rows = readings_from_latest(locations(spark, docs), lat, polled_at=poll()).collect()
     assert [r.location_id for r in rows] == [1]
 
@@ -55,13 +55,13 @@ def test_missing_time_zero_value_and_document_gaps(spark):
     doc = dict(LOCATION_DOC, locality="", country=None, coordinates=None,
                sensors=[{"id": 1, "parameter": {"name": "PM25", "units": "µg/m³"}},
                         {"id": 1, "parameter": {"name": "pm10", "units": "µg/m³"}}])
-    lat = latest(spark, [(8118, 1, 0.0, False)])
+    lat = latest(spark, [(4242, 1, 0.0, False)])
     r = readings_from_latest(locations(spark, [doc]), lat, polled_at=poll()).collect()
     assert len(r) == 1
     r = r[0]
     assert r.value == 0.0 and r.aqi_sub_index == 0.0
     assert r.pollutant == "pm10"                               # last duplicate id wins
-    assert r.city == "New Delhi US Embassy" and r.country == ""
+    assert r.city == "Harbour Road 7" and r.country == ""
     assert r.latitude is None and r.datetime_utc == r.ingested_at
 
 
@@ -95,3 +95,19 @@ def test_select_stations_matches_the_loop(spark, seed):
 
 def test_default_quotas_sum_to_cap():
     assert sum(q[3] for q in DEFAULT_QUOTAS) == DEFAULT_MAX_LOCATIONS == 150
+
+
+def test_empty_country_object_gives_an_empty_country(spark):
+    docs = [dict(LOCATION_DOC, id=1, country={"code": None, "name": "x"}), dict(LOCATION_DOC, id=2, country=None)]
+    lat = latest(spark, [(1, 71, 10.0, "2026-07-02T10:00:00Z"), (2, 71, 10.0, "2026-07-02T10:00:00Z")])
+    rows = readings_from_latest(locations(spark, docs), lat, polled_at=poll()).collect()
+    assert [r.country for r in rows] == ["", ""]
+
+
+def test_missing_quota_is_the_default_limit(spark):
+    stations = spark.createDataFrame([(k, "A") for k in range(40)] + [(100 + k, "B") for k in range(40)],
+                                     "location_id int, iso string")
+    quotas = spark.createDataFrame([(1, "A", "A", None), (2, "B", "B", 15)],
+                                   "ord int, iso string, label string, quota int")
+    got = select_stations(stations, quotas, max_locations=30).groupBy("iso").count().collect()
+    assert {r["iso"]: r["count"] for r in got} == {"A": 10, "B": 15}

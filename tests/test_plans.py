@@ -45,3 +45,22 @@ def test_latest_and_quota_ranks_use_partial_group_limit(spark):
     for name in ["latest_windows_direct", "select_stations", "trailing_hour_direct"]:
         plan = final_plan(spark, name)
         assert "WindowGroupLimit" in plan and "Partial" in plan, name
+
+
+def test_no_round_robin_exchange(spark):
+    from airlens.plans import catalog
+
+    for name in ("hourly_city_aqi", "score_readings", "serving_view", "readings_from_latest"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "RoundRobin" not in plan, name
+
+
+def test_truncate_has_no_cap(spark):
+    from pyspark.sql import functions as F
+
+    from airlens.functions.aqi import truncate
+
+    df = spark.createDataFrame([(5e12,), (-7.25e15,), (1.29,), (-1.29,), (1e300,), (float("inf"),), (float("nan"),), (None,)],
+                               "x double")
+    got = [r[0] for r in df.select(truncate(F.col("x"), 1)).collect()]
+    assert got == [5e12, -7.25e15, 1.2, -1.2, 1e300, None, None, None]

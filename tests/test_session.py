@@ -1,15 +1,6 @@
-"""Session helpers and the scan-spreading guard."""
+"""Session helpers."""
 
 from airlens.session import checkpoint_root, ensure_utc, scratch_dir
-from airlens.sources.scan import spread_if_undersplit
-
-
-def test_spread_only_when_undersplit(spark):
-    one = spark.range(100).coalesce(1)
-    spread = spread_if_undersplit(one, min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread_if_undersplit(many, min_partitions=4) is many
 
 
 def test_scratch_lives_under_checkpoint_dir(spark):
