@@ -98,17 +98,18 @@ def windowed_aqi_bucketed(scored: DataFrame) -> DataFrame:
     return _finish(agg, start, end)
 
 
-def latest_windows(windowed: DataFrame, ordered: bool = True) -> DataFrame:
+def latest_windows(windowed: DataFrame, ordered: bool = True, ties: list[Column] | None = None) -> DataFrame:
     """Per (city, country) the window with the largest ``window_end``,
     sorted by ``aqi`` descending. Rows without a city or country are left
     out. Note that this window is mostly in the future of the newest
     reading (it starts at its 5-minute mark); :func:`trailing_hour` gives
-    the window that ends at a given time.
+    the window that ends at a given time. ``ties`` orders several rows of
+    one window (re-emissions).
 
     ``row_number() = 1`` lets Spark insert a partial group limit before the
     shuffle, so a city with very many windows ships one row per map task.
     """
-    w = Window.partitionBy("city", "country").orderBy(F.col("window_end").desc())
+    w = Window.partitionBy("city", "country").orderBy(F.col("window_end").desc(), *(ties or []))
     out = (windowed.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
            .withColumn("_rn", F.row_number().over(w))
            .filter(F.col("_rn") == 1)

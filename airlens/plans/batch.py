@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from airlens.operators.batch import city_summary, hourly_aqi, prepare
 from airlens.session import ensure_utc
 from airlens.sinks.files import write_hourly_view, write_summary_view
-from airlens.sources.files import read_hourly_view, read_readings
+from airlens.sources.files import load_batch_summary, read_hourly_view, read_readings
 
 
 def run_batch(spark: SparkSession, out_path: str, raw_path: str | None = None,
               readings: DataFrame | None = None, rescore: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Compute and overwrite both batch views; return them as read back.
+    """Compute a new version of both batch views; return them as read back.
 
     The raw input is scanned once: the summary is computed from the written
     hourly view (not by re-running the hourly plan from raw), which also
@@ -26,5 +26,4 @@ def run_batch(spark: SparkSession, out_path: str, raw_path: str | None = None,
     write_hourly_view(hourly, out_path)
     hourly_back = read_hourly_view(spark, out_path)
     write_summary_view(city_summary(hourly_back), out_path)
-    summary_back = spark.read.parquet(f"{out_path.rstrip('/')}/city_summary")
-    return hourly_back, summary_back
+    return hourly_back, load_batch_summary(spark, out_path)

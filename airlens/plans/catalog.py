@@ -70,16 +70,19 @@ def newest_reading_time(spark: SparkSession, sf: str):
     return readings_from_events(spark, sf).select(F.max("event_time")).scalar()
 
 
-def serving(spark: SparkSession, sf: str) -> DataFrame:
+def serving(spark: SparkSession, sf: str, both_sides: bool = False) -> DataFrame:
     """History and latest windows, both from 5-minute bucket aggregates of
     the same readings (the hourly view merged from buckets, the snapshot
-    from each city's newest bucket); no window is expanded. The two sides
-    keep different bucket columns, so Catalyst plans two bucket aggregates;
-    the production merge reads both views from files instead."""
+    from each city's newest bucket); no window is expanded. With ``both_sides``
+    read, the buckets are written once, so scoring and aggregation run once;
+    the two sides need different bucket columns, which Catalyst would compute
+    apart. A query that reads only the snapshot side prunes the other."""
     buckets = W.bucket_aggregates(prepared(spark, sf), keep_null_time=True)
-    # Cities without a name never match a snapshot row.
-    named = buckets.filter(F.col("city").isNotNull() & F.col("country").isNotNull())
-    history = B.city_summary(B.hourly_from_buckets(named), ordered=False)
+    if both_sides:
+        path = scratch_dir(spark, "buckets")
+        buckets.write.parquet(path)
+        buckets = spark.read.schema(buckets.schema).parquet(path)
+    history = B.city_summary(B.hourly_from_buckets(buckets), ordered=False)
     latest = W.latest_windows_from_buckets(buckets, ordered=False)
     snap = V.snapshot_from_latest(latest, computed_at=newest_reading_time(spark, sf))
     return V.merge_views(history, snap)
@@ -167,11 +170,11 @@ def q_trailing_hour_direct(spark, sf):
 
 
 def q_serving_view(spark, sf):
-    return _serving_out(serving(spark, sf))
+    return _serving_out(serving(spark, sf, both_sides=True))
 
 
 def q_dangerous_now(spark, sf):
-    out = V.dashboard_table(V.dangerous_now(serving(spark, sf)))
+    out = V.dashboard_table(V.dangerous_now(serving(spark, sf, both_sides=True)))
     return ntz(round6(out, "historical_avg_aqi"), "window_end")
 
 
@@ -242,10 +245,7 @@ def _run_speed(spark, sf, raw_json: str | None = None) -> str:
     else:
         readings = SP.read_stream(spark, raw_json)
     windowed = SP.windowed_stream(readings)
-    q = SP.start(windowed, out, f"{out}/_checkpoint", available_now=True)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finished(SP.start(windowed, out, f"{out}/_checkpoint", available_now=True))
     return out
 
 
@@ -254,6 +254,19 @@ def q_windowed_aqi_stream(spark, sf):
     return ntz(hist, "window_start", "window_end").select(*WINDOW_COLUMNS)
 
 
+def q_windowed_aqi_stream_restarted(spark, sf):
+    """The stream stops after the first half of the time span and resumes from
+    its checkpoint: windows open at the stop are emitted again, and no file
+    counts twice."""
+    ensure_utc(spark)
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "speed")
+    for half in _halves(spark, sf):
+        write_readings(half, "local", directory=raw)
+        windowed_ = SP.windowed_stream(SP.read_stream(spark, raw))
+        _finished(SP.start(windowed_, out, f"{out}/_checkpoint", available_now=True))
+    return ntz(SP.read_history(spark, out), "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
 def q_snapshot_roundtrip(spark, sf):
     snap = SP.read_snapshot(spark, _run_speed(spark, sf))
     cols = [c for c in SNAPSHOT_COLUMNS if c != "computed_at"]
@@ -279,18 +292,39 @@ def q_batch_job_from_json(spark, sf):
     return _summary_out(summary_back)
 
 
-def q_batch_incremental(spark, sf):
-    """The hourly view built by merging the landed raw files a few at a
-    time (several micro-batches, each merged into the previous version)."""
-    raw = _landed_readings(spark, sf)
-    out = scratch_dir(spark, "incremental")
-    q = run_batch_incremental(spark, raw, out, f"{out}/_checkpoint", max_files_per_trigger=3)
+def _halves(spark, sf) -> list[DataFrame]:
+    """The readings up to the middle of their time span, and all others."""
+    us = F.unix_micros("event_time")
+    r = readings_from_events(spark, sf)
+    middle = r.select(F.timestamp_micros(F.floor((F.min(us) + F.max(us)) / 2))).scalar()
+    early = F.coalesce(F.col("event_time") < middle, F.lit(False))
+    return [r.where(early).select(*READING_COLUMNS), r.where(~early).select(*READING_COLUMNS)]
+
+
+def _finished(q) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def q_batch_incremental(spark, sf):
+    """The hourly view built in two cycles, each over newly landed files only
+    (the second resumes the first one's checkpoint)."""
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "incremental")
+    for half in _halves(spark, sf):
+        write_readings(half, "local", directory=raw)
+        _finished(run_batch_incremental(spark, raw, out, f"{out}/_checkpoint"))
     return ntz(read_hourly_version(spark, out), "hour").select(*B.HOURLY_COLUMNS)
 
 
+def q_batch_job_stored_scores(spark, sf):
+    """Scored readings are landed; the batch job trusts their stored scores."""
+    raw = scratch_dir(spark, "raw")
+    write_readings(S.score(readings_from_events(spark, sf)).select(*READING_COLUMNS), "local", directory=raw)
+    _hourly, summary_back = run_batch(spark, scratch_dir(spark, "batch-views"), raw_path=raw, rescore=False)
+    return _summary_out(summary_back)
+
+
 def q_serving_job(spark, sf):
     """Batch views and the speed snapshot go through files; the serving job
     merges what it loads. ``computed_at`` is the wall clock of the stream."""
@@ -348,6 +382,8 @@ QUERIES: dict[str, Query] = {
     "readings_json_roundtrip": q_readings_json_roundtrip,
     "batch_job_from_json": q_batch_job_from_json,
     "batch_incremental": q_batch_incremental,
+    "batch_job_stored_scores": q_batch_job_stored_scores,
+    "windowed_aqi_stream_restarted": q_windowed_aqi_stream_restarted,
     "serving_job": q_serving_job,
     "ingest_from_json": q_ingest_from_json,
 }
@@ -495,6 +531,8 @@ def oracle_sql() -> dict[str, str]:
             f"window_end FROM latest"),
         "readings_json_roundtrip": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
         "batch_job_from_json": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
+        "batch_job_stored_scores": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
+        "windowed_aqi_stream_restarted": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
         "batch_incremental": f"WITH {O.hourly_ctes()} SELECT {', '.join(B.HOURLY_COLUMNS)} FROM hourly",
         "serving_job": (
             f"WITH {serving} SELECT " + _SERVING_SQL.replace("computed_at, ", "") + " FROM serving"),

@@ -1,161 +1,145 @@
-"""Incremental batch layer: merge only new raw files into the views.
+"""Incremental batch layer: hourly aggregates of only the new raw files.
 
 The full-history batch job (:func:`airlens.plans.batch.run_batch`) rescans
 every raw file each cycle. Here an ``availableNow`` file stream over the raw
 folder hands each run only the files it has not seen (its checkpoint keeps
-the file log); each micro-batch's hourly rows are merged exactly into the
-previous version of the hourly view, and the city summary is recomputed
-from the merged hourly rows, which are far fewer than the raw readings.
-
-Views are versioned by micro-batch id: ``hourly/v=N`` (partitioned by
-country) and ``summary/v=N``. A replayed micro-batch rebuilds ``v=N`` from
-the newest version below N, so a retry never counts a file twice; readers
-take the newest committed version.
+the file log). Each micro-batch adds one small run of mergeable hourly
+partials (per-pollutant maxima and a count), partitioned by day; nothing old is
+rewritten for it. Readers merge the runs, which is one aggregate with map-side
+combine over hourly rows.
+
+Runs are folders ``hourly/stream=ID/run=LEVEL-FROM-TO`` over micro-batches FROM
+to TO. Once ``fan_in`` runs of a level lie side by side they are merged into one
+of the next level, so a row is rewritten once a level, not once a cycle, and
+readers meet few runs. A run within a finished larger one is superseded and not
+read. A replayed micro-batch overwrites its own run, so a retry never counts a
+file twice; a stream with another checkpoint is refused
+(:func:`airlens.sources.versions.claim`).
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from airlens.functions import aqi
-from airlens.operators.batch import HOURLY_COLUMNS, city_summary, hourly_aqi, prepare
-from airlens.schemas import HOURLY, SUMMARY
-from airlens.sources.files import EMPTY_PARTITION
+from airlens.operators.batch import HOURLY_COLUMNS, city_summary, prepare
+from airlens.operators.scoring import (
+    SCORE,
+    dominant_with_other,
+    merge_pollutant_max_aggs,
+    other_pollutant_aggs,
+    pollutant_max_aggs,
+    pollutant_max_columns,
+)
+from airlens.schemas import SUMMARY
+from airlens.sources.versions import claim, committed, folders, stream_identity
 from airlens.streaming.speed import read_stream
 
 KEYS = ["city", "country", "hour"]
+FAN_IN = 8
+PARTIALS = ("city string, country string, hour timestamp, aqi double, reading_count long, "
+            + ", ".join(f"{c} double" for c in pollutant_max_columns()) + ", _max_other double, _other_name string")
 
 
-def _rank(dominant: Column) -> Column:
-    """Tie order of a dominant pollutant; names without breakpoints last."""
-    return F.coalesce(aqi.pollutant_code(F.lower(dominant)), F.lit(len(aqi.POLLUTANTS)))
-
-
-def merge_hourly(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Exact merge of two hourly views over disjoint readings.
-
-    Per (city, country, hour) present in either: the larger ``aqi``, the
-    summed ``reading_count``, and the dominant pollutant of the larger side
-    (on equal ``aqi`` the one first in the fixed pollutant order, as the
-    per-pollutant rule gives on the union). Keys are compared null-safe (a
-    NULL hour is a group of its own); each side holds one row per key.
-
-    The old view is large and the new rows few, so this is not one full
-    outer join (which would shuffle the whole old view every cycle): old
-    rows take their new counterpart through a left join (AQE broadcasts the
-    small new side, the old side stays in place), and new keys missing from
-    the old view come from a left anti join that reads only the old keys.
-    """
-    o = old.select(*[F.col(k).alias(f"o_{k}") for k in KEYS],
-                   F.col("aqi").alias("o_aqi"), F.col("reading_count").alias("o_n"),
-                   F.col("dominant_pollutant").alias("o_dom"))
-    n = new.select(*[F.col(k).alias(f"n_{k}") for k in KEYS],
-                   F.col("aqi").alias("n_aqi"), F.col("reading_count").alias("n_n"),
-                   F.col("dominant_pollutant").alias("n_dom"))
-    cond = None
-    for k in KEYS:
-        c = F.col(f"o_{k}").eqNullSafe(F.col(f"n_{k}"))
-        cond = c if cond is None else cond & c
-    kept = o.join(n, cond, "left")
-    added = n.join(o.select(*[f"o_{k}" for k in KEYS]), cond, "left_anti")
-    for name, dtype in o.dtypes:
-        added = added.withColumn(name, F.lit(None).cast(dtype))
-    j = kept.unionByName(added)
-    in_old = F.col("o_aqi").isNotNull()
-    in_new = F.col("n_aqi").isNotNull()
-    top = F.greatest("o_aqi", "n_aqi")
-    dominant = (F.when(~in_new | (F.col("o_aqi") > F.col("n_aqi")), F.col("o_dom"))
-                .when(~in_old | (F.col("n_aqi") > F.col("o_aqi")), F.col("n_dom"))
-                .when(_rank(F.col("o_dom")) <= _rank(F.col("n_dom")), F.col("o_dom"))
-                .otherwise(F.col("n_dom")))
-    out = j.select(
-        *[F.when(in_old, F.col(f"o_{k}")).otherwise(F.col(f"n_{k}")).alias(k) for k in KEYS],
-        dominant.alias("dominant_pollutant"),
-        top.alias("aqi"),
-        (F.coalesce(F.col("o_n"), F.lit(0)) + F.coalesce(F.col("n_n"), F.lit(0))).alias("reading_count"),
-        aqi.is_dangerous(top).alias("dangerous"),
-    )
-    return out.select(*HOURLY_COLUMNS)
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions under ``path``: folders ``v=N`` with Spark's
-    _SUCCESS marker (a failed write leaves none and is ignored). Older
-    versions are kept; an operator may drop all but the newest two."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    found = []
-    for st in fs.listStatus(hpath):
-        m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            found.append(int(m.group(1)))
-    return sorted(found)
-
-
-def read_hourly_version(spark: SparkSession, out_dir: str, below: int | None = None) -> DataFrame | None:
-    """The newest committed hourly version (below ``below`` if given)."""
+def hourly_partials(prepared: DataFrame, other_pollutants: bool = False) -> DataFrame:
+    """The mergeable form of :func:`airlens.operators.batch.hourly_aqi`."""
+    agg = prepared.groupBy(*KEYS).agg(
+        F.max(SCORE).alias("aqi"), F.count(SCORE).alias("reading_count"), *pollutant_max_aggs(),
+        *(other_pollutant_aggs() if other_pollutants else []))
+    if not other_pollutants:
+        agg = agg.withColumns({"_max_other": F.lit(None).cast("double"), "_other_name": F.lit(None).cast("string")})
+    return agg.filter(F.col("aqi").isNotNull())
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """One row per (city, country, hour); exact, as maxima and counts merge."""
+    return partials.groupBy(*KEYS).agg(
+        F.max("aqi").alias("aqi"), F.sum("reading_count").alias("reading_count"), *merge_pollutant_max_aggs(),
+        F.max("_max_other").alias("_max_other"), F.max_by("_other_name", "_max_other").alias("_other_name"))
+
+
+def hourly_of_partials(partials: DataFrame) -> DataFrame:
+    """The hourly view; ties of the dominant pollutant in the fixed order."""
+    return merge_partials(partials).select(
+        *KEYS, dominant_with_other("aqi").alias("dominant_pollutant"), "aqi", "reading_count",
+        aqi.is_dangerous("aqi").alias("dangerous")).select(*HOURLY_COLUMNS)
+
+
+def _runs(spark: SparkSession, folder: str) -> list[tuple[int, int, int]]:
+    """(level, from, to) of the finished runs that no larger one supersedes, in order."""
+    names = (re.fullmatch(r"run=(\d+)-(\d+)-(\d+)", n) for n in committed(spark, folder))
+    found = [tuple(int(g) for g in m.groups()) for m in names if m]
+    live = [r for r in found if not any(o[0] > r[0] and o[1] <= r[1] and r[2] <= o[2] for o in found)]
+    return sorted(live, key=lambda r: r[1])
+
+
+def _read(spark: SparkSession, folder: str, runs: list[tuple[int, int, int]]) -> DataFrame:
+    paths = ["{}/run={}-{}-{}".format(folder, *r) for r in runs]
+    return spark.read.schema(PARTIALS).option("basePath", folder).parquet(*paths).drop("run", "day")
+
+
+def _write(partials: DataFrame, folder: str, run: tuple[int, int, int]) -> None:
+    (partials.withColumn("day", F.to_date("hour")).hint("rebalance", "day").write.mode("overwrite")
+     .partitionBy("day").parquet("{}/run={}-{}-{}".format(folder, *run)))
+
+
+def compact(spark: SparkSession, folder: str, below: int, fan_in: int = FAN_IN) -> None:
+    """Merge runs of micro-batches before ``below`` while the last ``fan_in`` of them share a level."""
+    while True:
+        tail = [r for r in _runs(spark, folder) if r[2] < below][-fan_in:]
+        if len(tail) < fan_in or len({r[0] for r in tail}) > 1:
+            return
+        _write(merge_partials(_read(spark, folder, tail)), folder, (tail[0][0] + 1, tail[0][1], tail[-1][2]))
+
+
+def read_hourly_version(spark: SparkSession, out_dir: str) -> DataFrame | None:
+    """The hourly view over all finished runs (None before the first)."""
     root = f"{out_dir.rstrip('/')}/hourly"
-    vs = [v for v in _versions(spark, root) if below is None or v < below]
-    if not vs:
-        return None
-    df = spark.read.schema(HOURLY).parquet(f"{root}/v={vs[-1]}")
-    country = F.when(F.col("country") == EMPTY_PARTITION, F.lit("")).otherwise(F.col("country"))
-    return df.withColumn("country", country).select(*HOURLY_COLUMNS)
+    for name in folders(spark, root):
+        runs = _runs(spark, f"{root}/{name}")
+        if runs:
+            return hourly_of_partials(_read(spark, f"{root}/{name}", runs))
+    return None
 
 
 def read_summary_version(spark: SparkSession, out_dir: str) -> DataFrame:
-    """The newest committed summary, or an empty frame of its shape."""
-    root = f"{out_dir.rstrip('/')}/summary"
-    vs = _versions(spark, root)
-    if not vs:
-        return spark.createDataFrame([], SUMMARY)
-    return spark.read.schema(SUMMARY).parquet(f"{root}/v={vs[-1]}")
+    """The city summary of the hourly view, or an empty frame of its shape."""
+    hourly = read_hourly_version(spark, out_dir)
+    return spark.createDataFrame([], SUMMARY) if hourly is None else city_summary(hourly)
 
 
-def make_merge_writer(out_dir: str, rescore: bool = True):
-    """``foreachBatch`` callback merging one micro-batch of raw readings."""
-    root = out_dir.rstrip("/")
+def make_merge_writer(out_dir: str, rescore: bool = True, checkpoint_location: str | None = None,
+                      fan_in: int = FAN_IN):
+    """``foreachBatch`` callback adding one micro-batch of raw readings."""
+    root = f"{out_dir.rstrip('/')}/hourly"
 
-    def merge_batch(raw: DataFrame, batch_id: int) -> None:
+    def add_batch(raw: DataFrame, batch_id: int) -> None:
         spark = raw.sparkSession
-        raw = raw.persist()
-        try:
-            if raw.isEmpty():
-                return
-            new = hourly_aqi(prepare(raw, rescore=rescore), other_pollutants=not rescore)
-            prev = read_hourly_version(spark, root, below=batch_id)
-            merged = new if prev is None else merge_hourly(prev, new)
-            part = F.when(F.col("country") == "", F.lit(EMPTY_PARTITION)).otherwise(F.col("country"))
-            (merged.withColumn("country", part).write.mode("overwrite")
-             .partitionBy("country").parquet(f"{root}/hourly/v={batch_id}"))
-            hourly_v = read_hourly_version(spark, root, below=batch_id + 1)
-            city_summary(hourly_v).write.mode("overwrite").parquet(f"{root}/summary/v={batch_id}")
-        finally:
-            raw.unpersist()
-
-    return merge_batch
+        folder = claim(spark, root, stream_identity(spark, checkpoint_location))
+        compact(spark, folder, batch_id, fan_in)
+        _write(hourly_partials(prepare(raw, rescore=rescore), other_pollutants=not rescore),
+               folder, (0, batch_id, batch_id))
+
+    return add_batch
 
 
 def run_batch_incremental(spark: SparkSession, raw_path: str, out_dir: str, checkpoint_location: str,
                           max_files_per_trigger: int | None = None, rescore: bool = True,
                           fmt: str = "json") -> StreamingQuery:
-    """Merge every raw file not merged before, then stop (``availableNow``).
+    """Add every raw file not added before, then stop (``availableNow``).
     Call it once per cycle; wait with ``awaitTermination()``. The file log
     in ``checkpoint_location`` (a shared folder) is what makes each file
     count once, so producers should land files atomically (write, then
     rename into ``raw_path``), as for any file stream."""
     stream = read_stream(spark, raw_path, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
-    return (stream.writeStream.foreachBatch(make_merge_writer(out_dir, rescore))
+    return (stream.writeStream.foreachBatch(make_merge_writer(out_dir, rescore, checkpoint_location))
             .option("checkpointLocation", checkpoint_location)
             .trigger(availableNow=True).start())
 
 
-__all__ = ["merge_hourly", "read_hourly_version", "read_summary_version", "make_merge_writer",
-           "run_batch_incremental"]
+__all__ = ["hourly_partials", "merge_partials", "hourly_of_partials", "compact", "read_hourly_version",
+           "read_summary_version", "make_merge_writer", "run_batch_incremental"]

@@ -91,6 +91,7 @@ def readings_cte(ingest: bool = False) -> str:
     dropped, ``ingested_at`` = newest reading time.
     """
     pol = _cycle_sql(f"(e.event_id % {len(td.POLLUTANT_CYCLE)})", td.POLLUTANT_CYCLE)
+    val = f"(CASE WHEN e.event_id % {td.NEGATIVE_EVERY} = {td.NEGATIVE_AT} THEN -e.value ELSE e.value END)"
     units = " ".join(f"WHEN {pol} = {s(p)} THEN {s(u)}" for p, u in td.SENSOR_UNITS.items())
     if ingest:
         unit = f"CASE {units} END"
@@ -98,7 +99,7 @@ def readings_cte(ingest: bool = False) -> str:
         ingested = "(SELECT strftime(max(ts), '%Y-%m-%dT%H:%M:%S.%fZ') FROM events)"
     else:
         unit = f"""CASE WHEN e.event_id % {td.MYSTERY_EVERY} = 0 THEN 'mystery'
-                WHEN {pol} IN ('pm25', 'pm10') THEN 'µg/m³'
+                WHEN {pol} IN ('pm25', 'pm10') OR e.event_id % {td.MASS_EVERY} = {td.MASS_AT} THEN 'µg/m³'
                 WHEN {pol} IN ('o3', 'co') THEN 'ppm'
                 ELSE 'ppb' END"""
         where = ""
@@ -112,9 +113,9 @@ def readings_cte(ingest: bool = False) -> str:
            CASE WHEN e.user_id % {td.NO_COORDS_EVERY} = 0 THEN NULL
                 ELSE n.n_nationkey * {d(td.LON_STEP)} + {d(td.LON_BASE)} END AS longitude,
            {pol} AS pollutant,
-           CASE WHEN {pol} = 'o3' THEN e.value / {d(1000.0)}
-                WHEN {pol} = 'co' THEN e.value / {d(10.0)}
-                ELSE e.value END AS value,
+           CASE WHEN {pol} = 'o3' THEN {val} / {d(1000.0)}
+                WHEN {pol} = 'co' THEN {val} / {d(10.0)}
+                ELSE {val} END AS value,
            {unit} AS unit,
            strftime(e.ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS datetime_utc,
            {ingested} AS ingested_at,

@@ -3,11 +3,14 @@ serving view."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from airlens.functions.common import record_key
 from airlens.sources.files import EMPTY_PARTITION
+from airlens.sources.versions import following, move_files
 
 SINK_KINDS = ("local", "kafka")
 
@@ -34,34 +37,40 @@ def write_readings(df: DataFrame, kind: str, directory: str | None = None,
     """Append readings to a sink and return how many were written.
 
     ``local``: JSON lines under ``directory``; every write adds new part
-    files and an empty frame writes nothing. ``kafka``: keyed records to
-    ``topic`` (needs the Kafka connector on the classpath; options such as
-    ``kafka.bootstrap.servers`` pass through). Anything else: ValueError.
+    files and an empty frame writes nothing. The plan runs once: files are
+    written beside ``directory`` and moved into it if they hold any row.
+    ``kafka``: keyed records to ``topic`` (needs the Kafka connector on the
+    classpath; options such as ``kafka.bootstrap.servers`` pass through).
+    Anything else: ValueError.
     """
     if kind not in SINK_KINDS:
         raise ValueError(f"Unknown sink kind: {kind!r} (expected one of {SINK_KINDS})")
-    if df.isEmpty():
-        return 0
     if kind == "local":
         if not directory:
             raise ValueError("the local sink needs a directory")
-        return _write_counted(df, lambda d: d.write.mode("append").json(directory))
+        staging = f"{directory.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+        written = _write_counted(df, lambda d: d.write.json(staging))
+        move_files(df.sparkSession, staging, directory if written else None)
+        return written
     keyed = keyed_records(df)
     return _write_counted(keyed, lambda d: d.write.format("kafka").options(**options)
                           .option("topic", topic).save())
 
 
 def write_hourly_view(hourly: DataFrame, batch_view_dir: str) -> None:
-    """Overwrite the hourly view, partitioned by country; an empty country
-    is written as a sentinel so that it reads back as ""."""
+    """Add a version of the hourly view, partitioned by country; an empty
+    country is written as a sentinel so that it reads back as "". The
+    rebalance gives a country few files, and AQE splits a large country over
+    several tasks."""
     part = F.when(F.col("country") == "", F.lit(EMPTY_PARTITION)).otherwise(F.col("country"))
-    (hourly.withColumn("country", part)
+    (hourly.withColumn("country", part).hint("rebalance", "country")
      .write.mode("overwrite").partitionBy("country")
-     .parquet(f"{batch_view_dir.rstrip('/')}/hourly_city_aqi"))
+     .parquet(following(hourly.sparkSession, f"{batch_view_dir.rstrip('/')}/hourly_city_aqi")))
 
 
 def write_summary_view(summary: DataFrame, batch_view_dir: str) -> None:
-    summary.write.mode("overwrite").parquet(f"{batch_view_dir.rstrip('/')}/city_summary")
+    summary.write.mode("overwrite").parquet(
+        following(summary.sparkSession, f"{batch_view_dir.rstrip('/')}/city_summary"))
 
 
 def write_views(hourly: DataFrame, summary: DataFrame, batch_view_dir: str) -> None:
@@ -70,4 +79,4 @@ def write_views(hourly: DataFrame, summary: DataFrame, batch_view_dir: str) -> N
 
 
 def write_serving_view(serving: DataFrame, out_dir: str) -> None:
-    serving.write.mode("overwrite").json(f"{out_dir.rstrip('/')}/serving_view")
+    serving.write.mode("overwrite").json(following(serving.sparkSession, f"{out_dir.rstrip('/')}/serving_view"))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.schemas import HOURLY, LATEST, LOCATION, QUOTA, READING, SNAPSHOT, SUMMARY
+from airlens.sources.versions import newest
 
 # Written in place of an empty-string partition value (Hive would turn ""
 # into its default partition and read it back as NULL).
@@ -32,15 +33,6 @@ DEFAULT_MAX_LOCATIONS = 150
 DEFAULT_COUNTRY_LIMIT = 10
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system of ``path`` (works
-    for local, HDFS and object-store URIs alike)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def read_readings(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Raw readings under ``path`` (any depth). Permissive: a malformed line
     is an all-NULL row, a bad field a NULL field."""
@@ -67,7 +59,8 @@ def read_hourly_view(spark: SparkSession, batch_view_dir: str) -> DataFrame:
     """The hourly view, with the empty-country partition mapped back. Read
     with the declared schema, so a country code that looks like a number
     stays a string (partition values are otherwise type-inferred)."""
-    df = spark.read.schema(HOURLY).parquet(f"{batch_view_dir.rstrip('/')}/hourly_city_aqi")
+    view = f"{batch_view_dir.rstrip('/')}/hourly_city_aqi"
+    df = spark.read.schema(HOURLY).parquet(newest(spark, view) or view)
     country = F.when(F.col("country") == EMPTY_PARTITION, F.lit("")).otherwise(F.col("country"))
     return df.withColumn("country", country).select(
         "city", "country", "hour", "dominant_pollutant", "aqi", "reading_count", "dangerous")
@@ -75,15 +68,11 @@ def read_hourly_view(spark: SparkSession, batch_view_dir: str) -> DataFrame:
 
 def load_batch_summary(spark: SparkSession, batch_view_dir: str) -> DataFrame:
     """The city summary, or an empty frame of the same shape."""
-    path = f"{batch_view_dir.rstrip('/')}/city_summary"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SUMMARY)
-    return spark.read.parquet(path)
+    path = newest(spark, f"{batch_view_dir.rstrip('/')}/city_summary")
+    return spark.read.schema(SUMMARY).parquet(path) if path else spark.createDataFrame([], SUMMARY)
 
 
 def load_speed_snapshot(spark: SparkSession, speed_view_dir: str) -> DataFrame:
     """The latest speed snapshot, or an empty frame of the same shape."""
-    path = f"{speed_view_dir.rstrip('/')}/snapshot"
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], SNAPSHOT)
-    return spark.read.schema(SNAPSHOT).json(path)
+    path = newest(spark, f"{speed_view_dir.rstrip('/')}/snapshot")
+    return spark.read.schema(SNAPSHOT).json(path) if path else spark.createDataFrame([], SNAPSHOT)

@@ -8,9 +8,11 @@ arithmetic, applied to every row (no row is dropped or sampled):
   the nation's ``r_name``
 * pollutant by ``event_id % 7``: pm25, pm10, o3, co, so2, no2, bc (bc has no
   breakpoint table, so it never scores)
-* value: o3 ``/1000`` (ppm), co ``/10`` (ppm), the rest as is
+* value: o3 ``/1000`` (ppm), co ``/10`` (ppm), the rest as is; negative when
+  ``event_id % 17 = 3`` (unscorable)
 * unit: ``mystery`` when ``event_id % 11 = 0`` (unscorable), else ``µg/m³``
-  for particulates, ``ppm`` for o3/co, ``ppb`` for so2/no2/bc
+  for particulates and when ``event_id % 13 = 5`` (gases by mass), ``ppm`` for
+  o3/co, ``ppb`` for so2/no2/bc
 * reading time: ``ts`` read on the UTC clock
 * coordinates from the nation key, missing when ``user_id % 10 = 0``
 
@@ -35,6 +37,8 @@ from airlens.session import ensure_utc
 NATIONS = 25
 POLLUTANT_CYCLE = ["pm25", "pm10", "o3", "co", "so2", "no2", "bc"]
 MYSTERY_EVERY = 11
+MASS_EVERY, MASS_AT = 13, 5
+NEGATIVE_EVERY, NEGATIVE_AT = 17, 3
 NO_COORDS_EVERY = 10
 LAT_STEP, LAT_BASE = 3.5, -40.0
 LON_STEP, LON_BASE = 14.0, -170.0
@@ -80,7 +84,8 @@ def pollutant_of(event_id: Column) -> Column:
     return _cycle(F.pmod(event_id, F.lit(len(POLLUTANT_CYCLE))), POLLUTANT_CYCLE)
 
 
-def value_of(pollutant: Column, raw: Column) -> Column:
+def value_of(pollutant: Column, raw: Column, event_id: Column) -> Column:
+    raw = F.when(F.pmod(event_id, F.lit(NEGATIVE_EVERY)) == NEGATIVE_AT, -raw).otherwise(raw)
     return (F.when(pollutant == "o3", raw / F.lit(1000.0))
             .when(pollutant == "co", raw / F.lit(10.0))
             .otherwise(raw))
@@ -88,7 +93,7 @@ def value_of(pollutant: Column, raw: Column) -> Column:
 
 def unit_of(pollutant: Column, event_id: Column) -> Column:
     return (F.when(F.pmod(event_id, F.lit(MYSTERY_EVERY)) == 0, F.lit("mystery"))
-            .when(pollutant.isin("pm25", "pm10"), F.lit("µg/m³"))
+            .when(pollutant.isin("pm25", "pm10") | (F.pmod(event_id, F.lit(MASS_EVERY)) == MASS_AT), F.lit("µg/m³"))
             .when(pollutant.isin("o3", "co"), F.lit("ppm"))
             .otherwise(F.lit("ppb")))
 
@@ -113,7 +118,7 @@ def _reading_columns() -> list[Column]:
         lat.alias("latitude"),
         lon.alias("longitude"),
         pollutant.alias("pollutant"),
-        value_of(pollutant, F.col("value")).alias("value"),
+        value_of(pollutant, F.col("value"), F.col("event_id")).alias("value"),
         unit_of(pollutant, F.col("event_id")).alias("unit"),
         iso.alias("datetime_utc"),
         iso.alias("ingested_at"),
@@ -183,7 +188,7 @@ def latest_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("user_id").alias("location_id"),
         (F.col("user_id") * F.lit(SENSOR_STRIDE) + k).alias("sensorsId"),
-        value_of(pollutant, F.col("value")).alias("value"),
+        value_of(pollutant, F.col("value"), F.col("event_id")).alias("value"),
         F.struct(iso_utc_string(F.col("ts").cast("timestamp")).alias("utc")).alias("datetime"),
     )
 

@@ -16,8 +16,7 @@ from airlens.operators.batch import prepare
 from airlens.operators.serving import speed_snapshot
 from airlens.operators.windows import WATERMARK, latest_windows, windowed_aqi
 from airlens.schemas import READING, SNAPSHOT_COLUMNS
-from airlens.session import checkpoint_root
-from airlens.sources.files import path_exists
+from airlens.sources.versions import claim, following, newest, stream_identity
 
 log = logging.getLogger(__name__)
 
@@ -68,16 +67,18 @@ def windowed_stream(raw_stream: DataFrame, rescore: bool = True,
                         other_pollutants=not rescore)
 
 
-def make_batch_writer(out_dir: str, snapshot_mode: str = "batch"):
+def make_batch_writer(out_dir: str, snapshot_mode: str = "batch", checkpoint_location: str | None = None):
     """``foreachBatch`` callback.
 
     Per non-empty micro-batch: the updated windows go to
-    ``history/batch_id=N`` (overwritten, so a replayed batch leaves the
-    history unchanged) and the snapshot (latest window per city) replaces
+    ``history/stream=ID/batch_id=N`` (overwritten, so a replayed batch leaves
+    the history unchanged; another stream's output is refused) and the
+    snapshot (latest window per city) becomes the next version of
     ``snapshot``. ``snapshot_mode="batch"`` keeps only cities this batch
     touched (as the reference does); ``"merge"`` folds in the previous
-    snapshot so quiet cities stay. The micro-batch is persisted once and
-    reused by every action.
+    snapshot so quiet cities stay, and a window emitted again replaces its
+    previous row. The micro-batch is persisted once and reused by every
+    action.
     """
     if snapshot_mode not in ("batch", "merge"):
         raise ValueError(f"snapshot_mode must be 'batch' or 'merge', not {snapshot_mode!r}")
@@ -89,22 +90,20 @@ def make_batch_writer(out_dir: str, snapshot_mode: str = "batch"):
             if df.isEmpty():
                 return
             spark = df.sparkSession
-            df.write.mode("overwrite").parquet(f"{root}/history/batch_id={batch_id}")
+            history = claim(spark, f"{root}/history", stream_identity(spark, checkpoint_location))
+            df.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
             snap = speed_snapshot(df)
             snap_path = f"{root}/snapshot"
-            if snapshot_mode == "merge" and path_exists(spark, snap_path):
-                checkpoint_root(spark)          # the shared folder checkpoint() writes to
-                prev = spark.read.schema(snap.schema).json(snap_path)
-                both = snap.unionByName(prev)
-                snap = latest_windows(both).select(*SNAPSHOT_COLUMNS)
-                # The old snapshot is read by this plan and overwritten by it:
-                # cut the lineage into the shared checkpoint folder first.
-                snap = snap.checkpoint(eager=True)
+            before = newest(spark, snap_path)
+            if snapshot_mode == "merge" and before:
+                prev = spark.read.schema(snap.schema).json(before)
+                both = snap.withColumn("_age", F.lit(0)).unionByName(prev.withColumn("_age", F.lit(1)))
+                snap = latest_windows(both, ties=[F.col("_age")]).select(*SNAPSHOT_COLUMNS)
             # Metrics ride along with the write (no second pass over the snapshot).
             metrics = Observation(f"airlens_snapshot_{batch_id}")
             snap = snap.observe(metrics, F.count(F.lit(1)).alias("cities"),
                                 F.count_if(F.col("dangerous")).alias("dangerous"))
-            snap.write.mode("overwrite").json(snap_path)
+            snap.write.mode("overwrite").json(following(spark, snap_path))
             m = metrics.get
             log.info("batch %s: %s cities tracked, %s dangerous now", batch_id, m["cities"], m["dangerous"])
         finally:
@@ -119,18 +118,24 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def start(windowed: DataFrame, out_dir: str, checkpoint_location: str,
           trigger_seconds: int | None = DEFAULT_TRIGGER_SECONDS, available_now: bool = False,
           snapshot_mode: str = "batch", query_name: str | None = None,
-          rocksdb_state: bool = False) -> StreamingQuery:
+          rocksdb_state: bool = False, state_partitions: int | None = None) -> StreamingQuery:
     """Start the update-mode query. ``available_now`` processes what is
     there and stops; otherwise a processing-time trigger fires every
     ``trigger_seconds``. The checkpoint makes a restart resume where it
-    stopped (and fixes the number of state partitions: the session's
-    ``spark.sql.shuffle.partitions`` at the first start). ``rocksdb_state``
-    keeps window state in RocksDB on local disk instead of the JVM heap,
-    for many cities; it must be chosen before the first start."""
+    stopped, and fixes the number of state partitions at the first start:
+    ``state_partitions``, or the session's ``spark.sql.shuffle.partitions``.
+    ``rocksdb_state`` keeps window state in RocksDB on local disk instead of
+    the JVM heap, for many cities; it must be chosen before the first start.
+    Both hold for this stream only: a stream takes its own copy of the
+    session's settings when it starts, and the session gets its own back."""
+    conf = windowed.sparkSession.conf
+    own = {}
     if rocksdb_state:
-        windowed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        own["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+    if state_partitions:
+        own["spark.sql.shuffle.partitions"] = str(int(state_partitions))
     writer = (windowed.writeStream.outputMode("update")
-              .foreachBatch(make_batch_writer(out_dir, snapshot_mode))
+              .foreachBatch(make_batch_writer(out_dir, snapshot_mode, checkpoint_location))
               .option("checkpointLocation", checkpoint_location))
     if query_name:
         writer = writer.queryName(query_name)
@@ -138,7 +143,14 @@ def start(windowed: DataFrame, out_dir: str, checkpoint_location: str,
         writer = writer.trigger(availableNow=True)
     elif trigger_seconds:
         writer = writer.trigger(processingTime=f"{int(trigger_seconds)} seconds")
-    return writer.start()
+    before = {k: conf.get(k, None) for k in own}
+    try:
+        for k, v in own.items():
+            conf.set(k, v)
+        return writer.start()
+    finally:
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def run_for(query: StreamingQuery, seconds: float | None = None) -> None:
@@ -156,7 +168,7 @@ def read_history(spark: SparkSession, out_dir: str, latest_only: bool = True) ->
     Window keys have high cardinality, so the rank shuffles evenly."""
     from pyspark.sql import Window
 
-    hist = spark.read.parquet(f"{out_dir.rstrip('/')}/history")
+    hist = spark.read.parquet(f"{out_dir.rstrip('/')}/history").drop("stream")
     if not latest_only:
         return hist
     w = Window.partitionBy("window_start", "city", "country").orderBy(F.desc("batch_id"))

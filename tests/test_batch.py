@@ -87,7 +87,7 @@ def test_run_batch_roundtrip_keeps_empty_country(spark, scratch):
     hourly, summary = run_batch(spark, scratch, readings=readings_df(spark, rows))
     assert sorted((r.city, r.country) for r in hourly.collect()) == [("A", ""), ("B", "IN")]
     assert sorted((r.city, r.country) for r in summary.collect()) == [("A", ""), ("B", "IN")]
-    assert os.path.isdir(os.path.join(scratch, "hourly_city_aqi", "country=IN"))
+    assert os.path.isdir(os.path.join(scratch, "hourly_city_aqi", "v=0", "country=IN"))
 
 
 def test_trusted_scores_are_kept(spark):

@@ -2,13 +2,15 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from airlens.operators.batch import HOURLY_COLUMNS, city_summary, hourly_aqi, prepare
 from airlens.plans.batch import run_batch
 from airlens.plans.incremental import (
+    hourly_of_partials,
+    hourly_partials,
     make_merge_writer,
-    merge_hourly,
     read_hourly_version,
     read_summary_version,
     run_batch_incremental,
@@ -38,10 +40,11 @@ def same(a, b):
 def test_merge_equals_recompute_on_union(spark):
     flat = [r for b in BATCHES for r in b]
     whole = hourly_aqi(prepare(readings_df(spark, flat)))
-    merged = None
+    parts = None
     for b in BATCHES:
-        part = hourly_aqi(prepare(readings_df(spark, b)))
-        merged = part if merged is None else merge_hourly(merged, part)
+        part = hourly_partials(prepare(readings_df(spark, b)))
+        parts = part if parts is None else parts.unionByName(part)
+    merged = hourly_of_partials(parts)
     assert same(merged.select(*HOURLY_COLUMNS), whole.select(*HOURLY_COLUMNS))
     tie = [r for r in merged.collect() if r.city == "B" and r.hour and r.hour.hour == 11]
     assert tie[0].dominant_pollutant == "pm25"         # equal aqi on both sides: fixed order
@@ -75,3 +78,32 @@ def test_replayed_micro_batch_counts_once(spark, scratch):
     want = hourly_aqi(prepare(readings_df(spark, BATCHES[0] + BATCHES[1])))
     assert same(got, want.select(*HOURLY_COLUMNS))
     assert same(read_summary_version(spark, out), city_summary(want))
+
+
+def test_runs_are_merged_by_levels(spark, scratch):
+    write = make_merge_writer(scratch, fan_in=2)
+    for i in range(6):
+        write(readings_df(spark, BATCHES[i % 4]), i)
+    write(readings_df(spark, BATCHES[1]), 5)          # retry after merges
+    names = os.listdir(os.path.join(scratch, "hourly", "stream=direct"))
+    assert {"run=1-0-1", "run=1-2-3", "run=2-0-3"} <= set(names)
+    want = hourly_aqi(prepare(readings_df(spark, [r for i in range(6) for r in BATCHES[i % 4]])))
+    assert same(read_hourly_version(spark, scratch), want.select(*HOURLY_COLUMNS))
+
+
+def test_stored_score_of_an_unknown_pollutant(spark):
+    rows = [reading("A", "bc", 1.0, "ug/m3", at("10:01"), score=210.0),
+            reading("A", "pm25", 1.0, "ug/m3", at("10:02"), score=20.0)]
+    df = prepare(readings_df(spark, rows), rescore=False)
+    got = hourly_of_partials(hourly_partials(df, other_pollutants=True)).first()
+    assert (got.dominant_pollutant, got.aqi, got.reading_count) == ("bc", 210.0, 2)
+
+
+def test_another_checkpoint_over_the_same_output_is_refused(spark, scratch):
+    raw, out = os.path.join(scratch, "raw"), os.path.join(scratch, "out")
+    land(raw, BATCHES[:1])
+    run_batch_incremental(spark, raw, out, os.path.join(scratch, "c1")).awaitTermination()
+    before = read_hourly_version(spark, out).collect()
+    with pytest.raises(Exception, match="another stream"):
+        run_batch_incremental(spark, raw, out, os.path.join(scratch, "c2")).awaitTermination()
+    assert read_hourly_version(spark, out).collect() == before

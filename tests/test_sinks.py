@@ -25,6 +25,20 @@ def test_empty_write_creates_no_file(spark, scratch):
     assert not os.path.exists(out)
 
 
+def test_a_write_runs_its_plan_once(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(20).mapInArrow(count, "id long")
+    assert write_readings(df, "local", directory=os.path.join(scratch, "raw")) == 20
+    assert seen.value == 20
+    assert os.listdir(scratch) == ["raw"]              # nothing staged is left
+
+
 def test_each_write_adds_files(spark, scratch):
     out = os.path.join(scratch, "raw")
     for v in (1, 2):

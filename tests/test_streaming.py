@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from airlens.operators.batch import prepare
@@ -81,6 +82,35 @@ def test_snapshot_modes(spark, scratch):
     assert all(r.computed_at is not None for r in snap)
 
 
+def test_merged_snapshot_takes_the_newest_emission(spark, scratch):
+    batches = [[reading("A", "pm25", 10.0, "ug/m3", at("10:07")), reading("B", "pm25", 10.0, "ug/m3", at("10:07"))],
+               [reading("A", "pm25", 100.0, "ug/m3", at("10:08"))]]       # same newest window again
+    out = run_stream(spark, scratch, batches, snapshot_mode="merge")
+    snap = {r.city: r for r in speed.read_snapshot(spark, out).collect()}
+    assert sorted(snap) == ["A", "B"]
+    assert snap["A"].reading_count == 2 and snap["A"].aqi > snap["B"].aqi
+
+
+def test_another_checkpoint_over_the_same_history_is_refused(spark, scratch):
+    out = run_stream(spark, scratch, [[reading("A", "pm25", 10.0, "ug/m3", at("10:07"))]])
+    stream = speed.read_stream(spark, os.path.join(scratch, "raw"))
+    q = speed.start(speed.windowed_stream(stream), out, os.path.join(scratch, "other"), available_now=True)
+    with pytest.raises(Exception, match="another stream"):
+        q.awaitTermination()
+
+
+def test_stream_settings_stay_with_the_stream(spark, scratch):
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"]
+    before = [spark.conf.get(k) for k in keys]
+    raw, out = os.path.join(scratch, "raw"), os.path.join(scratch, "out")
+    land(raw, [[reading("A", "pm25", 10.0, "ug/m3", at("10:07"))]])
+    q = speed.start(speed.windowed_stream(speed.read_stream(spark, raw)), out, os.path.join(scratch, "ckpt"),
+                    available_now=True, rocksdb_state=True, state_partitions=3)
+    q.awaitTermination()
+    assert [spark.conf.get(k) for k in keys] == before
+    assert len([d for d in os.listdir(os.path.join(scratch, "ckpt", "state", "0")) if d.isdigit()]) == 3
+
+
 def test_replayed_batch_leaves_history_unchanged(spark, scratch):
     rows = [reading("A", "pm25", 100.0, "ug/m3", at("10:07"))]
     windows = windowed_aqi(prepare(readings_df(spark, rows)))
