@@ -185,6 +185,13 @@ def _run_hashes(data: np.ndarray, runs: np.ndarray, length: int, k: int) -> tupl
             mix(span_hashes(prefix, runs[:, 1], runs[:, 2] + length) + np.uint64(1)))
 
 
+def _joined(start: np.ndarray, length: int) -> tuple[bytes, bytes]:
+    """Packed (first bytes, ends) of the spans that strings at neighbouring starts cover together."""
+    edge = np.flatnonzero(np.diff(start) != 1)
+    first, last = np.append(0, edge + 1)[:len(start)], np.append(edge, len(start) - 1)[:len(start)]
+    return start[first].astype("<u4").tobytes(), (start[last] + length).astype("<u4").tobytes()
+
+
 def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -> DataFrame:
     """(block, starts, ends): spans of repeated strings, not merged."""
     buckets = partitions(blocks.sparkSession)
@@ -326,8 +333,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
             n = size[ids] - length + 1
             step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             hit = repeated[np.repeat(base[ids], n) + step]
-            start = (np.repeat(lo, n) + step)[hit]
-            out.append((block, start.astype("<u4").tobytes(), (start + length).astype("<u4").tobytes()))
+            out.append((block, *_joined((np.repeat(lo, n) + step)[hit], length)))
         return pd.DataFrame(out, columns=["block", "starts", "ends"])
 
     sorted_ = sent.where("kind = 0").groupBy("shard").applyInPandas(sort_shard, span_schema)
@@ -346,8 +352,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
             return pd.DataFrame([], columns=["block", "starts", "ends"])
         lo = np.frombuffer(b"".join(mine["lo"]), "<u4").astype(np.int64)
         start = lo[_total(_reply(reply), np.frombuffer(b"".join(mine["hashes"]), np.uint64)) > 1]
-        return pd.DataFrame([(key[0], start.astype("<u4").tobytes(), (start + length).astype("<u4").tobytes())],
-                            columns=["block", "starts", "ends"])
+        return pd.DataFrame([(key[0], *_joined(start, length))], columns=["block", "starts", "ends"])
 
     placed = crowded.groupBy("block").cogroup(reply.groupBy("block")).applyInPandas(place, span_schema)
     return cut.select("block", "starts", "ends").unionByName(sorted_).unionByName(placed)
