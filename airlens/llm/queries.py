@@ -74,8 +74,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("doc_id", (F.lit(1) - F.col("quality")).alias("low_quality"), "toxic"))
     chain = toxicity.fit(docs, labels, TOXIC_CHAIN)
     out = toxicity.score(docs, chain, TOXIC_CHAIN, keep={"held_out": fold(F.col("doc_id"), 5) == 0})
+    threshold = chain.thresholds[TOXIC_CHAIN.index("toxic")] if chain else 0.5
     return (out.withColumn("score", F.col("p_toxic"))
-            .withColumn("predicted", (F.col("p_toxic") >= 0.5).cast("int")))
+            .withColumn("predicted", (F.col("p_toxic") >= threshold).cast("int")))
 
 
 QUERIES = {

@@ -216,11 +216,19 @@ def test_toxicity_chain(spark, docs):
     got = {r.doc_id: r for r in toxicity.score(every, chain, ["rude", "vile"]).collect()}
     for i, a, b in lab[200:]:
         assert (got[i].p_rude > 0.5) == bool(a) and (got[i].p_vile > 0.5) == bool(b)
+    assert len(chain.thresholds) == 2
     assert toxicity.score(docs, chain, ["rude", "vile"]).count() == len(corpus())
     none = toxicity.fit(every, labels.limit(0), ["rude", "vile"])
     assert {r.p_vile for r in toxicity.score(docs, none, ["rude", "vile"]).collect()} == {0.0}
 
 
+def test_toxicity_threshold_of_best_f1():
+    p, y = np.array([0.02, 0.11, 0.32, 0.34, 0.9]), np.array([0, 0, 1, 1, 1])
+    assert toxicity._threshold(p, y) == 0.3          # 0.15 to 0.3 are perfect: the nearest to 0.5
+    assert toxicity._threshold(p, np.zeros(5)) == 0.5
+    assert toxicity._threshold(np.full(4, 0.7), np.ones(4)) == 0.5
+
+
 # --- duplicates ---------------------------------------------------------------
 
 def brute_repeats(texts, length):
