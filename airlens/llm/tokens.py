@@ -1,12 +1,12 @@
 """Token ids of whole texts with a public BPE tokenizer file.
 
 ``Encoder`` gives the ids that ``Tokenizer.encode(text,
-add_special_tokens=False)`` gives (special-token strings being ordinary
-text), several times faster: the tokenizer never merges across ASCII white
-space, so a text's ids are the concatenation of its chunks' ids, and the
-bytes of a chunk's ids are kept. A chunk of ASCII or Latin-1 letters, digits
-and punctuation is split by the tokenizer's own pattern and its pieces go to
-``Tokenizer.model``; any other chunk goes through the whole tokenizer.
+add_special_tokens=False)`` gives, several times faster: the tokenizer never
+merges across ASCII white space, so a text's ids are the concatenation of its
+chunks' ids, and the bytes of a chunk's ids are kept. A chunk of ASCII or
+Latin-1 letters, digits and punctuation is split by the tokenizer's own pattern
+and its pieces go to ``Tokenizer.model``; any other chunk, and any that holds
+the string of an added token, goes through the whole tokenizer.
 
 The caches hold at most ``cache_size`` entries each and then take no more,
 so memory is bounded; a text's ids never depend on them.
@@ -15,6 +15,7 @@ so memory is bounded; a text's ids never depend on them.
 from __future__ import annotations
 
 import re
+import string
 import threading
 
 import numpy as np
@@ -60,12 +61,17 @@ class _Chunks(dict):
 
     def __init__(self, tokenizer, size: int):
         self.tokenizer, self.size = tokenizer, size
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        if any(set(t) & set(string.whitespace) for t in added):
+            raise ValueError("an added token with white space would span chunks")
+        # Case is ignored, as a token may be matched after the normalizer.
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         self.pieces = _Pieces(tokenizer.model, size)
         self.get_piece = self.pieces.__getitem__
 
     def __missing__(self, raw: bytes) -> bytes:
         chunk = raw.decode()
-        if _PLAIN.fullmatch(chunk):
+        if _PLAIN.fullmatch(chunk) and not self.added.search(chunk):
             out = b"".join(map(self.get_piece, _PIECE.findall(chunk.lower())))
         else:
             out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, ID_DTYPE).tobytes()
@@ -79,7 +85,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_tokenizer_path())
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of this vocabulary need more than 16 bits")
         self.chunks = _Chunks(self.tokenizer, cache_size)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from airlens.llm import (brown, decontamination, langid, multi_index, ngram_join, packing, quality,
                          suffix_dedup, tokenfile, toxicity)
 from airlens.llm.components import components
-from airlens.llm.tokens import Encoder
+from airlens.llm.tokens import Encoder, default_tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, uid int, block int"
 
@@ -69,6 +69,26 @@ def test_encoder_equals_the_tokenizer():
     assert [list(e.encode(t)) for t in texts] == [w.ids for w in want]
 
 
+def test_added_tokens_are_one_id(spark, scratch):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(default_tokenizer_path())
+    marks = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", "a", "'", "s", "É", "  ", "\n", "3", "你"]
+    rng = random.Random(6)
+    texts = ["a<|endoftext|>b", "x <|startoftext|> y"] + ["".join(rng.choices(marks, k=9)) for _ in range(300)]
+    e = Encoder()
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [e.encode(t).tolist() for t in texts] == want
+    assert want[0] == [320, 49407, 321]
+    docs = table(spark, [(k, t, "en") for k, t in enumerate(texts)])
+    tokenfile.write_tokens(docs, scratch)
+    starts = np.cumsum([0] + [len(w) + 1 for w in want]).tolist()
+    got = tokenfile.read_tokens(spark, scratch, ids=True).collect()
+    assert sorted(r[1] for r in got) == starts[:-1]
+    packed = {(r.doc_id, r.doc_tokens) for r in packing.pack(docs).collect()}
+    assert packed == {(k, len(w) + 1) for k, w in enumerate(want)}
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 7, 240, 4095, 4096, 4097, 20000):
