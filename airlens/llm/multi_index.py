@@ -5,10 +5,13 @@ a bounded sample of ``sample`` vectors), and the product grid of the two is the
 index: every vector lies in the cell of its nearest codewords. A query visits
 cells in the order of the summed distances of its halves (multi-sequence
 traversal: the first T cells lie among the rank pairs (i, j) with
-(i + 1)(j + 1) <= T). T is the least number that reaches ``target`` recall on
-the true pairs of ``probe`` sample vectors, found by brute force against all
-vectors; with few such pairs, on sample vectors turned to the threshold's angle.
-Every vector is indexed and every vector queries. What a cell holds is then
+(i + 1)(j + 1) <= T). T is the largest of three numbers, each the least that
+reaches ``target`` recall: on the true pairs of ``probe`` sample vectors, found
+by brute force against all vectors; on the same pairs with each sample vector
+weighing 1, so that a large group of near copies does not decide for the others;
+and on sample vectors turned to the threshold's angle, the hardest links.
+Every vector is indexed and every vector queries; cells that hold no vector are
+left out. What a cell holds is then
 verified in double precision, so no pair below the threshold is linked.
 
 Equal vectors are one class, so copies are not expanded. A cell's vectors and
@@ -116,6 +119,7 @@ def _fit(reps: DataFrame, n: int, dim: int, threshold: float, target: float, sam
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid, q = shared.value
+        cells = len(grid.first) * len(grid.second)
         for b in batches:
             y = np.array([np.frombuffer(v, np.float64) for v in b.column("vec").to_pylist()]).reshape(-1, q.shape[1])
             for a in range(0, len(y), 1024):
@@ -124,28 +128,35 @@ def _fit(reps: DataFrame, n: int, dim: int, threshold: float, target: float, sam
                 other = (q[i] != part[j]).any(1)
                 i, j = i[other], j[other]
                 rank = [grid.ranks(q[i[c:c + 512]], part[j[c:c + 512]]) for c in range(0, len(i), 512)]
-                own, m = np.unique(np.concatenate(rank) if rank else np.zeros(0, np.int64), return_counts=True)
-                yield pa.record_batch({"rank": own, "n": m.astype(np.int64)})
-
+                own, m = np.unique(i * cells + (np.concatenate(rank) if rank else 0), return_counts=True)
+                yield pa.record_batch({"probe": (own // cells).astype(np.int32), "rank": own % cells,
+                                       "n": m.astype(np.int64)})
+
+    met = stage(reps.select("vec").mapInArrow(meet, "probe int, rank long, n long")
+                .groupBy("probe", "rank").agg(F.sum("n").alias("n")), "probe-ranks")
+    degree = np.ones(len(queries))
+    for r in met.groupBy("probe").agg(F.sum("n").alias("n")).collect():
+        degree[r["probe"]] = r["n"]
+    shares = reps.sparkSession.createDataFrame(list(enumerate((1 / degree).tolist())), "probe int, share double")
     # Ranks are less than the number of cells, so the histogram is bounded.
-    seen = sorted((r["rank"], r["n"]) for r in reps.select("vec").mapInArrow(meet, "rank long, n long")
-                  .groupBy("rank").agg(F.sum("n").alias("n")).collect())
-    if sum(m for _, m in seen) < 100:
-        rng = np.random.default_rng(seed)
-        q = queries[rng.integers(0, len(queries), 1000)]
-        side = rng.normal(size=q.shape)
-        side -= (side * q).sum(1, keepdims=True) * q
-        side /= np.maximum(np.sqrt((side * side).sum(1, keepdims=True)), 1e-12)
-        turned = threshold * q + max(0.0, 1 - threshold ** 2) ** 0.5 * side
-        rank, m = np.unique(grid.ranks(q, turned), return_counts=True)
-        seen += list(zip(rank.tolist(), m.tolist()))
-        seen.sort()
-    need, total = target * sum(m for _, m in seen), 0
-    for rank, m in seen:
-        total += m
-        if total >= need:
-            return grid, min(rank + 1, k * k)
-    return grid, k * k
+    seen = (met.join(F.broadcast(shares), "probe").groupBy("rank")
+            .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("share")).alias("w")).orderBy("rank").collect())
+    rng = np.random.default_rng(seed)
+    q = queries[rng.integers(0, len(queries), 1000)]
+    side = rng.normal(size=q.shape)
+    side -= (side * q).sum(1, keepdims=True) * q
+    side /= np.maximum(np.sqrt((side * side).sum(1, keepdims=True)), 1e-12)
+    turned = threshold * q + max(0.0, 1 - threshold ** 2) ** 0.5 * side
+    t = max(visits_for(target, [r["rank"] for r in seen], [r["n"] for r in seen]),
+            visits_for(target, [r["rank"] for r in seen], [r["w"] for r in seen]),
+            visits_for(target, *np.unique(grid.ranks(q, turned), return_counts=True)))
+    return grid, min(t, k * k)
+
+
+def visits_for(target: float, ranks: list[int], weights: list[float]) -> int:
+    """How many cells to visit so that ``target`` of the weight is met; ranks ascend."""
+    total = np.cumsum(weights)
+    return int(ranks[int((total < target * total[-1] - 1e-9).sum())]) + 1 if len(ranks) else 1
 
 
 def _verify(threshold: float):
@@ -232,9 +243,13 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     placed = stage(reps.select("cid", "vec", "copies").mapInArrow(
         visit, "cid long, vec binary, copies long, cells array<int>, visits binary"), "visits")
     indexed = placed.select(F.col("cells")[0].alias("cell"), F.lit(1).alias("role"), "cid", "vec", "copies", "visits")
-    probes = placed.select(F.explode("cells").alias("cell"), F.lit(0).alias("role"), "cid", "vec", "copies", "visits")
+    # There are 512 x 512 cells at most. A visitor is asked only for its own cell.
+    held = stage(placed.groupBy(F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("k")), "held-cells")
+    probes = placed.select(F.explode("cells").alias("cell"), F.lit(0).alias("role"), "cid", "vec", "copies",
+                           F.substring("visits", 1, 4).alias("visits"))
+    probes = probes.join(F.broadcast(held.select("cell")), "cell", "left_semi")
     load = (placed.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
-            .join(placed.groupBy(F.col("cells")[0].alias("cell")).agg(F.count(F.lit(1)).alias("k")), "cell")
+            .join(held, "cell")
             .select("cell", F.ceil(F.col("k") / block).cast("int").alias("iblocks"),
                     F.ceil(F.col("m") / (2 * block)).cast("int").alias("pblocks"))
             .where("iblocks > 1 or pblocks > 1"))

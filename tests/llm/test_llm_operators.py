@@ -404,6 +404,33 @@ def test_embeddings(spark):
     assert multi_index.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embeddings_beside_a_large_group(spark):
+    """A group of near copies has nearly all pairs; the others' links lie near the threshold."""
+    rng = np.random.default_rng(5)
+
+    def unit(x):
+        return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+    base = unit(rng.normal(size=(250, 32)))
+    side = [rng.normal(size=base.shape) for _ in range(3)]
+    side = [unit(s - (s * base).sum(1, keepdims=True) * base) for s in side]
+    others = np.concatenate([base] + [0.953 * base + (1 - 0.953 ** 2) ** 0.5 * s for s in side])
+    hot = unit(unit(rng.normal(size=(1, 32))) + rng.normal(size=(500, 32)) * 0.001)
+    x = np.concatenate([others, hot])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in multi_index.near_duplicates(df.repartition(3), block=64).collect()}
+    want = (unit(x) @ unit(x).T >= 0.95).sum(1) - 1
+    assert all(got[i] <= want[i] for i in got)
+    share = np.array([got[i] / want[i] for i in range(len(x)) if want[i]])
+    assert share[len(others):].mean() == 1 and share[:len(others)].mean() >= 0.99
+
+
+def test_visits_reach_the_target():
+    assert multi_index.visits_for(0.995, [0, 7, 9], [990, 5, 5]) == 8
+    assert multi_index.visits_for(0.995, [0, 7, 9], [1, 1, 1]) == 10
+    assert multi_index.visits_for(0.995, [], []) == 1
+
+
 # --- benchmark ----------------------------------------------------------------
 
 def test_benchmark_hits(spark, docs, empty):
