@@ -33,16 +33,19 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: its smallest id.
 
-    Rows are found again by id and text, so only hashes pass through the join
-    operator; rows equal in both are one document."""
-    text = F.coalesce("text", F.lit(""))
-    prints = {"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text), "empty": F.col("text").isNull()}
-    found = ngram_join.classes(docs, keep=prints).where("kept")
-    stay = stage(found.select(F.col("doc_id").alias("_id"), "h1", "h2", "empty").distinct(), "kept-rows")
-    keyed = docs.select(*COLUMNS, *[c.alias(f"_{n}") for n, c in prints.items()])
-    same = (keyed["doc_id"].eqNullSafe(stay["_id"]) & (keyed["_h1"] == stay["h1"]) & (keyed["_h2"] == stay["h2"])
-            & (keyed["_empty"] == stay["empty"]))
-    return keyed.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_h1", "_h2", "_empty"]).select(*COLUMNS)
+    Rows without words link with nothing, so each stays. The others are found
+    again by hashes of all their columns, so only hashes pass through the join
+    operator; a group keeps one row, so rows equal in every column are one."""
+    docs = docs.select(*COLUMNS)
+    # The join's words lie between ASCII white space.
+    worded = F.coalesce(F.col("text").rlike(r"[^\x09-\x0D ]"), F.lit(False))
+    every = [F.col(c) for c in COLUMNS] + [F.col(c).isNull() for c in COLUMNS]
+    prints = {"h1": F.xxhash64(*every), "h2": F.xxhash64(F.lit(1), *every)}
+    found = ngram_join.classes(docs.where(worded), keep=prints).where("kept")
+    stay = stage(found.select("h1", "h2").distinct(), "kept-rows")
+    keyed = docs.where(worded).select(*COLUMNS, *[c.alias(n) for n, c in prints.items()])
+    kept = keyed.join(stay, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    return kept.select(*COLUMNS).unionByName(docs.where(~worded))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -88,6 +88,16 @@ def test_repeated_rows_and_nulls(spark):
     assert cp.drop_near_duplicates(spark, docs.limit(0), SF).count() == 0
 
 
+def test_rows_without_words_stay(spark):
+    blank = [(None, None, "en", "s", None), (None, None, "de", "s", None), (None, None, "en", "s", None),
+             (5, "", "en", "s", 0), (5, "", "en", "t", 0), (5, " \t\x0b", "en", "t", 3), (5, " \t\x0b", None, "t", 3)]
+    worded = [(6, "\x1c", "en", "s", 1), (6, "\x1c", "en", "s", 1), (7, "one two", "en", "s", 7), (7, "one two", "de", "s", 7)]
+    docs = spark.createDataFrame(blank + worded, "doc_id long, text string, lang string, source string, n_chars long")
+    got = Counter(map(tuple, cp.drop_near_duplicates(spark, docs, SF).collect()))
+    assert all(got[r] == n for r, n in Counter(blank).items())
+    assert got[worded[0]] == 1 and got[worded[2]] + got[worded[3]] == 1 and sum(got.values()) == len(blank) + 2
+
+
 def test_every_operator_has_a_query():
     names = entry.queries()
     for n in range(1, 11):
