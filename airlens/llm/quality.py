@@ -8,8 +8,9 @@ representation gives the document's probability of label 1. The weights of all
 layers are learned from document labels only, by Adam on the log loss.
 
 Fit: a sample of at most ``max_docs`` labelled rows, those of smallest id hash
-(a documented bound; very long texts give at most ``max_passages`` evenly
-spread passages to the fit, scoring reads all). Scoring covers every row.
+(a documented bound), each with all of its passages; a row whose passages would
+exceed ``max_passages`` in all is passed over, so long texts make the sample one
+of fewer rows. Scoring covers every row.
 
 Null or empty text: one empty passage. Rows without a label, or whose id has
 no label row, are not learned from; without any usable label the score is the
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import texts_of
+from airlens.llm.common import stage, texts_of
 
 PASSAGE_CHARS = 1000
 _CLASSES = 14
@@ -119,31 +120,32 @@ class Model:
         return self.forward(x, first)[-1]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_passages: int = 64,
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_passages: int = 256_000,
         epochs: int = 25, batch: int = 64, seed: int = 7) -> Model | None:
     """``labels``: doc_id, label (0 or 1), already without held-out rows."""
     lab = labels.where("label is not null and doc_id is not null")
     # Equal ids: the one with the larger label counts, so the fit is defined.
     lab = lab.groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
     lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    # max_docs ids at most: a bounded broadcast.
-    rows = docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")
+    # max_docs ids at most: a bounded broadcast. Of equal ids the smallest text counts.
+    rows = (docs.select("doc_id", "text").join(F.broadcast(lab), "doc_id")
+            .groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text")))
+    rows = stage(rows, "quality-texts")
+    n = F.greatest(F.lit(1), F.ceil(F.length(F.coalesce("text", F.lit(""))) / PASSAGE_CHARS))
+    left, chosen = max_passages, []
+    for r in rows.select("doc_id", n.alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if r["n"] <= left:
+            left -= r["n"]
+            chosen.append((r["doc_id"],))
+    chosen = docs.sparkSession.createDataFrame(chosen, f"doc_id {dict(rows.dtypes)['doc_id']}")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bags = []
-            for text in texts_of(b):
-                parts = passages(text)
-                if len(parts) > max_passages:
-                    parts = [parts[k * len(parts) // max_passages] for k in range(max_passages)]
-                bags.append(features(parts).astype("<f4").tobytes())
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "label": b.column("label"),
-                                   "bag": pa.array(bags, pa.binary())})
-
-    got = rows.mapInArrow(encode, "doc_id long, label double, bag binary").collect()
-    # Of equal ids only the first bag counts, so at most max_docs bags.
-    got = sorted({r["doc_id"]: r for r in sorted(got, key=lambda r: r["bag"], reverse=True)}.values(),
-                 key=lambda r: r["doc_id"])
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "label": b.column("label"), "bag": pa.array(
+                [features(passages(t)).astype("<f4").tobytes() for t in texts_of(b)], pa.binary())})
+
+    got = sorted(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+                 .mapInArrow(encode, "doc_id long, label double, bag binary").collect(), key=lambda r: r["doc_id"])
     if not got:
         return None
     label = np.array([r["label"] for r in got])

@@ -218,6 +218,24 @@ def test_quality_learns_and_handles_gaps(spark, docs, empty):
     assert {r.score for r in quality.score(docs, quality.fit(docs, labels.limit(0))).collect()} == {0.5}
 
 
+def test_quality_fit_reads_every_passage(spark):
+    rows = []
+    for k in range(60):
+        parts = [sentences(1000 * k + i, 200)[:1000] for i in range(100)]
+        if k % 2:
+            parts[2] = parts[2].upper().replace(" ", "!")       # one passage tells
+        rows.append((k, "".join(parts), "en"))
+    every = table(spark, rows)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, label int")
+    got = {r.doc_id: r.score for r in quality.score(every, quality.fit(every, labels)).collect()}
+    assert all((got[k] > 0.5) == bool(k % 2) for k in range(40, 60))
+    # Fewer rows, all of their passages; of equal ids the smallest text.
+    few = quality.fit(table(spark, rows + [(1, rows[1][1] + "z", "en")]), labels, max_passages=350)
+    order = [r.doc_id for r in labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(3).collect()]
+    want = np.concatenate([quality.features(quality.passages(rows[k][1])) for k in order])
+    assert np.allclose(few.mean, want.mean(0), atol=1e-5)
+
+
 def test_toxicity_chain(spark, docs):
     rng = random.Random(2)
     rows, lab = [], []
