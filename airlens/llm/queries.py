@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm import brown, decontamination, langid, multi_index, ngram_join, packing, quality, suffix_dedup, tokenfile, toxicity
+from airlens.llm import (brown, decontamination, exact_dedup, langid, multi_index, ngram_join, oracle, packing, quality,
+                         ranked_search, spelling, suffix_dedup, tokenfile, toxicity)
 from airlens.llm.common import fold, read_table, stage
 from airlens.session import scratch_dir
 
@@ -79,6 +80,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("p_toxic") >= threshold).cast("int")))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of even ids stand for what earlier runs have kept digests of."""
+    docs = read_table(spark, sf_dir, "documents")
+    return exact_dedup.deduplicate(docs, history=F.col("doc_id") % 2 == 0)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(read_table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, read_table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(read_table(spark, sf_dir, "documents"), min_length=6, min_count=5, damage=199)
+    return spelling.variants(words, ratio=5)
+
+
 QUERIES = {
     "op1_brown_lm": op1_brown_lm,
     "op2_packing": op2_packing,
@@ -90,5 +107,13 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_vectors": op9_near_vectors,
     "op10_toxicity": op10_toxicity,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op5_ngram_join": oracle.OP5,
+    "op11_exact_dedup": oracle.OP11,
+    "op12_ranked_search": oracle.OP12,
+    "op13_spelling_variants": oracle.OP13,
 }
-ORACLE_SQL: dict[str, str] = {}
