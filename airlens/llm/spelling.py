@@ -341,16 +341,20 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cell_trees(words: DataFrame, cell: int) -> dict[int, Tree]:
     """A tree over cells for each length with more words than one cell takes
-    (long words count as several), fitted to a sample of ``SAMPLE_WORDS`` words."""
-    sizes = words.groupBy(F.length("word").alias("length")).count().withColumn(
-        "cells", F.col("count") * F.greatest(F.lit(16), F.col("length")) / (16 * cell)).where("cells > 1").collect()
-    if not sizes:
+    (long words count as several), fitted to a sample of about ``SAMPLE_WORDS``
+    words, chosen by hash, and of twice as many at most."""
+    sizes = words.groupBy(F.length("word").alias("length")).agg(F.count(F.lit(1)).alias("n")).collect()
+    cells = {r["length"]: r["n"] * max(16, r["length"]) / (16 * cell) for r in sizes}
+    cells = {k: c for k, c in cells.items() if c > 1}
+    if not cells:
         return {}
+    share = min(1.0, SAMPLE_WORDS / sum(r["n"] for r in sizes))
+    chosen = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     sample: dict[int, list[bytes]] = {}
-    for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(SAMPLE_WORDS).collect():
+    for r in words.where(chosen).select("word").limit(2 * SAMPLE_WORDS).collect():
         sample.setdefault(len(r["word"]), []).append(r["word"].encode("latin-1"))
-    return {r["length"]: build_tree(vectors(letters(sample[r["length"]])), min(DEPTH, int(np.ceil(np.log2(r["cells"])))), 1, False)
-            for r in sizes if r["length"] in sample}
+    return {k: build_tree(vectors(letters(sample[k])), min(DEPTH, int(np.ceil(np.log2(c)))), 1, False)
+            for k, c in cells.items() if k in sample}
 
 
 def near(words: DataFrame, cell: int = CELL_WORDS) -> DataFrame:
