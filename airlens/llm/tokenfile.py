@@ -35,70 +35,76 @@ FRAME_SCHEMA = ("part int, frame int, first long, doc_ids array<long>, doc_token
                 "n_ids long, block_words binary, words binary")
 
 
+_SMALL = np.array([v.bit_length() for v in range(1 << 12)], np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bit length of each uint64."""
     out = np.zeros(len(values), np.uint8)
-    v = values.copy()
-    for step in (32, 16, 8, 4, 2, 1):
-        big = v >= np.uint64(1 << step)
-        out[big] += step
-        v[big] >>= np.uint64(step)
-    return out + (values > 0).astype(np.uint8)
-
-
-def _longest(bits: np.ndarray) -> np.ndarray:
-    """At each position, the selector that packs most of the values that follow."""
-    n = len(bits)
-    padded = np.concatenate((bits, np.zeros(240, np.uint8)))
-    best = np.zeros(n, np.uint8)                 # 0: escape
-    run = {1: padded}                            # widest of the next 2**k values
+    rest = values
+    while len(values) and int(rest.max()) >> 12:         # 12 bits at a time
+        big = rest >= np.uint64(1 << 12)
+        out += np.where(big, np.uint8(12), np.uint8(0))
+        rest = np.where(big, rest >> np.uint64(12), rest)
+    return out + _SMALL[rest]
+
+
+def _longest(bits: np.ndarray, n: int) -> np.ndarray:
+    """At each of the first ``n`` places of a row, the selector that packs most of
+    the values that follow; rows end in at least 240 zeros. A selector that fits
+    makes all with fewer values fit, so counting those that fit gives the first."""
+    fits = np.zeros((len(bits), n), np.uint8)
+    run = {1: bits}                              # widest of the next 2**k values
     k = 1
     while k < 128:
         a = run[k]
-        run[2 * k] = np.maximum(a[:-k], a[k:])
+        run[2 * k] = np.maximum(a[:, :-k], a[:, k:])
         k *= 2
-    for s in range(len(SELECTORS) - 1, 0, -1):   # from one value a word to most
-        count, width = SELECTORS[s]
+    for count, width in SELECTORS[1:]:
         p = 1 << (count.bit_length() - 1)
-        widest = np.maximum(run[p][:n], run[p][count - p:count - p + n])
-        best[widest <= width] = s
-    return best
+        widest = np.maximum(run[p][:, :n], run[p][:, count - p:count - p + n])
+        fits += widest <= width
+    return np.where(fits > 0, len(SELECTORS) - fits, 0)          # 0: escape
 
 
 def encode_words(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, first word of each block) of an id array."""
-    values = values.astype(np.uint64)
-    out: list[np.ndarray] = []
-    offsets = [0]
-    counts = np.array([c for c, _ in SELECTORS])
-    for b in range(0, len(values), BLOCK):
-        v = values[b:b + BLOCK]
-        best = _longest(_bits(v))
-        step = counts[best].tolist()
-        at, i = [], 0
-        while i < len(v):
-            at.append(i)
-            i += step[i]
-        at = np.array(at)
-        sel = best[at]
-        words = sel.astype(np.uint64) << _TOP
-        padded = np.concatenate((v, np.zeros(240, np.uint64)))
-        for s in np.unique(sel):
-            count, width = SELECTORS[s]
-            if s < 2:
-                continue
+    if not len(values):
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+    # A row a block, with zeros behind it: values of the next block must not leak in.
+    blocks = -(-len(values) // BLOCK)
+    row = BLOCK + 240
+    padded = np.zeros((blocks, row), np.uint64)
+    tail = len(values) - (blocks - 1) * BLOCK
+    padded[:-1, :BLOCK] = values[:(blocks - 1) * BLOCK].reshape(-1, BLOCK)
+    padded[-1, :tail] = values[(blocks - 1) * BLOCK:]
+    best = _longest(_bits(padded.ravel()).reshape(blocks, row), BLOCK)
+    step = np.array([c for c, _ in SELECTORS])[best]
+    at: list[int] = []
+    first = [0]
+    for b, counts in enumerate(step.tolist()):
+        i, base, end = 0, b * row, BLOCK if b < blocks - 1 else tail
+        while i < end:
+            at.append(base + i)
+            i += counts[i]
+        first.append(len(at))
+    place = np.array(at)
+    sel = best[place // row, place % row].astype(np.int64)
+    words = sel.astype(np.uint64) << _TOP
+    flat = padded.ravel()
+    for s in np.unique(sel).tolist():
+        count, width = SELECTORS[s]
+        if s > 1:
             where = np.flatnonzero(sel == s)
-            span = padded[at[where][:, None] + np.arange(count)]
-            # Values of the next word must not leak in behind the block's end.
-            words[where] |= (span << (np.arange(count, dtype=np.uint64) * np.uint64(width))).sum(
-                1, dtype=np.uint64)
-        escaped = np.flatnonzero(sel == 0)
-        if len(escaped):
-            words = np.insert(words, escaped + 1, v[at[escaped]])
-        out.append(words)
-        offsets.append(offsets[-1] + len(words))
-    words = np.concatenate(out) if out else np.zeros(0, np.uint64)
-    return words, np.array(offsets[:-1], np.uint32)
+            got = flat[place[where]]
+            for j in range(1, count):
+                got |= flat[place[where] + j] << np.uint64(j * width)
+            words[where] |= got
+    escaped = np.flatnonzero(sel == 0)
+    if len(escaped):
+        words = np.insert(words, escaped + 1, flat[place[escaped]])
+    offsets = np.array(first[:-1])
+    return words, (offsets + np.searchsorted(escaped, offsets)).astype(np.uint32)
 
 
 def decode_words(words: np.ndarray, block_words: np.ndarray, n: int) -> np.ndarray:
