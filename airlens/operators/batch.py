@@ -88,13 +88,73 @@ def hourly_from_buckets(buckets: DataFrame) -> DataFrame:
     )
 
 
-def city_summary(hourly: DataFrame, ordered: bool = True) -> DataFrame:
+_NO_HOUR = (1 << 63) - 1            # the NULL hour, after every other
+_SUM = "decimal(38,12)"             # sums that do not depend on their order
+
+
+def daily_partials(hourly: DataFrame) -> DataFrame:
+    """Per (city, country, day) of the hourly view (a NULL hour has a NULL day), what a
+    city summary merges (``DAILY``): hours, sum, dangerous hours, the maximum, its
+    earliest hour and the pollutant at it. Fixed width: the hour is a long and the
+    pollutant a code, so both aggregates stay hash-based. The first groups equal scores, which
+    makes the hour of the maximum unique for the second; one shuffle serves both."""
+    pos = F.array_position(F.array(*[F.lit(p) for p in aqi.POLLUTANTS]), F.col("dominant_pollutant"))
+    rows = hourly.select(
+        "city", "country", F.to_date("hour").alias("day"), "aqi", F.col("aqi").cast(_SUM).alias("_s"),
+        F.col("dangerous").cast("int").alias("_d"), F.coalesce(F.unix_micros("hour"), F.lit(_NO_HOUR)).alias("_at"),
+        F.when(pos > 0, (pos - 1).cast("int")).alias("_code"))
+    keys = ["city", "country", "day"]
+    equal = rows.repartition(*keys).groupBy(*keys, "aqi").agg(
+        F.count(F.lit(1)).alias("hours"), F.sum("_s").alias("aqi_sum"), F.sum("_d").alias("dangerous_hours"),
+        F.min("_at").alias("max_at"), F.min_by("_code", "_at").alias("worst_code"))
+    return _of_equal_scores(equal.withColumnRenamed("aqi", "max_aqi"), keys)
+
+
+def merge_daily(daily: DataFrame) -> DataFrame:
+    """The days of each city merged (no ``day``); as hash-based as the days."""
+    keys = ["city", "country"]
+    equal = daily.repartition(*keys).groupBy(*keys, "max_aqi").agg(
+        F.sum("hours").alias("hours"), F.sum("aqi_sum").alias("aqi_sum"), F.sum("dangerous_hours").alias("dangerous_hours"),
+        F.min("max_at").alias("max_at"), F.min_by("worst_code", "max_at").alias("worst_code"))
+    return _of_equal_scores(equal, keys)
+
+
+def _of_equal_scores(equal: DataFrame, keys: list[str]) -> DataFrame:
+    return equal.groupBy(*keys).agg(
+        F.sum("hours").alias("hours"), F.sum("aqi_sum").cast(_SUM).alias("aqi_sum"),
+        F.sum("dangerous_hours").alias("dangerous_hours"), F.max("max_aqi").alias("max_aqi"),
+        F.max_by("max_at", "max_aqi").alias("max_at"), F.max_by("worst_code", "max_aqi").alias("worst_code"))
+
+
+DAILY = (f"city string, country string, day date, hours long, aqi_sum {_SUM}, dangerous_hours long, max_aqi double, "
+         "max_at long, worst_code int")
+
+
+def summary_of_daily(daily: DataFrame, ordered: bool = True) -> DataFrame:
+    """The city summary from :func:`daily_partials`."""
+    hours = F.col("hours")
+    out = merge_daily(daily).select(
+        "city", "country", hours.alias("hours_observed"),
+        (F.col("aqi_sum").cast("double") / hours).alias("avg_aqi"), "max_aqi",
+        F.when(F.col("max_at") < _NO_HOUR, F.timestamp_micros("max_at")).alias("max_aqi_at"),
+        F.get(F.array(*[F.lit(p) for p in aqi.POLLUTANTS]), F.col("worst_code")).alias("worst_pollutant"),
+        (F.col("dangerous_hours") / hours).alias("pct_hours_dangerous"))
+    return out.orderBy(F.desc("max_aqi"), "city", "country") if ordered else out
+
+
+def city_summary(hourly: DataFrame, ordered: bool = True, other_pollutants: bool = False) -> DataFrame:
     """Per (city, country) over the hourly view.
 
     ``max_aqi_at`` and ``worst_pollutant`` come from one row: the earliest
     hour at the maximum (a NULL hour last). ``pct_hours_dangerous`` is a
     fraction 0..1. Sorted by ``max_aqi`` descending, then city, country.
+
+    ``other_pollutants``: the view may name pollutants without breakpoints
+    (trusted, stored scores). Names of any length need a sort-based aggregate;
+    without the option such a name is NULL here.
     """
+    if not other_pollutants:
+        return summary_of_daily(daily_partials(hourly), ordered)
     best = F.max(F.struct(
         F.col("aqi"),
         (-F.unix_micros(F.col("hour"))).alias("neg_hour"),
@@ -103,7 +163,7 @@ def city_summary(hourly: DataFrame, ordered: bool = True) -> DataFrame:
     ))
     agg = hourly.groupBy("city", "country").agg(
         F.count(F.lit(1)).alias("hours_observed"),
-        F.avg("aqi").alias("avg_aqi"),
+        (F.sum(F.col("aqi").cast(_SUM)).cast("double") / F.count(F.lit(1))).alias("avg_aqi"),
         F.max("aqi").alias("max_aqi"),
         best.alias("_best"),
         (F.sum(F.col("dangerous").cast("int")) / F.count(F.lit(1))).alias("pct_hours_dangerous"),

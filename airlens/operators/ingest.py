@@ -17,6 +17,9 @@ from airlens.schemas import READING_COLUMNS
 from airlens.sources.files import DEFAULT_COUNTRY_LIMIT
 
 
+RANK_SPAN = 1 << 16          # ids of a country that are ranked together
+
+
 def _named(sensors: Column) -> Column:
     return F.filter(sensors, lambda s: F.coalesce(s["parameter"]["name"], F.lit("")) != "")
 
@@ -110,7 +113,7 @@ def parameters(locations: DataFrame) -> DataFrame:
     return sensor_lookup(locations).select("pollutant", "units").distinct()
 
 
-def select_stations(stations: DataFrame, quotas: DataFrame, max_locations: int = 150) -> DataFrame:
+def select_stations(stations: DataFrame, quotas: DataFrame, max_locations: int | Column = 150) -> DataFrame:
     """Stations chosen by country quota with a running global cap.
 
     ``stations``: (location_id, iso), list order = ``location_id`` within a
@@ -122,24 +125,34 @@ def select_stations(stations: DataFrame, quotas: DataFrame, max_locations: int =
     location_id, station_rank).
 
     The quota table is a small config list (one row per country), so it is
-    broadcast and its one-partition running sum is bounded. The per-country
-    rank is limited by a literal (the largest quota), which Spark turns
-    into a partial top-k before the shuffle: a country holding most
-    stations ships at most that many rows per map task.
+    broadcast and its one-partition running sum is bounded. No country takes more
+    stations than its quota, so the quotas are joined first and a station's rank is
+    compared with its own country's; a station of no listed country is never
+    shuffled. A country's stations are ranked in spans of their ids (the span in the
+    key), so one that holds most of them is spread over tasks; a span's rank goes
+    on from the stations counted in the spans before it.
     """
     q = quotas.select("ord", "iso", "label", F.coalesce(F.col("quota").cast("long"), F.lit(DEFAULT_COUNTRY_LIMIT)).alias("quota"))
-    max_quota = int(q.agg(F.max("quota")).first()[0] or 0)
-    found = stations.groupBy("iso").agg(F.count(F.lit(1)).alias("found"))
+    span = F.coalesce(F.floor(F.col("location_id") / F.lit(RANK_SPAN)), F.lit(-(1 << 62)))     # no id ranks first
+    listed = stations.join(F.broadcast(q.select("iso", "quota")), "iso").withColumn("_span", span)
+    counts = listed.groupBy("iso", "_span").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("iso").agg(F.sum("n").alias("found"))
+    before = F.sum("n").over(Window.partitionBy("iso").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))
+    # Only spans that start within the quota can hold a taken station.
+    starts = (counts.withColumn("_before", F.coalesce(before, F.lit(0))).join(F.broadcast(q.select("iso", "quota")), "iso")
+              .where("_before < quota").select("iso", "_span", "_before"))
     capped = (q.join(found, "iso", "left")
               .withColumn("a", F.least(F.col("quota"), F.coalesce(F.col("found"), F.lit(0)))))
     upto = Window.orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cap = F.lit(int(max_locations))
+    cap = max_locations.cast("long") if isinstance(max_locations, Column) else F.lit(int(max_locations)).cast("long")
     cum = F.sum("a").over(upto)
     takes = (capped.withColumn("taken", F.least(cap, cum) - F.least(cap, cum - F.col("a")))
              .select("ord", "iso", "label", "taken"))
-    rank_w = Window.partitionBy("iso").orderBy("location_id")
-    ranked = (stations.withColumn("station_rank", F.row_number().over(rank_w))
-              .filter(F.col("station_rank") <= max_quota))
+    rank = F.row_number().over(Window.partitionBy("iso", "_span").orderBy("location_id"))
+    ranked = listed.withColumn("_rank", rank)
+    if not isinstance(max_locations, Column):           # a literal limit is applied before the shuffle, too
+        ranked = ranked.filter(F.col("_rank") <= int(max_locations))
+    ranked = ranked.join(starts, ["iso", "_span"]).withColumn("station_rank", (F.col("_before") + F.col("_rank")).cast("int"))
     return (ranked.join(F.broadcast(takes), "iso")
             .filter(F.col("station_rank") <= F.col("taken"))
             .select("ord", "iso", "label", "location_id", "station_rank"))

@@ -3,6 +3,7 @@ and the EPA worst-pollutant rule over a group."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,15 +50,6 @@ def score(readings: DataFrame, trust_existing: bool = False) -> DataFrame:
     return staged.withColumn(SCORE, computed).drop("_aq_k", "_aq_u", "_aq_x", "_aq_c", "_aq_b")
 
 
-def scored_only(scored: DataFrame) -> DataFrame:
-    """Rows with a score, for row-level consumers. Catalyst pushes this
-    filter below the scoring projections, so the score is computed twice
-    (and a very long plan can exceed the 64 KB codegen limit and fall back
-    to interpreted execution): aggregate instead, since every aggregate
-    here ignores NULL scores, or filter a written or checkpointed table."""
-    return scored.filter(F.col(SCORE).isNotNull())
-
-
 def band_table(spark: SparkSession) -> DataFrame:
     """The breakpoint table as rows keyed by pollutant code, plus one
     open-ended clamp row per pollutant above its top band. 41 rows: a fixed,
@@ -73,29 +65,73 @@ def band_table(spark: SparkSession) -> DataFrame:
               "aqi_hi double, clamp boolean")
 
 
+def _in_band(c: Column) -> Column:
+    return (c >= 0) & ((~F.col("clamp") & c.between(F.col("c_lo"), F.col("c_hi"))) | (F.col("clamp") & (c > F.col("c_lo"))))
+
+
+def _band_index(c: Column) -> Column:
+    interpolated = (((F.col("aqi_hi") - F.col("aqi_lo")) / (F.col("c_hi") - F.col("c_lo")))
+                    * (c - F.col("c_lo")) + F.col("aqi_lo"))
+    return F.when(F.col("clamp"), F.col("aqi_hi")).otherwise(interpolated)
+
+
 def score_with_table(readings: DataFrame, bands: DataFrame | None = None) -> DataFrame:
     """Same score as :func:`score`, computed as a range join of each reading
     with its breakpoint band (pollutant equal, ``c_lo <= c <= c_hi``).
 
-    The band side is the fixed 41-row table (or a caller's table of the same
-    shape), so it is broadcast; the readings are never shuffled.
+    The fixed 41-row table is broadcast and the readings are never shuffled. A
+    caller's table may be of any size: :func:`score_with_bands` takes it.
     """
-    spark = readings.sparkSession
-    bands = bands if bands is not None else band_table(spark)
+    if bands is not None:
+        return score_with_bands(readings, bands)
     with_c = _with_concentration(readings)
-    c = F.col("_aq_c")
-    cond = (
-        (F.col("_aq_k") == F.col("b_code"))
-        & (c >= 0)
-        & ((~F.col("clamp") & c.between(F.col("c_lo"), F.col("c_hi")))
-           | (F.col("clamp") & (c > F.col("c_lo"))))
-    )
-    joined = with_c.join(F.broadcast(bands), cond, "left")
-    interpolated = (((F.col("aqi_hi") - F.col("aqi_lo")) / (F.col("c_hi") - F.col("c_lo")))
-                    * (c - F.col("c_lo")) + F.col("aqi_lo"))
-    idx = F.when(F.col("clamp"), F.col("aqi_hi")).otherwise(interpolated)
+    cond = (F.col("_aq_k") == F.col("b_code")) & _in_band(F.col("_aq_c"))
+    joined = with_c.join(F.broadcast(band_table(readings.sparkSession)), cond, "left")
+    keep = [col for col in readings.columns if col != SCORE]
+    return joined.select(*keep, _band_index(F.col("_aq_c")).alias(SCORE))
+
+
+def _grid(bands: DataFrame) -> Column:
+    """pollutant code -> (origin, width, bins) of its concentration grid, as a
+    scalar subquery of at most one entry per pollutant with breakpoints. As many
+    bins as bands, so a band that shares no ground with others covers two or
+    three of them, whatever the bands' widths."""
+    finite = F.when(F.abs("c_hi") < F.lit(math.inf), F.col("c_hi")).otherwise(F.col("c_lo"))
+    spans = (bands.where(F.col("b_code").between(0, len(aqi.POLLUTANTS) - 1)).groupBy("b_code")
+             .agg(F.min("c_lo").alias("lo"), F.max(finite).alias("hi"), F.count(F.lit(1)).alias("n")))
+    width = F.greatest((F.col("hi") - F.col("lo")) / F.col("n"), F.lit(1e-9))
+    entry = F.struct("b_code", F.struct(F.col("lo"), width.alias("w"), F.col("n")))
+    return F.map_from_entries(spans.select(F.collect_list(entry).alias("g")).scalar())
+
+
+def _bin(x: Column, grid: Column) -> Column:
+    """Bin of a concentration; the last one is open. Never falls as x grows, so
+    a value between two bounds lies in a bin between theirs."""
+    return F.floor(F.least((x - grid["lo"]) / grid["w"], grid["n"].cast("double"))).cast("long")
+
+
+def score_with_bands(readings: DataFrame, bands: DataFrame) -> DataFrame:
+    """:func:`score_with_table` with a band table of any size: a binned interval
+    join. Each band is cut over the bins of its pollutant's grid that it covers, a reading
+    lies in one bin, both meet by an equi-join on (pollutant, bin), and the exact test
+    follows. Nothing is broadcast; a bin with a large share of all readings is the
+    streamed side of a sort-merge join, which AQE may split.
+
+    Bands of a pollutant are expected not to overlap (bounds may touch: then a
+    value on both bounds matches both, as in a plain range join); a band with a
+    NULL bound matches nothing. Readings without a band keep a NULL score.
+    """
+    grid = _grid(bands)
+    cut = (bands.where("c_lo IS NOT NULL AND c_hi IS NOT NULL").withColumn("_g", F.try_element_at(grid, F.col("b_code")))
+           .where("_g IS NOT NULL"))
+    last = F.when(F.col("clamp"), F.col("_g")["n"]).otherwise(_bin(F.col("c_hi"), F.col("_g")))
+    cut = cut.withColumn("_bin", F.explode(F.sequence(_bin(F.col("c_lo"), F.col("_g")), last))).drop("_g")
+    with_c = _with_concentration(readings).withColumn(
+        "_aq_bin", _bin(F.col("_aq_c"), F.try_element_at(grid, F.col("_aq_k"))))
+    cond = (F.col("_aq_k") == F.col("b_code")) & (F.col("_aq_bin") == F.col("_bin")) & _in_band(F.col("_aq_c"))
+    joined = with_c.join(cut.hint("merge"), cond, "left")
     keep = [col for col in readings.columns if col != SCORE]
-    return joined.select(*keep, idx.alias(SCORE))
+    return joined.select(*keep, _band_index(F.col("_aq_c")).alias(SCORE))
 
 
 # --- worst-pollutant rule ---------------------------------------------------
@@ -141,13 +177,24 @@ def dominant_of_maxes(top: Column | str) -> Column:
 
 
 def other_pollutant_aggs(score_col: str = SCORE, pollutant_col: str = "pollutant") -> list[Column]:
-    """Worst score among pollutants without breakpoints and its name. Only
-    trusted stored scores can give such a score; the ``max_by`` on a string
-    makes the aggregate sort-based, so it is opt-in."""
+    """Worst score among pollutants without breakpoints and its name (equal
+    scores: the smallest name, so a merge of parts names the same one as a single
+    run). Only trusted stored scores can give such a score; the ``min`` of a
+    struct makes the aggregate sort-based, so it is opt-in."""
     other = aqi.pollutant_code(F.lower(F.col(pollutant_col))).isNull()
     s = F.when(other, F.col(score_col))
-    return [F.max(s).alias("_max_other"),
-            F.max_by(F.when(other, F.col(pollutant_col)), s).alias("_other_name")]
+    return [F.max(s).alias("_max_other"), _first_worst(s, F.col(pollutant_col)).alias("_other_name")]
+
+
+def merge_other_pollutant_aggs() -> list[Column]:
+    """Re-aggregate partial worst scores of other pollutants."""
+    return [F.max("_max_other").alias("_max_other"),
+            _first_worst(F.col("_max_other"), F.col("_other_name")).alias("_other_name")]
+
+
+def _first_worst(s: Column, name: Column) -> Column:
+    rank = F.struct((-s).alias("below"), name.alias("name"))
+    return F.min(F.when(s.isNotNull(), rank)).getField("name")
 
 
 def dominant_with_other(top: str) -> Column:

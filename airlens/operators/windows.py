@@ -12,6 +12,7 @@ from airlens.operators.scoring import (
     SCORE,
     dominant_of_maxes,
     dominant_with_other,
+    merge_other_pollutant_aggs,
     merge_pollutant_max_aggs,
     other_pollutant_aggs,
     pollutant_max_aggs,
@@ -88,7 +89,7 @@ def windowed_aqi_bucketed(scored: DataFrame) -> DataFrame:
     buckets are expanded 12 times. Dense data (many readings per city per
     5 minutes) expands far fewer rows than the 12x-per-reading form.
     """
-    buckets = _bucket_aggregates(scored)
+    buckets = bucket_aggregates(scored)
     slides = F.array(*[F.lit(i * _SLIDE_US) for i in range(_SLIDES_PER_WINDOW)])
     expanded = (buckets.withColumn("_k", F.explode(slides))
                 .withColumn("_ws", F.col("_bucket") - F.col("_k")))
@@ -146,17 +147,18 @@ def bucket_aggregates(scored: DataFrame, keep_null_time: bool = False) -> DataFr
     ).filter(F.col("_b_aqi").isNotNull())
 
 
-_bucket_aggregates = bucket_aggregates
-
-
-def _window_from_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
-    return buckets.groupBy(*keys).agg(
+def _merged_bucket_aggs() -> list[Column]:
+    return [
         F.max("_b_aqi").alias("aqi"),
         F.sum("_b_count").alias("reading_count"),
         F.min_by("_b_lat", "_b_sid").alias("latitude"),
         F.min_by("_b_lon", "_b_sid").alias("longitude"),
         *merge_pollutant_max_aggs(),
-    )
+    ]
+
+
+def _window_from_buckets(buckets: DataFrame, keys: list[str]) -> DataFrame:
+    return buckets.groupBy(*keys).agg(*_merged_bucket_aggs())
 
 
 def latest_windows_direct(scored: DataFrame, ordered: bool = True) -> DataFrame:
@@ -180,51 +182,87 @@ def latest_windows_from_buckets(buckets: DataFrame, ordered: bool = True) -> Dat
     w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc_nulls_last())
     newest = (b.withColumn("_rn", F.row_number().over(w))
               .filter((F.col("_rn") == 1) & F.col("_bucket").isNotNull()))
-    agg = newest.select(
+    out = windows_of_buckets(newest)
+    return out.orderBy(F.desc("aqi"), "city", "country") if ordered else out
+
+
+def windows_of_buckets(buckets: DataFrame) -> DataFrame:
+    """The window that starts at each bucket and holds only it."""
+    agg = buckets.select(
         F.col("_bucket").alias("_ws"), "city", "country",
         F.col("_b_aqi").alias("aqi"), F.col("_b_count").alias("reading_count"),
         F.col("_b_lat").alias("latitude"), F.col("_b_lon").alias("longitude"),
         *pollutant_max_columns())
     start = F.timestamp_micros(F.col("_ws"))
     end = F.timestamp_micros(F.col("_ws") + F.lit(_SLIDES_PER_WINDOW * _SLIDE_US))
-    out = _finish(agg, start, end)
-    return out.orderBy(F.desc("aqi"), "city", "country") if ordered else out
+    return _finish(agg, start, end)
+
+
+def bucket_start(us: Column) -> Column:
+    """The 5-minute mark at or before a time in microseconds."""
+    return us - F.pmod(us, F.lit(_SLIDE_US))
 
 
 def trailing_hour_direct(scored: DataFrame, as_of) -> DataFrame:
     """Same rows as ``trailing_hour(windowed_aqi(scored), as_of)`` from the
-    5-minute buckets before ``as_of`` only, without a join.
+    5-minute buckets before ``as_of`` only, in one aggregate per city.
 
     With E the last 5-minute mark at or before ``as_of``: a city with a
     bucket in ``[E - 60 min, E)`` gets exactly that hour (an aggregate over
     those buckets); any other city's last ended window starts at its newest
-    bucket before E and holds only that bucket (a partial top-1 per city).
-    Both parts are keyed by city and pre-aggregated before their shuffles,
-    so a city holding most of the data does not land in one task.
+    bucket before E and holds only that bucket. Both come from conditional
+    aggregates over the same buckets, combined on the map side, so a city holding
+    most of the data does not land in one task.
     """
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     a_us = F.unix_micros(as_of.cast("timestamp"))
     mark = a_us - F.pmod(a_us, F.lit(_SLIDE_US))
     span = F.lit(_SLIDES_PER_WINDOW * _SLIDE_US)
-    b = (_bucket_aggregates(scored)
+    b = (bucket_aggregates(scored)
          .filter(F.col("city").isNotNull() & F.col("country").isNotNull())
-         .filter(F.col("_bucket") < mark))
-    recent = _window_from_buckets(
-        b.filter(F.col("_bucket") >= mark - span).withColumn("_ws", mark - span),
-        ["_ws", "city", "country"])
-    w = Window.partitionBy("city", "country").orderBy(F.col("_bucket").desc())
-    older = (b.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-             .filter(F.col("_bucket") < mark - span)
-             .select(F.col("_bucket").alias("_ws"), "city", "country",
-                     F.col("_b_aqi").alias("aqi"), F.col("_b_count").alias("reading_count"),
-                     F.col("_b_lat").alias("latitude"), F.col("_b_lon").alias("longitude"),
-                     *pollutant_max_columns()))
-    agg = recent.unionByName(older)
+         .withColumn("_mark", mark).filter(F.col("_bucket") < F.col("_mark")))
+    recent = F.col("_bucket") >= F.col("_mark") - span
+    older = F.when(~recent, F.col("_bucket"))
+    sid = F.when(recent, F.col("_b_sid"))
+    hour = {"_ws": F.max(F.when(recent, F.col("_mark") - span)), "aqi": F.max(F.when(recent, F.col("_b_aqi"))),
+            "reading_count": F.sum(F.when(recent, F.col("_b_count"))),
+            "latitude": F.min_by("_b_lat", sid), "longitude": F.min_by("_b_lon", sid),
+            **{c: F.max(F.when(recent, F.col(c))) for c in pollutant_max_columns()}}
+    newest = {"_ws": F.max(older), "aqi": F.max_by("_b_aqi", older), "reading_count": F.max_by("_b_count", older),
+              "latitude": F.max_by("_b_lat", older), "longitude": F.max_by("_b_lon", older),
+              **{c: F.max_by(c, older) for c in pollutant_max_columns()}}
+    agg = b.groupBy("city", "country").agg(*[c.alias(f"h_{n}") for n, c in hour.items()],
+                                           *[c.alias(f"n_{n}") for n, c in newest.items()])
+    whole = F.col("h__ws").isNotNull()
+    agg = agg.select("city", "country", *[F.when(whole, F.col(f"h_{n}")).otherwise(F.col(f"n_{n}")).alias(n) for n in hour])
     start = F.timestamp_micros(F.col("_ws"))
     end = F.timestamp_micros(F.col("_ws") + span)
     return _finish(agg, start, end).orderBy(F.desc("aqi"), "city", "country")
 
 
+def final_windows(scored: DataFrame, watermark: str = WATERMARK, other_pollutants: bool = False) -> DataFrame:
+    """Ended windows of a stream, each exactly once (append mode): the windows
+    of :func:`windowed_aqi` that end at or before the watermark.
+
+    Two chained stateful aggregations: readings are reduced to 5-minute tumbling
+    buckets per city, and only a finished bucket is expanded to its 12 windows.
+    State and shuffle therefore hold a row per (bucket, city) in the first step
+    and 12 per bucket in the second, not 12 per reading. A late reading is dropped
+    once its bucket has ended, so a window never changes after it is given.
+    """
+    df = with_event_time(scored)
+    df = df.withColumn("event_time", F.when(F.col(SCORE).isNotNull(), F.col("event_time")))
+    df = df.withWatermark("event_time", watermark).withColumn("_sid", _coord_key())
+    buckets = df.groupBy(F.window("event_time", SLIDE_DURATION).alias("_slot"), "city", "country").agg(
+        F.max(SCORE).alias("_b_aqi"), F.count(SCORE).alias("_b_count"), F.min("_sid").alias("_b_sid"),
+        F.min_by("latitude", "_sid").alias("_b_lat"), F.min_by("longitude", "_sid").alias("_b_lon"),
+        *pollutant_max_aggs(), *(other_pollutant_aggs() if other_pollutants else []))
+    sliding = F.window(F.window_time("_slot"), WINDOW_DURATION, SLIDE_DURATION).alias("window")
+    agg = buckets.groupBy(sliding, "city", "country").agg(
+        *_merged_bucket_aggs(), *(merge_other_pollutant_aggs() if other_pollutants else []))
+    return _finish(agg, F.col("window.start"), F.col("window.end"), other=other_pollutants)
+
+
 __all__ = ["windowed_aqi", "windowed_aqi_bucketed", "latest_windows", "trailing_hour",
            "latest_windows_direct", "latest_windows_from_buckets", "trailing_hour_direct",
-           "bucket_aggregates", "WINDOW_COLUMNS"]
+           "bucket_aggregates", "windows_of_buckets", "bucket_start", "final_windows", "WINDOW_COLUMNS"]

@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from airlens.operators.batch import city_summary, hourly_aqi, prepare
 from airlens.session import ensure_utc
 from airlens.sinks.files import write_hourly_view, write_summary_view
-from airlens.sources.files import load_batch_summary, read_hourly_view, read_readings
+from airlens.sources.files import hourly_view, load_batch_views, read_readings
+from airlens.sources.manifest import Draft
 
 
 def run_batch(spark: SparkSession, out_path: str, raw_path: str | None = None,
               readings: DataFrame | None = None, rescore: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Compute a new version of both batch views; return them as read back.
+    """Compute both batch views anew, commit them together and return them as
+    read back.
 
     The raw input is scanned once: the summary is computed from the written
     hourly view (not by re-running the hourly plan from raw), which also
@@ -23,7 +25,10 @@ def run_batch(spark: SparkSession, out_path: str, raw_path: str | None = None,
     if readings is None:
         readings = read_readings(spark, raw_path)
     hourly = hourly_aqi(prepare(readings, rescore=rescore), other_pollutants=not rescore)
-    write_hourly_view(hourly, out_path)
-    hourly_back = read_hourly_view(spark, out_path)
-    write_summary_view(city_summary(hourly_back), out_path)
-    return hourly_back, load_batch_summary(spark, out_path)
+    draft = Draft(spark, out_path)
+    at = draft.folder("hourly_city_aqi")
+    write_hourly_view(hourly, at)
+    summary = city_summary(hourly_view(spark, at), other_pollutants=not rescore)
+    write_summary_view(summary, draft.folder("city_summary"))
+    draft.commit()
+    return load_batch_views(spark, out_path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airlens.functions import aqi
@@ -21,15 +21,26 @@ from airlens.operators import serving as V
 from airlens.operators import windows as W
 from airlens.plans import oracle as O
 from airlens.plans.batch import run_batch
-from airlens.plans.incremental import read_hourly_version, run_batch_incremental
+from airlens.plans.incremental import read_hourly_version, read_summary_version, run_batch_incremental
 from airlens.plans.serving import build_and_write_serving_view
 from airlens.schemas import READING, READING_COLUMNS, SERVING_COLUMNS, SNAPSHOT_COLUMNS, WINDOW_COLUMNS
 from airlens.session import ensure_utc, scratch_dir
 from airlens.sinks.files import keyed_records, write_readings
 from airlens.sources import testdata as td
-from airlens.sources.files import read_latest, read_locations, read_readings
+from airlens.sources.files import (
+    DEFAULT_COUNTRY_LIMIT,
+    load_batch_views,
+    quarantine_readings,
+    read_latest,
+    read_locations,
+    read_quarantine,
+    read_quotas,
+    read_readings,
+)
 from airlens.sources.testdata import readings_from_events
+from airlens.streaming import latest as LS
 from airlens.streaming import speed as SP
+from airlens.streaming.metrics import BatchMetrics, read_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -349,6 +360,133 @@ def q_ingest_from_json(spark, sf):
                                   polled_at=polled)
 
 
+def q_score_with_bands(spark, sf):
+    """The breakpoint table as a caller's band table: a binned interval join."""
+    return S.score_with_table(readings_from_events(spark, sf), S.band_table(spark)).select(*READING_OUT)
+
+
+def q_final_windows_stream(spark, sf):
+    """Ended windows, each once, from a stream that stops and resumes halfway."""
+    ensure_utc(spark)
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "final")
+    for half in _halves(spark, sf):
+        write_readings(half, "local", directory=raw)
+        final = W.final_windows(B.prepare(SP.read_stream(spark, raw)))
+        _finished(SP.start_final(final, out, f"{out}/_checkpoint", available_now=True))
+    return ntz(SP.read_final(spark, out), "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
+def q_latest_state_stream(spark, sf):
+    """The latest window of every city as keyed state (RocksDB), over two runs of the stream."""
+    ensure_utc(spark)
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "latest")
+    for half in _halves(spark, sf):
+        write_readings(half, "local", directory=raw)
+        latest = LS.latest_stream(S.score(SP.read_stream(spark, raw)))
+        _finished(LS.start_latest(latest, out, f"{out}/_checkpoint", available_now=True))
+    return ntz(LS.read_latest_windows(spark, out), "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
+def _thirds(spark, sf) -> list[DataFrame]:
+    """The readings by thirds of their time span (without a time: the last)."""
+    us = F.unix_micros("event_time")
+    r = readings_from_events(spark, sf)
+    cut = [r.select(F.timestamp_micros(F.floor((F.min(us) * (3 - k) + F.max(us) * k) / 3))).scalar() for k in (1, 2)]
+    part = F.when(F.col("event_time") < cut[0], 0).when(F.col("event_time") < cut[1], 1).otherwise(2)
+    return [r.where(part == k).select(*READING_COLUMNS) for k in range(3)]
+
+
+def q_settled_history_stream(spark, sf):
+    """The windows of a stream over three runs (RocksDB state); days behind the
+    watermark have moved to the final table, the others are ranked."""
+    ensure_utc(spark)
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "speed")
+    for third in _thirds(spark, sf):
+        write_readings(third, "local", directory=raw)
+        windowed_ = SP.windowed_stream(SP.read_stream(spark, raw))
+        _finished(SP.start(windowed_, out, f"{out}/_checkpoint", available_now=True, settle_after=W.WATERMARK, rocksdb_state=True))
+    return ntz(SP.read_history(spark, out), "window_start", "window_end").select(*WINDOW_COLUMNS)
+
+
+def q_stream_late_rows(spark, sf):
+    """Per run of a stream, what came in and what the watermark dropped: the first
+    third of the time span arrives after the second, and again after the last."""
+    ensure_utc(spark)
+    first, second, last = _thirds(spark, sf)
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "speed")
+    metrics = BatchMetrics(f"{out}/metrics")
+    for part in (second, first, last, first):
+        write_readings(part, "local", directory=raw)
+        windowed_ = SP.windowed_stream(SP.read_stream(spark, raw))
+        _finished(SP.start(windowed_, out, f"{out}/_checkpoint", available_now=True, metrics=metrics))
+        metrics.wait()
+    rows = read_metrics(spark, f"{out}/metrics").where("input_rows > 0")
+    return rows.select(F.row_number().over(Window.orderBy("batch_id")).alias("run"), "input_rows", "dropped_rows",
+                       F.coalesce("windows", F.lit(0).cast("long")).alias("windows"),
+                       F.coalesce("cities", F.lit(0).cast("long")).alias("cities"),
+                       F.coalesce("dangerous_cities", F.lit(0).cast("long")).alias("dangerous_cities"))
+
+
+def q_batch_views_committed(spark, sf):
+    """Two runs of the batch job over the same folder; hourly view and summary are
+    those of one commit."""
+    out = scratch_dir(spark, "batch-views")
+    first, _ = _halves(spark, sf)
+    run_batch(spark, out, readings=first)
+    run_batch(spark, out, readings=readings_from_events(spark, sf))
+    hourly_back, summary_back = load_batch_views(spark, out)
+    hours = hourly_back.groupBy("city", "country").agg(F.count(F.lit(1)).alias("hours_in_view"), F.max("aqi").alias("max_in_view"))
+    both = summary_back.join(hours, ["city", "country"])
+    return ntz(round6(both, "avg_aqi"), "max_aqi_at").select(*SUMMARY_OUT, "hours_in_view", "max_in_view")
+
+
+def q_city_summary_incremental(spark, sf):
+    """The summary merged from the daily partials of three incremental runs."""
+    raw, out = scratch_dir(spark, "raw"), scratch_dir(spark, "incremental")
+    for third in _thirds(spark, sf):
+        write_readings(third, "local", directory=raw)
+        _finished(run_batch_incremental(spark, raw, out, f"{out}/_checkpoint"))
+    return _summary_out(read_summary_version(spark, out))
+
+
+def q_quarantined_lines(spark, sf):
+    """Raw files with broken lines among the readings: the lines put aside, and the
+    readings per city that are left."""
+    raw, aside = _landed_readings(spark, sf), scratch_dir(spark, "quarantine")
+    bad = td.table(spark, sf, "events").where("event_id % 97 = 0")
+    bad.select(F.concat(F.lit('{"city": "broken '), F.col("event_id").cast("string"))).write.text(f"{raw}/broken")
+    good, counts = quarantine_readings(spark, raw, aside)
+    lines = read_quarantine(spark, aside).select(F.lit("line").alias("kind"), F.col("line").alias("what"), F.lit(1).cast("long").alias("n"))
+    cities = good.groupBy("city").agg(F.count(F.lit(1)).alias("n")).select(F.lit("city").alias("kind"), F.col("city").alias("what"), "n")
+    total = spark.createDataFrame([("count", k, n) for k, n in counts.items()], "kind string, what string, n long")
+    return lines.unionByName(cities).unionByName(total)
+
+
+def q_select_stations_from_config(spark, sf):
+    """Quotas and cap come from a landed config document; a country without a limit
+    gets the default one."""
+    config = scratch_dir(spark, "config")
+    limit = F.when(F.col("ord") != td.REGION_WITHOUT_LIMIT, F.col("quota"))
+    listed = F.sort_array(F.collect_list(F.struct("ord", "iso", "label", limit.alias("limit"))))
+    td.region_quotas(spark, sf).agg(listed.alias("l")).select(
+        F.lit(td.REGION_CAP).alias("max_locations"),
+        F.transform("l", lambda c: F.struct(c["iso"].alias("iso"), c["label"].alias("label"), c["limit"].alias("limit"))).alias("countries")
+    ).write.json(config)
+    docs = td.locations_from_events(spark, sf)
+    stations = docs.select(F.col("id").alias("location_id"), F.col("country.code").alias("iso"))
+    quotas, cap = read_quotas(spark, config)
+    return I.select_stations(stations, quotas, max_locations=cap)
+
+
+def q_readings_polled(spark, sf):
+    """Entries without a time of their own get the time of the poll, here the newest
+    event's, as an injected clock."""
+    undated = F.when(F.col("sensorsId") % td.UNDATED_EVERY != 0, F.col("datetime"))
+    polled = td.table(spark, sf, "events").select(F.max(F.col("ts").cast("timestamp"))).scalar()
+    return I.readings_from_latest(td.locations_from_events(spark, sf),
+                                  td.latest_from_events(spark, sf).withColumn("datetime", undated), polled_at=polled)
+
+
 QUERIES: dict[str, Query] = {
     "score_readings": q_score_readings,
     "score_with_table": q_score_with_table,
@@ -386,6 +524,16 @@ QUERIES: dict[str, Query] = {
     "windowed_aqi_stream_restarted": q_windowed_aqi_stream_restarted,
     "serving_job": q_serving_job,
     "ingest_from_json": q_ingest_from_json,
+    "score_with_bands": q_score_with_bands,
+    "final_windows_stream": q_final_windows_stream,
+    "latest_state_stream": q_latest_state_stream,
+    "settled_history_stream": q_settled_history_stream,
+    "stream_late_rows": q_stream_late_rows,
+    "batch_views_committed": q_batch_views_committed,
+    "city_summary_incremental": q_city_summary_incremental,
+    "quarantined_lines": q_quarantined_lines,
+    "select_stations_from_config": q_select_stations_from_config,
+    "readings_polled": q_readings_polled,
 }
 
 
@@ -430,8 +578,36 @@ def _sensor_values() -> str:
     return ", ".join(rows)
 
 
-def _select_stations_sql() -> str:
-    quotas = " ".join(f"WHEN {i} THEN {q}" for i, q in enumerate(td.REGION_QUOTAS))
+def _late_rows_sql() -> str:
+    """A micro-batch drops the (window, city) groups that ended by the watermark
+    of all batches before it. Windows shown are those of the rows that are left."""
+    return f"""
+    WITH {O.scored_ctes()},
+    span AS (SELECT epoch_us(min(event_time)) AS lo, epoch_us(max(event_time)) AS hi FROM readings),
+    parted AS (SELECT s.*, CASE WHEN epoch_us(event_time) < floor((lo * 2 + hi) / 3) THEN 0
+                                WHEN epoch_us(event_time) < floor((lo + hi * 2) / 3) THEN 1 ELSE 2 END AS part FROM scored s, span),
+    runs AS (SELECT * FROM (VALUES (1, 1), (2, 0), (3, 2), (4, 0)) r(run, part)),
+    mark AS (SELECT run, max(max(event_time)) OVER (ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 MINUTE AS mark
+             FROM runs JOIN parted USING (part) WHERE aqi_sub_index IS NOT NULL GROUP BY run),
+    came AS (SELECT run, CAST(count(*) AS BIGINT) AS input_rows FROM runs JOIN parted USING (part) GROUP BY run),
+    grouped AS (SELECT run, city, country, make_timestamp((epoch_us(event_time) // 300000000 - k) * 300000000) AS ws, max(aqi_sub_index) AS aqi
+                FROM runs JOIN parted USING (part), range(12) t(k) WHERE aqi_sub_index IS NOT NULL GROUP BY ALL),
+    judged AS (SELECT grouped.*, coalesce(ws + INTERVAL 60 MINUTE <= mark, false) AS late FROM grouped JOIN mark USING (run)),
+    -- A window shows all of its readings so far, so the worst of this and earlier runs.
+    shown AS (SELECT j.run, j.city, j.country, j.ws, max(e.aqi) AS aqi FROM judged j
+              JOIN judged e ON e.ws = j.ws AND e.city = j.city AND e.country = j.country AND e.run <= j.run AND NOT e.late
+              WHERE NOT j.late GROUP BY ALL),
+    newest AS (SELECT * FROM shown QUALIFY row_number() OVER (PARTITION BY run, city, country ORDER BY ws DESC) = 1),
+    tracked AS (SELECT run, count(*) AS cities, count(*) FILTER (WHERE aqi >= {aqi.DANGEROUS_AQI}) AS dangerous_cities FROM newest GROUP BY run)
+    SELECT CAST(run AS INTEGER) AS run, input_rows,
+           CAST(coalesce((SELECT count(*) FROM judged j WHERE j.run = came.run AND late), 0) AS BIGINT) AS dropped_rows,
+           CAST(coalesce((SELECT count(*) FROM shown s WHERE s.run = came.run), 0) AS BIGINT) AS windows,
+           CAST(coalesce(cities, 0) AS BIGINT) AS cities, CAST(coalesce(dangerous_cities, 0) AS BIGINT) AS dangerous_cities
+    FROM came LEFT JOIN tracked USING (run)"""
+
+
+def _select_stations_sql(without_limit: int | None = None) -> str:
+    quotas = " ".join(f"WHEN {i} THEN {DEFAULT_COUNTRY_LIMIT if i == without_limit else q}" for i, q in enumerate(td.REGION_QUOTAS))
     cap = td.REGION_CAP
     return f"""
     WITH st AS (
@@ -448,7 +624,7 @@ def _select_stations_sql() -> str:
     takes AS (SELECT ord, iso, label, least({cap}, c) - least({cap}, c - a) AS taken FROM cum),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY iso ORDER BY location_id) AS station_rank
                FROM st)
-    SELECT t.ord, t.iso, t.label, r.location_id, CAST(r.station_rank AS INTEGER) AS station_rank
+    SELECT {'t.ord' if without_limit is None else 'CAST(t.ord + 1 AS INTEGER) AS ord'}, t.iso, t.label, r.location_id, CAST(r.station_rank AS INTEGER) AS station_rank
     FROM ranked r JOIN takes t ON r.iso = t.iso WHERE r.station_rank <= t.taken
     """
 
@@ -538,4 +714,28 @@ def oracle_sql() -> dict[str, str]:
             f"WITH {serving} SELECT " + _SERVING_SQL.replace("computed_at, ", "") + " FROM serving"),
         "ingest_from_json": (
             f"WITH {O.scored_ctes(ingest=True)} SELECT {', '.join(READING_COLUMNS)} FROM scored"),
+        "score_with_bands": f"WITH {O.scored_ctes()} SELECT {_READING_SQL} FROM scored",
+        "final_windows_stream": (
+            f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed WHERE window_end <= "
+            f"(SELECT max(event_time) - INTERVAL 2 MINUTE FROM prepared)"),
+        "latest_state_stream": (
+            f"WITH {O.windowed_ctes()}, latest AS ({_LATEST}) SELECT {_WINDOW_SQL} FROM latest"),
+        "settled_history_stream": f"WITH {O.windowed_ctes()} SELECT {_WINDOW_SQL} FROM windowed",
+        "stream_late_rows": _late_rows_sql(),
+        "batch_views_committed": (
+            f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL}, hours_observed AS hours_in_view, max_aqi AS max_in_view FROM summary"),
+        "city_summary_incremental": f"WITH {O.summary_ctes()} SELECT {_SUMMARY_SQL} FROM summary",
+        "quarantined_lines": (
+            f"WITH readings AS ({O.readings_cte()}), "
+            f"bad AS (SELECT '{{\"city\": \"broken ' || event_id AS what FROM events WHERE event_id % 97 = 0) "
+            f"SELECT 'line' AS kind, what, CAST(1 AS BIGINT) AS n FROM bad "
+            f"UNION ALL SELECT 'city', city, CAST(count(*) AS BIGINT) FROM readings GROUP BY city "
+            f"UNION ALL SELECT 'count', 'malformed', CAST(count(*) AS BIGINT) FROM bad "
+            f"UNION ALL SELECT 'count', 'lines', CAST((SELECT count(*) FROM readings) + (SELECT count(*) FROM bad) AS BIGINT)"),
+        "select_stations_from_config": _select_stations_sql(td.REGION_WITHOUT_LIMIT),
+        "readings_polled": (
+            f"WITH {O.scored_ctes(ingest=True)}, undated AS (SELECT *, (location_id * {td.SENSOR_STRIDE} + event_id % "
+            f"{len(td.POLLUTANT_CYCLE)}) % {td.UNDATED_EVERY} = 0 AS undated FROM scored) SELECT "
+            + ", ".join("CASE WHEN undated THEN ingested_at ELSE datetime_utc END AS datetime_utc" if c == "datetime_utc" else c
+                        for c in READING_COLUMNS) + " FROM undated"),
     }

@@ -13,6 +13,9 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# The wire format. Field names, order and types of the readings, of
+# the API documents and of the views below are what producers and consumers share.
+
 # One pollutant value at one location and one instant, flat.
 READING = StructType([
     StructField("location_id", IntegerType(), True),
@@ -98,10 +101,19 @@ SNAPSHOT = StructType([
 ])
 SNAPSHOT_COLUMNS = SNAPSHOT.fieldNames()
 
-WINDOW_COLUMNS = [
-    "window_start", "window_end", "city", "country", "aqi", "dominant_pollutant",
-    "reading_count", "dangerous", "latitude", "longitude",
-]
+WINDOW = StructType([
+    StructField("window_start", TimestampType(), True),
+    StructField("window_end", TimestampType(), True),
+    StructField("city", StringType(), True),
+    StructField("country", StringType(), True),
+    StructField("aqi", DoubleType(), True),
+    StructField("dominant_pollutant", StringType(), True),
+    StructField("reading_count", LongType(), True),
+    StructField("dangerous", BooleanType(), True),
+    StructField("latitude", DoubleType(), True),
+    StructField("longitude", DoubleType(), True),
+])
+WINDOW_COLUMNS = WINDOW.fieldNames()
 
 SERVING_COLUMNS = SNAPSHOT_COLUMNS + [
     "historical_avg_aqi", "historical_max_aqi", "historical_worst_pollutant",
@@ -109,3 +121,5 @@ SERVING_COLUMNS = SNAPSHOT_COLUMNS + [
 ]
 
 QUOTA = "ord int, iso string, label string, quota int"
+# The landed station quota config: its list order is the priority.
+QUOTA_FILE = "max_locations int, countries array<struct<iso: string, label: string, limit: int>>"

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -69,3 +71,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared checkpoint folder; Spark's writers create it."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/airlens/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers with Spark's own file server, once a
+    context (a cluster need not have it installed)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_airlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="airlens-zip-"), "airlens.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._airlens_shipped = True

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from airlens.functions.common import record_key
 from airlens.sources.files import EMPTY_PARTITION
-from airlens.sources.versions import following, move_files
+from airlens.sources.appends import commit_append, discard, recover
+from airlens.sources.manifest import Draft
 
 SINK_KINDS = ("local", "kafka")
 
@@ -38,7 +39,8 @@ def write_readings(df: DataFrame, kind: str, directory: str | None = None,
 
     ``local``: JSON lines under ``directory``; every write adds new part
     files and an empty frame writes nothing. The plan runs once: files are
-    written beside ``directory`` and moved into it if they hold any row.
+    written beside ``directory`` and appended to it, all or none of them
+    (:mod:`airlens.sources.appends`), if they hold any row.
     ``kafka``: keyed records to ``topic`` (needs the Kafka connector on the
     classpath; options such as ``kafka.bootstrap.servers`` pass through).
     Anything else: ValueError.
@@ -50,33 +52,40 @@ def write_readings(df: DataFrame, kind: str, directory: str | None = None,
             raise ValueError("the local sink needs a directory")
         staging = f"{directory.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
         written = _write_counted(df, lambda d: d.write.json(staging))
-        move_files(df.sparkSession, staging, directory if written else None)
+        if written:
+            recover(df.sparkSession, directory)
+            commit_append(df.sparkSession, staging, directory)
+        else:
+            discard(df.sparkSession, staging)
         return written
     keyed = keyed_records(df)
     return _write_counted(keyed, lambda d: d.write.format("kafka").options(**options)
                           .option("topic", topic).save())
 
 
-def write_hourly_view(hourly: DataFrame, batch_view_dir: str) -> None:
-    """Add a version of the hourly view, partitioned by country; an empty
+def write_hourly_view(hourly: DataFrame, folder: str) -> None:
+    """Write the hourly view to ``folder``, partitioned by country; an empty
     country is written as a sentinel so that it reads back as "". The
     rebalance gives a country few files, and AQE splits a large country over
     several tasks."""
     part = F.when(F.col("country") == "", F.lit(EMPTY_PARTITION)).otherwise(F.col("country"))
     (hourly.withColumn("country", part).hint("rebalance", "country")
-     .write.mode("overwrite").partitionBy("country")
-     .parquet(following(hourly.sparkSession, f"{batch_view_dir.rstrip('/')}/hourly_city_aqi")))
+     .write.mode("overwrite").partitionBy("country").parquet(folder))
 
 
-def write_summary_view(summary: DataFrame, batch_view_dir: str) -> None:
-    summary.write.mode("overwrite").parquet(
-        following(summary.sparkSession, f"{batch_view_dir.rstrip('/')}/city_summary"))
+def write_summary_view(summary: DataFrame, folder: str) -> None:
+    summary.write.mode("overwrite").parquet(folder)
 
 
 def write_views(hourly: DataFrame, summary: DataFrame, batch_view_dir: str) -> None:
-    write_hourly_view(hourly, batch_view_dir)
-    write_summary_view(summary, batch_view_dir)
+    """Commit both batch views together."""
+    draft = Draft(hourly.sparkSession, batch_view_dir)
+    write_hourly_view(hourly, draft.folder("hourly_city_aqi"))
+    write_summary_view(summary, draft.folder("city_summary"))
+    draft.commit()
 
 
 def write_serving_view(serving: DataFrame, out_dir: str) -> None:
-    serving.write.mode("overwrite").json(following(serving.sparkSession, f"{out_dir.rstrip('/')}/serving_view"))
+    draft = Draft(serving.sparkSession, out_dir)
+    serving.write.mode("overwrite").json(draft.folder("serving_view"))
+    draft.commit()

@@ -197,6 +197,8 @@ def latest_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # play the countries of the priority list), and its global cap.
 REGION_QUOTAS = [15, 15, 20, 20, 15]
 REGION_CAP = 60
+REGION_WITHOUT_LIMIT = 2        # its limit is left out of the landed config
+UNDATED_EVERY = 4               # sensors with such an id send no time
 
 
 def region_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:

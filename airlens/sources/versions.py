@@ -1,8 +1,4 @@
-"""Versioned folders: a view is a folder of versions ``v=N``, each written once
-and committed by Spark's ``_SUCCESS`` marker. A writer adds the next version,
-readers take the newest committed one, so nobody sees a half-written view and a
-failed write changes nothing. One job writes a view at a time. Older versions
-stay; an operator may drop all but the newest two."""
+"""Folders of finished Spark writes, and which stream a folder belongs to."""
 
 from __future__ import annotations
 
@@ -11,7 +7,7 @@ import re
 from pyspark.sql import SparkSession
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """(Hadoop path, its file system): local, HDFS and object stores alike."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -19,7 +15,7 @@ def _fs(spark: SparkSession, path: str):
 
 def folders(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root``; none if it is missing."""
-    hpath, fs = _fs(spark, root)
+    hpath, fs = file_system(spark, root)
     if not fs.exists(hpath):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
@@ -29,45 +25,12 @@ def committed(spark: SparkSession, root: str) -> list[str]:
     """Names of the folders in ``root`` that a Spark write has finished."""
     done = []
     for name in folders(spark, root):
-        hpath, fs = _fs(spark, f"{root}/{name}/_SUCCESS")
+        hpath, fs = file_system(spark, f"{root}/{name}/_SUCCESS")
         if fs.exists(hpath):
             done.append(name)
     return done
 
 
-def _numbers(spark: SparkSession, view: str) -> list[int]:
-    found = (re.fullmatch(r"v=(\d+)", name) for name in committed(spark, view))
-    return sorted(int(m.group(1)) for m in found if m)
-
-
-def newest(spark: SparkSession, view: str) -> str | None:
-    """Path of the newest committed version of ``view``."""
-    numbers = _numbers(spark, view)
-    return f"{view}/v={numbers[-1]}" if numbers else None
-
-
-def following(spark: SparkSession, view: str) -> str:
-    """Path of the version to write next (an unfinished one is overwritten)."""
-    numbers = _numbers(spark, view)
-    return f"{view}/v={numbers[-1] + 1 if numbers else 0}"
-
-
-def move_files(spark: SparkSession, staging: str, target: str | None) -> None:
-    """Move the data files of a finished write into ``target`` (none: nowhere)
-    and drop the staging folder that the write made."""
-    source, fs = _fs(spark, staging)
-    if target is not None:
-        into, _ = _fs(spark, target)
-        fs.mkdirs(into)
-        for st in fs.listStatus(source):
-            name = st.getPath().getName()
-            if not name.startswith(("_", ".")):
-                to, _ = _fs(spark, f"{target.rstrip('/')}/{name}")
-                if not fs.rename(st.getPath(), to):
-                    raise RuntimeError(f"could not move {name} into {target}")
-    fs.delete(source, True)
-
-
 def stream_identity(spark: SparkSession, checkpoint_location: str | None) -> str:
     """The id that a stream's checkpoint gives it; it survives restarts, and a
     new checkpoint has a new one."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from airlens.operators.batch import city_summary, hourly_aqi, prepare, worst_cities
 from airlens.plans.batch import run_batch
+from airlens.sources.manifest import current
 from airlens.sources.files import read_readings
 from fixtures import reading, readings_df
 
@@ -87,7 +88,7 @@ def test_run_batch_roundtrip_keeps_empty_country(spark, scratch):
     hourly, summary = run_batch(spark, scratch, readings=readings_df(spark, rows))
     assert sorted((r.city, r.country) for r in hourly.collect()) == [("A", ""), ("B", "IN")]
     assert sorted((r.city, r.country) for r in summary.collect()) == [("A", ""), ("B", "IN")]
-    assert os.path.isdir(os.path.join(scratch, "hourly_city_aqi", "v=0", "country=IN"))
+    assert os.path.isdir(os.path.join(current(spark, scratch).path("hourly_city_aqi"), "country=IN"))
 
 
 def test_trusted_scores_are_kept(spark):

@@ -107,3 +107,40 @@ def test_another_checkpoint_over_the_same_output_is_refused(spark, scratch):
     with pytest.raises(Exception, match="another stream"):
         run_batch_incremental(spark, raw, out, os.path.join(scratch, "c2")).awaitTermination()
     assert read_hourly_version(spark, out).collect() == before
+
+
+def test_daily_partials_are_made_for_changed_days_only(spark, scratch):
+    def on(day):
+        return f"2026-07-{day:02d}T10:07:00Z"
+
+    write = make_merge_writer(scratch, fan_in=3)
+    cycles = [[reading("A", "pm25", 10.0, "ug/m3", on(1)), reading("A", "pm25", 90.0, "ug/m3", on(2))],
+              [reading("A", "pm25", 70.0, "ug/m3", on(2)), reading("B", "o3", 0.09, "ppm", on(2)), reading("B", "pm25", 1.0, "ug/m3", "never")],
+              [reading("A", "pm25", 90.0, "ug/m3", on(3))], [reading("A", "pm25", 95.0, "ug/m3", on(1)), reading("B", "pm25", 2.0, "ug/m3", None)]]
+    for i, rows in enumerate(cycles):
+        write(readings_df(spark, rows), i)
+    write(readings_df(spark, cycles[3]), 3)           # replayed
+    folder = os.path.join(scratch, "daily", "stream=direct")
+    days = {n: {d for d in os.listdir(os.path.join(folder, n)) if d.startswith("day=")} for n in os.listdir(folder)}
+    assert days["run=0-2-2"] == {"day=2026-07-03"}
+    assert days["run=1-0-2"] == {"day=2026-07-01", "day=2026-07-02", "day=2026-07-03", "day=__HIVE_DEFAULT_PARTITION__"}
+    want = city_summary(hourly_aqi(prepare(readings_df(spark, [r for c in cycles for r in c]))))
+    assert same(read_summary_version(spark, scratch), want)
+
+
+def test_summary_of_days_equals_the_sorted_form(spark):
+    rows = [reading(c, p, v, u, f"2026-07-0{d}T{h:02d}:00:00Z", country=k) for c, k in (("A", "X"), ("A", "Y"), ("", ""), (None, "Z"))
+            for d in (1, 2, 3) for h, p, v, u in ((3, "pm25", 9.0, "ug/m3"), (5, "o3", 0.054, "ppm"), (7, "pm25", 5.0 + d, "ug/m3"))]
+    rows += [reading("A", "pm25", 9.0, "ug/m3", "?", country="X"), reading("N", "o3", 0.06, "ppm", None)]
+    hourly = hourly_aqi(prepare(readings_df(spark, rows)))
+    assert same(city_summary(hourly), city_summary(hourly, other_pollutants=True))
+    got = {(r.city, r.country): r for r in city_summary(hourly).collect()}
+    assert got[("A", "X")].max_aqi_at.isoformat() == "2026-07-01T03:00:00" and got[("A", "X")].worst_pollutant == "pm25"
+    assert got[("N", "IN")].max_aqi_at is None and got[("N", "IN")].worst_pollutant == "o3"
+
+
+def test_stored_scores_keep_other_names_in_the_summary(spark, scratch):
+    rows = [reading("A", "bc", 1.0, "ug/m3", at("10:01"), score=210.0)]
+    write = make_merge_writer(scratch, rescore=False)
+    write(readings_df(spark, rows), 0)
+    assert read_summary_version(spark, scratch, other_pollutants=True).first().worst_pollutant == "bc"

@@ -111,3 +111,46 @@ def test_missing_quota_is_the_default_limit(spark):
                                    "ord int, iso string, label string, quota int")
     got = select_stations(stations, quotas, max_locations=30).groupBy("iso").count().collect()
     assert {r["iso"]: r["count"] for r in got} == {"A": 10, "B": 15}
+
+
+def landed_config(spark, scratch, doc):
+    import json
+    import os
+
+    from airlens.sources.files import read_quotas
+
+    os.makedirs(scratch, exist_ok=True)
+    with open(os.path.join(scratch, "quotas.json"), "w") as f:
+        json.dump(doc, f, indent=1)
+    return read_quotas(spark, scratch)
+
+
+def test_quotas_of_a_landed_config(spark, scratch):
+    doc = {"max_locations": 25, "countries": [{"iso": "B", "label": "Bee", "limit": 15}, {"iso": "A", "label": "Ay"},
+                                              {"iso": "C", "label": "Cee", "limit": 9}]}
+    quotas, cap = landed_config(spark, scratch, doc)
+    assert [tuple(r) for r in quotas.orderBy("ord").collect()] == [(1, "B", "Bee", 15), (2, "A", "Ay", 10), (3, "C", "Cee", 9)]
+    stations = spark.createDataFrame([(k, "ABC"[k % 3]) for k in range(90)], "location_id long, iso string")
+    got = select_stations(stations, quotas, max_locations=cap)
+    assert sorted((r.iso, r.location_id) for r in got.collect()) == _loop_selection(
+        [(r[0], r[1]) for r in stations.collect()], [(1, "B", "Bee", 15), (2, "A", "Ay", 10), (3, "C", "Cee", 9)], 25)
+
+
+def test_a_config_without_a_cap_has_the_default_one(spark, scratch):
+    quotas, cap = landed_config(spark, scratch, {"countries": [{"iso": "A", "label": "Ay", "limit": 400}]})
+    stations = spark.createDataFrame([(k, "A") for k in range(200)], "location_id long, iso string")
+    assert select_stations(stations, quotas, max_locations=cap).count() == DEFAULT_MAX_LOCATIONS
+
+
+def test_ranks_go_on_over_spans_of_ids(spark, monkeypatch):
+    from airlens.operators import ingest
+
+    monkeypatch.setattr(ingest, "RANK_SPAN", 7)
+    stations = [(k * 3, "A" if k % 4 else "B") for k in range(60)] + [(None, "A"), (-5, "A")]
+    sdf = spark.createDataFrame(stations, "location_id long, iso string")
+    quotas = [(1, "A", "A", 23), (2, "B", "B", 40)]
+    got = select_stations(sdf, country_quotas(spark, quotas), max_locations=35).collect()
+    a = sorted((r.station_rank, r.location_id) for r in got if r.iso == "A")
+    assert [r for r, _ in a] == list(range(1, 24)) and a[0] == (1, None) and a[1] == (2, -5)
+    assert [i for _, i in a[2:]] == sorted(i for i, c in stations if c == "A" and i is not None)[1:22]
+    assert sum(r.iso == "B" for r in got) == 12

@@ -42,11 +42,50 @@ def test_only_fixed_size_tables_are_hinted_for_broadcast(spark):
 
 
 def test_latest_and_quota_ranks_use_partial_group_limit(spark):
-    for name in ["latest_windows_direct", "select_stations", "trailing_hour_direct"]:
+    for name in ["latest_windows_direct", "select_stations"]:
         plan = final_plan(spark, name)
         assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
 
+def test_trailing_hour_aggregates_its_buckets_once(spark):
+    plan = final_plan(spark, "trailing_hour_direct").split("Initial Plan")[0]
+    assert "Window" not in plan and "Union" not in plan and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2             # buckets, then cities
+
+
+@pytest.mark.parametrize("name", ["city_summary", "city_summary_incremental", "worst_cities_top10"])
+def test_summaries_are_hash_aggregates(spark, name):
+    assert "SortAggregate" not in final_plan(spark, name)
+
+
+def test_the_band_join_broadcasts_nothing(spark):
+    from airlens.operators.scoring import band_table, score_with_table
+    from airlens.schemas import READING
+
+    readings = spark.createDataFrame([(1, "S", "A", "IN", 1.0, 2.0, "pm25", 20.0, "ug/m3", None, None, None)], READING)
+    df = score_with_table(readings, band_table(spark))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "NestedLoop" not in plan
+
+
+def test_no_job_runs_while_stations_are_planned(spark):
+    from airlens.operators.ingest import select_stations
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(1)
+            yield b
+
+    quotas = spark.createDataFrame([(1, "A", "A", 2)], "ord int, iso string, label string, quota int").mapInArrow(
+        count, "ord int, iso string, label string, quota int")
+    df = select_stations(spark.createDataFrame([(k, "A") for k in range(5)], "location_id long, iso string"), quotas)
+    assert seen.value == 0
+    assert sorted(r.location_id for r in df.collect()) == [0, 1] and seen.value > 0
+
+
 def test_no_round_robin_exchange(spark):
     from airlens.plans import catalog
 

@@ -119,6 +119,63 @@ def test_range_join_form_equals_column_form(spark):
     assert sum(v is not None for v in a.values()) > 1000
 
 
+def test_binned_join_equals_column_form_on_the_breakpoints(spark):
+    import random
+
+    from airlens.operators.scoring import band_table
+
+    rnd = random.Random(8)
+    rows = [(p, float(c), "ug/m3" if p in aqi.PARTICULATES else aqi.BREAKPOINT_UNIT[p][0])
+            for p, bands in aqi.BREAKPOINTS.items() for lo, hi, _, _ in bands for c in (lo, hi, (lo + hi) / 2, hi + 1, -1.0)]
+    rows += [(rnd.choice([*aqi.BREAKPOINTS, "bc"]), rnd.uniform(-1, 3000), rnd.choice(["ug/m3", "ppm", "ppb", "x"])) for _ in range(800)]
+    rows += [("pm25", None, "ug/m3"), ("pm25", math.nan, "ug/m3"), ("pm25", math.inf, "ug/m3"), (None, 1.0, "ug/m3")]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("aqi_sub_index", F.lit(None).cast("double"))
+    df = df.withColumn("rid", F.monotonically_increasing_id())
+    a = {r.rid: r.aqi_sub_index for r in score(df).collect()}
+    b = {r.rid: r.aqi_sub_index for r in score_with_table(df, band_table(spark)).collect()}
+    assert len(b) == len(rows) and a == b
+
+
+def test_binned_join_with_a_million_bands(spark):
+    """Bands of very different widths: every value finds the one that holds it."""
+    n = 1_000_000
+    ident = F.col("id").cast("double")
+    # Widths grow with the square of the position; a gap after every tenth band.
+    bands = spark.range(n).select(
+        F.lit(0).alias("b_code"), F.lit("pm25").alias("b_pollutant"), (ident * ident / 1e7).alias("c_lo"),
+        ((ident + 1) * (ident + 1) / 1e7 - F.when(F.col("id") % 10 == 9, 1e-9).otherwise(0)).alias("c_hi"),
+        ident.alias("aqi_lo"), ident.alias("aqi_hi"), F.lit(False).alias("clamp"))
+    top = spark.createDataFrame([(0, "pm25", n * n / 1e7, math.inf, -7.0, -7.0, True)], bands.schema)
+    values = [(k * 37.3 + 0.1) for k in range(3000)] + [2e5]
+    df = spark.createDataFrame([("pm25", v, "ug/m3") for v in values], SCHEMA).withColumn("aqi_sub_index", F.lit(None).cast("double"))
+    got = score_with_table(df, bands.unionByName(top))
+    for r in got.collect():
+        c = math.floor(r.value * 10) / 10
+        if c > n * n / 1e7:
+            assert r.aqi_sub_index == -7.0
+        else:
+            k = r.aqi_sub_index
+            assert k * k / 1e7 <= c + 1e-9 and c <= (k + 1) * (k + 1) / 1e7 + 1e-9
+    assert got.count() == len(values)
+
+
+def test_binned_join_without_bands(spark):
+    from airlens.operators.scoring import band_table
+
+    df = spark.createDataFrame([("pm25", 3.0, "ug/m3")], SCHEMA).withColumn("aqi_sub_index", F.lit(None).cast("double"))
+    assert score_with_table(df, band_table(spark).limit(0)).first().aqi_sub_index is None
+
+
+def test_equal_scores_of_other_pollutants_name_the_first(spark):
+    from airlens.operators.scoring import merge_other_pollutant_aggs, other_pollutant_aggs
+
+    rows = [("radon", 9.0), ("bc", 9.0), ("zinc", 9.0), ("bc", 1.0), ("pm25", 50.0), ("lead", None)]
+    df = spark.createDataFrame(rows, "pollutant string, aqi_sub_index double")
+    assert tuple(df.agg(*other_pollutant_aggs()).first()) == (9.0, "bc")
+    parts = df.groupBy("pollutant").agg(*other_pollutant_aggs())
+    assert tuple(parts.agg(*merge_other_pollutant_aggs()).first()) == (9.0, "bc")
+
+
 # --- category and danger ----------------------------------------------------
 
 def test_category_labels(spark):
