@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
+import ctypes
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -12,28 +10,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import airlens
-from airlens.session import scratch_dir
+from airlens.session import scratch_dir, ship
 
 CHUNK_BYTES = 1 << 20       # texts are handled in runs of about this many bytes
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors with Spark's own file server, once
-    a context (a cluster need not have it installed)."""
-    sc = spark.sparkContext
-    if getattr(sc, "_airlens_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(airlens.__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="airlens-zip-"), "airlens.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for folder, _, names in os.walk(root):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    path = os.path.join(folder, n)
-                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
-    sc.addPyFile(target)
-    sc._airlens_shipped = True
+# What a Python worker keeps between tasks, by name: how to let go of it. Workers
+# live as long as an executor and run the tasks of every operator.
+HELD: dict[str, Callable[[], None]] = {}
+
+
+def tidied(run: Callable[[Iterator], Iterator], *uses: str) -> Callable[[Iterator], Iterator]:
+    """``run`` as a task that first drops what other operators have left in the
+    worker (all of ``HELD`` but ``uses``), and gives freed memory back when it ends."""
+    def task(batches: Iterator) -> Iterator:
+        for name in HELD.keys() - set(uses):
+            HELD[name]()
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -112,4 +113,4 @@ def grouped(df: DataFrame, keys: list[str], order: str, fn: Callable[[list[dict]
             yield pa.record_batch(fn(held))
 
     n = partitions(df.sparkSession)
-    return df.repartition(n, *keys).sortWithinPartitions(*keys, order).mapInArrow(run, schema)
+    return df.repartition(n, *keys).sortWithinPartitions(*keys, order).mapInArrow(tidied(run), schema)

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import by_bytes, stage
+from airlens.llm.common import by_bytes, stage, tidied
 from airlens.llm.wordhash import ALNUM_SEP, Words, gram_hashes
 
 MAX_BITS = 1 << 28           # 32 MB at most, whatever the benchmark's size
@@ -110,7 +110,7 @@ def _bit_table(prints: DataFrame, n: int) -> np.ndarray:
         return pd.DataFrame({"chunk": [key[0]], "bits": [out.tobytes()]})
 
     schema = "chunk int, bits binary"
-    got = prints.select("hash").mapInArrow(mark, schema).groupBy("chunk").applyInPandas(merge, schema).collect()
+    got = prints.select("hash").mapInArrow(tidied(mark), schema).groupBy("chunk").applyInPandas(merge, schema).collect()
     table = np.zeros((bits // 8 // _CHUNK, _CHUNK), np.uint8)
     for r in got:
         table[r["chunk"]] = np.frombuffer(r["bits"], np.uint8)
@@ -118,11 +118,11 @@ def _bit_table(prints: DataFrame, n: int) -> np.ndarray:
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         window: int = 10, k: int = 5, keep: dict[str, Column] | None = None) -> DataFrame:
-    """doc_id, the columns of ``keep``, n_words, n_hit, items (sorted), spans
-    (array of word spans hit)."""
+         window: int = 10, k: int = 5, keep: dict[str, Column] | None = None, with_text: bool = False) -> DataFrame:
+    """doc_id, the columns of ``keep``, with ``with_text`` text, n_words, n_hit, items
+    (sorted), spans (array of word spans hit)."""
     keep = keep or {}
-    kept = ("doc_id", *keep)
+    kept = ("doc_id", *keep, *(["text"] if with_text else []))
     spark = docs.sparkSession
     test = stage(_test_rows(items, window, k), "test-windows")
     n_prints = test.where("kind = 1").count()
@@ -174,8 +174,9 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        *[c.alias(x) for x, c in keep.items()])
-    kinds = ", ".join(f"`{x}` {t}" for x, t in cols.drop("text").dtypes)
-    scan = stage(cols.mapInArrow(run, f"uid long, {kinds}, n_words long, hash array<long>, "
+    types = dict(cols.dtypes)
+    kinds = ", ".join(f"`{x}` {types[x]}" for x in kept)
+    scan = stage(cols.mapInArrow(tidied(run), f"uid long, {kinds}, n_words long, hash array<long>, "
                                       "start array<int>, length array<int>"), "windows")
     cand = (scan.where("size(hash) > 0")
             .select("uid", F.explode(F.arrays_zip("hash", "start", "length")).alias("c"))

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import by_bytes, grouped, partitions, stage
+from airlens.llm.common import by_bytes, grouped, partitions, stage, tidied
 from airlens.llm.components import UnionFind, components
 from airlens.llm.wordhash import SPACE_SEP, Words, gram_hashes
 
@@ -250,7 +250,7 @@ def _shared(docs: DataFrame, n: int, percent: int) -> DataFrame:
         return pd.DataFrame({"cid": cids[used], "n": size[used],
                              "tokens": [tokens[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])]})
 
-    dealt = docs.select("text").mapInArrow(deal, schema)
+    dealt = docs.select("text").mapInArrow(tidied(deal), schema)
     replies = dealt.groupBy("bucket").applyInPandas(count, reply_schema)
     sets = replies.groupBy("flush").applyInPandas(gather, "cid long, n long, tokens binary")
     return stage(sets.dropDuplicates(["cid"]), "shared-sets")
@@ -265,7 +265,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 k = n - -(-percent * n // 100) + 1 - (n - len(t))
                 yield pa.record_batch({"token": t[:k], "cid": np.full(min(k, len(t)), cid)})
 
-    return sets.mapInArrow(run, "token long, cid long")
+    return sets.mapInArrow(tidied(run), "token long, cid long")
 
 
 def _links(pairs: list[tuple[int, int]]) -> dict:
@@ -340,7 +340,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
             row += len(sets)
 
     kinds = ", ".join(f"{c} {t}" for c, t in cols.drop("text").dtypes)
-    rows = stage(cols.mapInArrow(name, f"{kinds}, _row long, n_shingles long, cid long"), "classes")
+    rows = stage(cols.mapInArrow(tidied(name), f"{kinds}, _row long, n_shingles long, cid long"), "classes")
     found = linked_classes(_shared(cols, n, percent), percent, piece)
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_row").alias("row"))
     own = rows.where("cid is not null").groupBy("cid").agg(F.min(least).alias("least"))

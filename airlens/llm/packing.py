@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import texts_of
+from airlens.llm.common import texts_of, tidied
 from airlens.llm.tokens import shared_encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -128,4 +128,4 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
             yield flush()
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return cols.mapInArrow(run, SCHEMA)
+    return cols.mapInArrow(tidied(run, "tokens"), SCHEMA)

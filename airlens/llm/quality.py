@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import stage, texts_of
+from airlens.llm.common import CHUNK_BYTES, by_bytes, stage, texts_of, tidied
 
 PASSAGE_CHARS = 1000
 _CLASSES = 14
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_passages:
                 [features(passages(t)).astype("<f4").tobytes() for t in texts_of(b)], pa.binary())})
 
     got = sorted(rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
-                 .mapInArrow(encode, "doc_id long, label double, bag binary").collect(), key=lambda r: r["doc_id"])
+                 .mapInArrow(tidied(encode), "doc_id long, label double, bag binary").collect(), key=lambda r: r["doc_id"])
     if not got:
         return None
     label = np.array([r["label"] for r in got])
@@ -165,33 +165,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 4000, max_passages:
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
-          keep: dict[str, Column] | None = None, run_chars: int = 1 << 20) -> DataFrame:
-    """doc_id, the columns of ``keep``, score (0 to 1)."""
+          keep: dict[str, Column] | None = None, with_text: bool = False, run_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """doc_id, the columns of ``keep``, with ``with_text`` text, and score (0 to 1)."""
     keep = keep or {}
-    kept = tuple(keep)
+    kept = ("doc_id", *keep, *(["text"] if with_text else []))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
-            texts = texts_of(b)
-            out: list[np.ndarray] = []
-            start = 0
-            while start < len(texts):
-                parts, first, size, end = [], [], 0, start
-                while end < len(texts) and (end == start or size + len(texts[end]) <= run_chars):
-                    first.append(len(parts))
-                    parts += passages(texts[end])
-                    size += len(texts[end])
-                    end += 1
-                out.append(m.score(features(parts).astype(float), np.array(first)) if m
-                           else np.full(end - start, 0.5))
-                start = end
-            s = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", *kept)] + [pa.array(s)],
-                                             names=["doc_id", *kept, "score"])
+        for rows, texts in by_bytes(batches, limit=run_bytes):
+            parts, first = [], []
+            for t in texts:
+                first.append(len(parts))
+                parts += passages(t.decode())
+            s = m.score(features(parts).astype(float), np.array(first)) if m else np.full(len(texts), 0.5)
+            yield pa.RecordBatch.from_arrays([rows.column(c) for c in kept] + [pa.array(s)], names=[*kept, "score"])
 
     cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        *[c.alias(n) for n, c in keep.items()])
-    kinds = ", ".join(f"{n} {t}" for n, t in cols.drop("text").dtypes)
-    return cols.mapInArrow(run, f"{kinds}, score double")
+    types = dict(cols.dtypes)
+    return cols.mapInArrow(tidied(run), ", ".join(f"`{c}` {types[c]}" for c in kept) + ", score double")

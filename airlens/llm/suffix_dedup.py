@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airlens.llm.common import by_bytes, partitions, stage
+from airlens.llm.common import by_bytes, partitions, stage, tidied
 from airlens.llm.decontamination import window_minima_at
 from airlens.llm.induced import suffix_array
 from airlens.llm.wordhash import mix, prefix_hashes, span_hashes, window_hashes
@@ -102,7 +102,7 @@ def blocks_of(docs: DataFrame, id_col: str, text_col: str, keep: dict[str, Colum
 
     kinds = ", ".join(f"`{n}` array<{t}>" for n, t in cols.select(*kept).dtypes)
     schema = f"block long, {kinds}, sizes binary, n long, data binary, anchors binary, spans binary"
-    return stage(cols.mapInArrow(run, schema), "text-blocks", blobs=True)
+    return stage(cols.mapInArrow(tidied(run), schema), "text-blocks", blobs=True)
 
 
 def _flat(column: pa.Array) -> pa.Array:
@@ -154,7 +154,7 @@ def shared_hashes(hashes: DataFrame, buckets: int) -> DataFrame:
             x += m
         return pd.DataFrame(rows, columns=["block", "hashes", "times"])
 
-    return hashes.mapInArrow(deal, schema).groupBy("bucket").applyInPandas(
+    return hashes.mapInArrow(tidied(deal), schema).groupBy("bucket").applyInPandas(
         count, "block long, hashes binary, times binary")
 
 
@@ -207,7 +207,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
 
     triple = "block long, hashes binary, times binary"
     texts = blocks.select("block", "n", "data", "anchors", "spans")
-    reply = shared_hashes(texts.mapInArrow(anchors, triple), buckets)
+    reply = shared_hashes(texts.mapInArrow(tidied(anchors), triple), buckets)
 
     strip_schema = ("block long, starts binary, ends binary, strip_lo binary, strip_hi binary, cores binary, "
                     "n long, data binary")
@@ -254,7 +254,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
                 if h:
                     yield pa.record_batch({"block": [r["block"]], "hashes": [h], "times": [n]})
 
-    reply = shared_hashes(cut.select("block", "cores").mapInArrow(cores, triple), buckets)
+    reply = shared_hashes(cut.select("block", "cores").mapInArrow(tidied(cores), triple), buckets)
     send_schema = "kind int, shard int, block long, lo binary, sizes binary, hashes binary, n long, data binary"
 
     def send(key: tuple, strips: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
@@ -345,7 +345,7 @@ def find_repeats(blocks: DataFrame, length: int, k: int, strip: int, hot: int) -
                 yield pa.record_batch({"block": [r["block"]], "hashes": [h], "times": [n]})
 
     crowded = sent.where("kind = 1").select("block", "lo", "hashes")
-    reply = shared_hashes(crowded.mapInArrow(strings, triple), buckets)
+    reply = shared_hashes(crowded.mapInArrow(tidied(strings), triple), buckets)
 
     def place(key: tuple, mine: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
         if not len(mine) or not len(reply):

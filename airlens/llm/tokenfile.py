@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airlens.llm.common import texts_of
+from airlens.llm.common import texts_of, tidied
 from airlens.llm.tokens import shared_encoder
 
 # (count, bits) by selector; selector 0 escapes, selector 1 is 240 zeros.
@@ -183,7 +183,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = cols.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, FRAME_SCHEMA).write.mode("overwrite").parquet(path)
+    ordered.mapInArrow(tidied(run, "tokens"), FRAME_SCHEMA).write.mode("overwrite").parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:

@@ -20,6 +20,8 @@ import threading
 
 import numpy as np
 
+from airlens.llm.common import HELD
+
 ID_DTYPE = "<u2"          # the 49k vocabulary fits 16 bits
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 # Fixed value: the split pattern of the tokenizer file, for such characters.
@@ -105,6 +107,9 @@ _SHARED: dict[tuple, Encoder] = {}
 _LOCK = threading.Lock()
 
 
+HELD["tokens"] = _SHARED.clear
+
+
 def shared_encoder(path: str | None = None, cache_size: int = 500_000) -> Encoder:
     """One encoder for a Python worker's tasks."""
     with _LOCK:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from airlens.llm.common import HELD
+
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -39,6 +41,14 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[:n], _INVERSES[:n]
 
 
+def _forget() -> None:
+    global _POWERS, _INVERSES
+    _POWERS = _INVERSES = np.ones(1, np.uint64)
+
+
+HELD["powers"] = _forget
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finalizer on uint64."""
     x = x ^ (x >> np.uint64(33))
