@@ -20,13 +20,13 @@ def _carried(docs: DataFrame, *names: str) -> dict[str, Column]:
 
 
 def _back(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", *[F.col(f"own_{c}").alias(c) for c in COLUMNS[1:]])
+    return df.select("doc_id", "text", *[F.col(f"own_{c}").alias(c) for c in COLUMNS[2:]])
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep=_carried(docs, *COLUMNS[1:]))
+    scored = quality.score(docs, model, keep=_carried(docs, *COLUMNS[2:]), with_text=True)
     return _back(scored.where(F.col("score") >= QUALITY_THRESHOLD))
 
 
@@ -50,16 +50,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes of passages that repeat are cut out of the texts."""
-    out = suffix_dedup.remove_repeats(docs, keep=_carried(docs, "text", "lang", "source"), with_text=True)
+    own = {**_carried(docs, "lang", "source"), "own_null": F.col("text").isNull()}
+    out = suffix_dedup.remove_repeats(docs, keep=own, with_text=True)
     # An unchanged null stays null.
-    text = F.when(F.col("own_text").isNull(), F.lit(None).cast("string")).otherwise(F.col("text"))
+    text = F.when(F.col("own_null"), F.lit(None).cast("string")).otherwise(F.col("text"))
     return out.select("doc_id", text.alias("text"), F.col("own_lang").alias("lang"), F.col("own_source").alias("source"),
                       F.length(text).cast("long").alias("n_chars"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage of the benchmark go."""
-    out = decontamination.hits(docs, read_table(spark, sf_dir, "benchmark"), keep=_carried(docs, *COLUMNS[1:]))
+    out = decontamination.hits(docs, read_table(spark, sf_dir, "benchmark"), keep=_carried(docs, *COLUMNS[2:]), with_text=True)
     return _back(out.where("n_hit = 0"))
 
 
