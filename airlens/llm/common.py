@@ -20,19 +20,31 @@ CHUNK_BYTES = 1 << 20       # texts are handled in runs of about this many bytes
 HELD: dict[str, Callable[[], None]] = {}
 
 
+def let_go(uses: tuple[str, ...]) -> None:
+    for name in HELD.keys() - set(uses):
+        HELD[name]()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidied(run: Callable[[Iterator], Iterator], *uses: str) -> Callable[[Iterator], Iterator]:
     """``run`` as a task that first drops what other operators have left in the
-    worker (all of ``HELD`` but ``uses``), and gives freed memory back when it ends."""
+    worker (all of ``HELD`` but ``uses``), and gives freed memory back when it ends.
+    (``HELD`` is the worker's own only through functions of this module: what a task's
+    function itself refers to is sent with it as a copy.)"""
     def task(batches: Iterator) -> Iterator:
-        for name in HELD.keys() - set(uses):
-            HELD[name]()
+        let_go(uses)
+        give_back()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return task
 
