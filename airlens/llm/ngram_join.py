@@ -43,6 +43,7 @@ from airlens.llm.wordhash import SPACE_SEP, Words, gram_hashes
 
 FLUSH_SHINGLES = 1 << 21
 FLUSH_SETS = 1 << 15
+BUCKET_BYTES = 4 << 20      # of text whose shingles are counted in one group
 
 
 def shingle_sets(texts: list[bytes], n: int) -> list[np.ndarray]:
@@ -158,7 +159,8 @@ def join_blocks(left: list[dict], right: list[dict], percent: int) -> list[tuple
 
 def _shared(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(cid, n, tokens): classes whose shared shingles can make a link."""
-    buckets = partitions(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    buckets = max(partitions(docs.sparkSession), -(-size // BUCKET_BYTES))
     schema = "bucket int, flush long, kind int, a binary, b binary"
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
