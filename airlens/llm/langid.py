@@ -8,12 +8,16 @@ texts is a sparse document x bucket matrix that numpy multiplies with it.
 
 Null text, or text without a letter: ``und`` with score 0. Rows without a
 label are not learned from; without any label all predictions are ``und``.
-Ties go to the language first in alphabetical order.
+Ties go to the language first in alphabetical order. Repeated rows count again,
+very long texts are read whole, an empty table gives an empty result, and other
+columns are ignored. More than ``max_langs`` labels end the fit with an error: the
+matrix that is broadcast has a row for each.
 """
 
 from __future__ import annotations
 
 import functools
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +30,12 @@ from airlens.llm.common import texts_of
 
 BLOCK = 4096                # buckets of one partial-count row
 RUN_CHARS = 1 << 19
-MAX_CODE = 0x32000          # letters above are not told apart
 _SPACE = 32
 
 
 @functools.cache
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(MAX_CODE)])
+    return np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)])
 
 
 def grams(texts: list[str], buckets: int, max_n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,7 +46,7 @@ def grams(texts: list[str], buckets: int, max_n: int) -> tuple[np.ndarray, np.nd
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter((len(t.lower()) + max_n for t in texts), np.int64, len(texts))
     doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    letter = _letters()[np.minimum(codes, MAX_CODE - 1)]
+    letter = _letters()[codes]
     has = np.zeros(len(texts), bool)
     has[doc[letter]] = True
     # Keep letters and the one space behind each run of them.

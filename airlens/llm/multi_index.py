@@ -18,8 +18,9 @@ Equal vectors are one class, so copies are not expanded. A cell's vectors and
 its visitors are cut in blocks. A pair met from both sides counts once: each row
 carries the cells it visits. Blocks give sums and spanning stars, never pairs.
 
-Null, zero, or not wholly finite vectors, and those of another length than the
-most common one, link with nothing: n_links 0, their own component. Repeated
+Only vectors of one length can link, so each length that several rows share has an
+index of its own, built one after the other. Null, zero, or not wholly finite
+vectors link with nothing: n_links 0, their own component. Repeated
 rows and ids are vectors of their own. Other columns are not read.
 """
 
@@ -203,9 +204,18 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
                     per_cell: int = 8, block: int = 256, seed: int = 11) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row."""
     cols = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v"))
-    common = (cols.where("size(v) > 0").groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.desc("n"), F.desc("d")).limit(1).collect())
-    dim = common[0]["d"] if common else 0
+    shared_length = cols.where("size(v) > 0").groupBy(F.size("v").alias("d")).count().where("count > 1")
+    dims = sorted(r["d"] for r in shared_length.collect())
+    in_some = F.coalesce(F.size("v").isin(dims), F.lit(False))
+    out = cols.where(~in_some).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    for dim in dims:
+        out = out.unionByName(_of_length(cols.where(F.size("v") == dim), dim, threshold, target, sample, probe, per_cell, block, seed))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+def _of_length(cols: DataFrame, dim: int, threshold: float, target: float, sample: int, probe: int, per_cell: int,
+               block: int, seed: int) -> DataFrame:
+    """vec_id, n_links, component_id of vectors of one length."""
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -274,6 +284,5 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
     least = stage(own.groupBy("component").agg(F.min("least").alias("component_id")), "vector-component-ids")
     ids = stage(own.join(least, "component").select("cid", "n_links", "component_id"), "vector-ids")
     out = rows.select("vec_id", "cid").join(ids, "cid", "left")
-    out = out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
                      F.when(F.col("cid").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

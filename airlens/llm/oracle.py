@@ -25,6 +25,23 @@ SELECT g.doc_id, len(g.s)::BIGINT AS n_shingles, coalesce(root.component, g.doc_
 FROM g LEFT JOIN classes ON classes.s = list_sort(g.s) LEFT JOIN root ON root.c = classes.c
 """
 
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+OP6 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_TEXT}, {_WORD}) AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS id, regexp_extract_all({_TEXT}, {_WORD}) AS w FROM benchmark),
+win AS (SELECT DISTINCT id, n, array_to_string(w[s:s + n - 1], ' ') AS g FROM (
+          SELECT id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS g FROM (
+         SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n)),
+m AS (SELECT r, s, n, id FROM dw JOIN win USING (n, g)),
+hit AS (SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT r, s, n FROM m)) GROUP BY r),
+its AS (SELECT r, count(DISTINCT id)::BIGINT AS n_items, sha256(array_to_string(list_sort(list(DISTINCT id)), ',')) AS x FROM m GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(x, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
+"""
+
 OP11 = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airlens.llm import (brown, decontamination, exact_dedup, langid, multi_index, ngram_join, oracle, packing, quality,
@@ -13,6 +13,11 @@ from airlens.session import scratch_dir
 TOXIC_CHAIN = ["low_quality", "toxic"]
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """Whether a document is held out; one without an id is not."""
+    return F.coalesce(fold(F.col("doc_id"), modulus) == remainder, F.lit(False))
+
+
 def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     held = fold(F.col("doc_id"), 5) == 1
@@ -26,7 +31,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    held = fold(F.col("doc_id"), 4) == 2
+    held = held_out(4, 2)
     model = langid.fit(docs.where(~held))
     return langid.predict(docs, model, keep={"held_out": held})
 
@@ -60,7 +65,7 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model | None:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    out = quality.score(docs, model, keep={"held_out": fold(F.col("doc_id"), 5) == 0})
+    out = quality.score(docs, model, keep={"held_out": held_out(5, 0)})
     return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
@@ -74,7 +79,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = (read_table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
               .select("doc_id", (F.lit(1) - F.col("quality")).alias("low_quality"), "toxic"))
     chain = toxicity.fit(docs, labels, TOXIC_CHAIN)
-    out = toxicity.score(docs, chain, TOXIC_CHAIN, keep={"held_out": fold(F.col("doc_id"), 5) == 0})
+    out = toxicity.score(docs, chain, TOXIC_CHAIN, keep={"held_out": held_out(5, 0)})
     threshold = chain.thresholds[TOXIC_CHAIN.index("toxic")] if chain else 0.5
     return (out.withColumn("score", F.col("p_toxic"))
             .withColumn("predicted", (F.col("p_toxic") >= threshold).cast("int")))
@@ -113,6 +118,7 @@ QUERIES = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_ngram_join": oracle.OP5,
+    "op6_decontamination": oracle.OP6,
     "op11_exact_dedup": oracle.OP11,
     "op12_ranked_search": oracle.OP12,
     "op13_spelling_variants": oracle.OP13,

@@ -487,3 +487,82 @@ def test_window_minima_are_shared(w):
     h = rng.integers(0, 9, 400).astype(np.uint64)
     want = [max(range(i, i + w), key=lambda k: (-int(h[k]), k)) for i in range(400 - w + 1)]
     assert decontamination.window_minima_at(h, w).tolist() == want
+
+
+def test_marks_and_private_characters_are_no_letters(spark, docs):
+    flag = chr(0x1F3F4) + "".join(chr(0xE0000 + ord(c)) for c in "gbsct") + chr(0xE007F)
+    rows = [(1, flag, None), (2, chr(0xF0000) * 9, None), (3, chr(0x10FFFF), None), (4, chr(0x31350) * 3, None)]
+    model = langid.fit(docs, buckets=4096)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(table(spark, rows), model).collect()}
+    assert [got[i] for i in (1, 2, 3)] == [("und", 0.0)] * 3
+    assert (got[4][0] != "und") == chr(0x31350).isalpha()
+
+
+def test_languages_of_an_empty_table_and_too_many_labels(docs, empty):
+    model = langid.fit(docs, buckets=4096)
+    assert langid.predict(empty, model).collect() == []
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs, buckets=4096, max_langs=1)
+
+
+def test_vectors_of_every_length_are_compared(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for dim in (8, 12):
+        base = rng.normal(size=(300, dim))
+        for v in np.concatenate((base, base[:150] * 2.0, base[:40] + rng.normal(size=(40, dim)) * 0.01)):
+            rows.append((len(rows), v.tolist()))
+    rows += [(len(rows), [1.0, 2.0, 3.0]), (len(rows) + 1, None), (len(rows) + 2, [0.0] * 8), (len(rows) + 3, [])]
+    got = {r.vec_id: r for r in multi_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert len(got) == len(rows)
+    links, true = 0, 0
+    for dim in (8, 12):
+        own = [(i, np.array(v)) for i, v in rows if v and len(v) == dim and any(v)]
+        x = np.array([v / np.linalg.norm(v) for _, v in own])
+        n = (x @ x.T >= 0.95).sum(1) - 1
+        true += int(n.sum())
+        links += sum(got[i].n_links for i, _ in own)
+        assert all(got[i].n_links <= m for (i, _), m in zip(own, n.tolist()))
+    assert links >= 0.98 * true > 0
+    for i in range(len(rows) - 4, len(rows)):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+
+
+def test_a_document_without_an_id_is_not_held_out(spark):
+    from airlens.llm.queries import held_out
+
+    df = spark.createDataFrame([(None,), (1,), (2,)], "doc_id long")
+    got = [r[0] for r in df.select(held_out(4, zlib.crc32(b"1") % 4)).collect()]
+    assert got[0] is False and got[1] is True
+
+
+def test_pieces_hold_the_ids_of_their_documents(docs):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(default_tokenizer_path())
+    seen = Counter(i for i, _, _ in corpus())
+    ids = {i: np.array(whole.encode(t or "", add_special_tokens=False).ids + [2], "<u4") for i, t, _ in corpus() if seen[i] == 1}
+    pieces = defaultdict(list)
+    for r in packing.pack(docs, capacity=256, pool_tokens=5000).collect():
+        pieces[r.doc_id].append(r)
+    for i, own in ids.items():
+        rows = sorted(pieces[i], key=lambda r: r.start)
+        assert [r.start for r in rows] == np.cumsum([0, *(r.length for r in rows[:-1])]).tolist()
+        assert rows[-1].start + rows[-1].length == len(own)
+        for r in rows:
+            assert r.doc_tokens == len(own)
+            assert r.ids_crc32 == zlib.crc32(own[r.start:r.start + r.length].tobytes())
+
+
+def test_quality_scores_are_the_attention_weighted_passages():
+    m = quality.Model(seed=4)
+    rng = np.random.default_rng(2)
+    m.mean, m.scale = rng.normal(size=quality.N_FEATURES), rng.uniform(0.5, 2, quality.N_FEATURES)
+    m.p["w"], m.p["d"] = rng.normal(size=12), np.array([0.3])
+    bags = [rng.normal(size=(n, quality.N_FEATURES)) for n in (1, 4, 2)]
+    got = m.score(np.concatenate(bags), np.array([0, 1, 5]))
+    for bag, score in zip(bags, got):
+        h = [np.tanh((x - m.mean) / m.scale @ m.p["W"] + m.p["b"]) for x in bag]
+        e = np.exp([np.tanh(v @ m.p["V"]) / (1 + np.exp(-(v @ m.p["U"]))) @ m.p["w"] for v in h])
+        z = sum(a * v for a, v in zip(e / e.sum(), h))
+        assert score == pytest.approx(1 / (1 + np.exp(-(z @ m.p["c"] + m.p["d"][0]))), abs=1e-12)
