@@ -7,17 +7,27 @@ emission P(w | c) = (c(w) + 0.5) / (N_c + 0.5 (V_c + 1)), where the "+ 1" is
 the class's share for unseen words. Transitions are smoothed towards the class
 frequencies. The base model is the unigram (c(w) + 0.5) / (N + 0.5 (V + 1)).
 
-What is counted: all words of all training texts. Counts are pre-aggregated per
-task, dealt out by word hash, and stay in a table; nothing of the vocabulary's
-size is broadcast or collected. Clustering moves units: each word with a share
-of at least ``unit_share`` of the training tokens (so at most 1 / unit_share of
-them, at any corpus size) and 256 groups of the other words (by length and last
-byte). Their bigram table is at most (1 / unit_share + 257)**2 cells; it is
-counted over the whole corpus on Spark, and exchange runs on it.
-
-Scoring: transitions, frequent words and denominators are local to a text;
-other words meet their counts by a hash-bucket join of packed postings, and come
-back as one partial sum per text and bucket.
+What is counted: all words of all training texts. Texts are packed once into
+chunks (their distinct words and the token sequence as positions in them). Counts
+are pre-aggregated per chunk, dealt out by word hash, and stay in a table; nothing
+of the vocabulary's size is broadcast or collected.
+
+Clustering: units give the start. Each word with a share of at least
+``unit_share`` of the training tokens and 256 groups of the other words (by
+length and last byte) are exchanged on their bigram table, counted over the
+whole corpus on Spark. Then every word of the training texts, however rare, is
+exchanged by its own contexts in Spark rounds: chunks send each word's counts of
+classes before and after it to the word's bucket, the bucket adds them up, moves
+the word to the class that raises the likelihood most, and answers each chunk
+with the classes of its words. Words moved at once do not see each other's moves,
+so a sweep over all words takes a round for each of its parts (by hash, two at
+first). A round after which the recounted likelihood is not higher is undone, and
+the next sweep has twice the parts. Sweeps end when one gains less than ``tolerance``
+(nats) a token and every word has had its round in a sweep without a fall (or even
+eighths of the words, moved at once, lower the likelihood).
+
+Scoring: a chunk gets the counts and classes of its words from their buckets and
+scores its texts whole. A word without a count has the class of its group.
 
 Null text: only the end token. Rows are told apart by a number of their own, so
 repeated or null ids are documents of their own. With a null training flag a row
@@ -26,23 +36,24 @@ is not learned from. Without training rows every token has probability 1.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airlens.llm.common import by_bytes, partitions, stage
-from airlens.llm.wordhash import SPACE_SEP, Words
+from airlens.llm.wordhash import SPACE_SEP, Words, mix
 
 GROUPS = 256
 END = np.uint64(0xE4D0_0000_0000_0000)       # the end token; its low byte is its group
 FLUSH_TOKENS = 1 << 21
 FLUSH_DOCS = 1 << 15
+FEW = 16
 
 
 def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -70,9 +81,67 @@ def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.n
     return order, used.astype(np.int32), np.append(first, len(keys))
 
 
+_CHUNK = "chunk long, n long, keys binary, seq binary, sizes binary, ids array<{0}>, held array<boolean>"
+
+
+def chunks(docs: DataFrame, label: str) -> DataFrame:
+    """Packed runs of about ``FLUSH_TOKENS`` tokens of whole texts (doc_id, text, held_out): ``keys``
+    are their distinct words, frequent ones first, ``seq`` the tokens as positions in them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 33
+        held: list[tuple] = []
+        n_held = n_docs = 0
+
+        def flush() -> pa.RecordBatch:
+            keys, at, n = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")
+            rank = np.empty(len(keys), "<u4")
+            rank[order] = np.arange(len(keys))
+            planes = np.ascontiguousarray(rank[at].view(np.uint8).reshape(-1, 4).T)
+            row = {"chunk": [chunk], "n": [len(at)], "keys": [keys[order].tobytes()],
+                   "seq": [pa.compress(planes.tobytes(), codec="zstd", asbytes=True)],
+                   "sizes": [np.concatenate([h[1] for h in held]).astype("<i8").tobytes()]}
+            lists = {name: pa.concat_arrays([h[k] for h in held]) for k, name in ((2, "ids"), (3, "held"))}
+            return pa.record_batch(row | {name: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                                          for name, x in lists.items()})
+
+        for batch, texts in by_bytes(batches):
+            if held and (n_held >= FLUSH_TOKENS or n_docs + len(texts) > FLUSH_DOCS):
+                yield flush()
+                held, n_held, n_docs, chunk = [], 0, 0, chunk + 1
+            keys, _, sizes = tokens(texts)
+            held.append((keys, sizes, batch.column("doc_id"), batch.column("held_out")))
+            n_held += len(keys)
+            n_docs += len(texts)
+        if held:
+            yield flush()
+
+    return stage(docs.select("doc_id", "text", "held_out").mapInArrow(run, _CHUNK.format(dict(docs.dtypes)["doc_id"])),
+                 label, blobs=True)
+
+
+def sequence(row: dict) -> np.ndarray:
+    planes = pa.decompress(row["seq"], 4 * row["n"], codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Order of a chunk's words by bucket and hash, and (bucket, from, to) in that order."""
+    order = np.argsort(keys)
+    by, used, cut = _dealt(keys[order], buckets)
+    cut = cut.tolist()
+    return order[by], list(zip(used.tolist(), cut[:-1], cut[1:]))
+
+
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for i in range(b.num_rows):
+            yield b.slice(i, 1).to_pylist()[0]
+
+
 @dataclass
 class Vocabulary:
-    """``table`` holds (bucket, keys, counts) of every training token."""
+    """``table`` holds (bucket, keys, counts, after ``fit`` classes) of every training token."""
 
     table: DataFrame
     buckets: int
@@ -83,31 +152,20 @@ class Vocabulary:
 
 
 def count_words(train: DataFrame, unit_share: float) -> Vocabulary:
+    """``train`` are chunks."""
     spark = train.sparkSession
     buckets = _buckets(spark)
     schema = "bucket int, keys binary, counts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            order, used, cut = _dealt(keys, buckets)
+        for row in each(batches):
+            keys = np.frombuffer(row["keys"], np.uint64)
+            n = np.bincount(sequence(row), minlength=len(keys))
+            order, spans = by_bucket(keys, buckets)
             keys, n = keys[order], n[order]
-            spans = list(zip(cut[:-1].tolist(), cut[1:].tolist()))
-            return pa.record_batch({"bucket": pa.array(used),
-                                    "keys": pa.array([keys[a:b].tobytes() for a, b in spans], pa.binary()),
-                                    "counts": pa.array([n[a:b].tobytes() for a, b in spans], pa.binary())})
-
-        for _, texts in by_bytes(batches):
-            held.append(tokens(texts)[0])
-            size += len(held[-1])
-            if size >= FLUSH_TOKENS:
-                yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
+            yield pa.record_batch({"bucket": pa.array([k for k, _, _ in spans], pa.int32()),
+                                   "keys": pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                                   "counts": pa.array([n[a:b].tobytes() for _, a, b in spans], pa.binary())})
 
     def merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         keys = np.frombuffer(b"".join(frame["keys"]), np.uint64)
@@ -116,7 +174,7 @@ def count_words(train: DataFrame, unit_share: float) -> Vocabulary:
         total = np.bincount(at, n).astype(np.int64)
         return pd.DataFrame({"bucket": [key[0]], "keys": [own.tobytes()], "counts": [total.tobytes()]})
 
-    table = stage(train.select("text").mapInArrow(count, schema).groupBy("bucket")
+    table = stage(train.select("n", "keys", "seq").mapInArrow(count, schema).groupBy("bucket")
                   .applyInPandas(merge, schema), "vocabulary", blobs=True)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +194,8 @@ def count_words(train: DataFrame, unit_share: float) -> Vocabulary:
                 keep = n >= least
                 yield pa.record_batch({"key": np.frombuffer(keys, np.uint64)[keep].view(np.int64), "n": n[keep]})
 
-    # Shares sum to 1, so there are 1 / unit_share such words at most.
+    # Shares sum to 1, so there are 1 / unit_share such words at most. They only start the
+    # clustering; ``exchange_words`` then moves every word.
     got = sorted((np.uint64(x["key"] & (1 << 64) - 1), x["n"])
                  for x in table.mapInArrow(often, "key long, n long").collect())
     return Vocabulary(table, buckets, n_tokens, n_types, np.array([k for k, _ in got], np.uint64),
@@ -156,7 +215,7 @@ def unit_of(keys: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def count_bigrams(train: DataFrame, frequent: np.ndarray) -> np.ndarray:
-    """Unit bigram counts of the whole training corpus (rows: the unit before)."""
+    """Unit bigram counts of the whole training corpus, given as chunks (rows: the unit before)."""
     size = len(frequent) + GROUPS + 1
     span = 64 * size                          # cells of one partial block
     shared = train.sparkSession.sparkContext.broadcast(frequent)
@@ -164,8 +223,8 @@ def count_bigrams(train: DataFrame, frequent: np.ndarray) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         some = False
-        for _, texts in by_bytes(batches):
-            unit, _ = unit_of(tokens(texts)[0], shared.value)
+        for row in each(batches):
+            unit = unit_of(np.frombuffer(row["keys"], np.uint64), shared.value)[0][sequence(row)]
             before = np.concatenate(([size - 1], unit[:-1]))     # a text follows an end
             cell, n = np.unique(before * size + unit, return_counts=True)
             total[cell] += n
@@ -190,7 +249,7 @@ def count_bigrams(train: DataFrame, frequent: np.ndarray) -> np.ndarray:
 
     schema = "block int, cells binary, counts binary"
     out = np.zeros(size * size, np.int64)
-    for r in train.select("text").mapInArrow(count, schema).groupBy("block").applyInPandas(merge, schema).collect():
+    for r in train.select("n", "keys", "seq").mapInArrow(count, schema).groupBy("block").applyInPandas(merge, schema).collect():
         out[np.frombuffer(r["cells"], np.int64)] = np.frombuffer(r["counts"], np.int64)
     return out.reshape(size, size)
 
@@ -257,38 +316,244 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     return cls
 
 
+def likelihood(c: np.ndarray) -> float:
+    """Class bigram log likelihood, up to what no move changes."""
+    return float(_xlogx(c).sum() - _xlogx(c.sum(0)).sum() - _xlogx(c.sum(1)).sum())
+
+
+def may_move(keys: np.ndarray, part: int, parts: int) -> np.ndarray:
+    """The words of a part of a sweep, by hash; the end token never moves."""
+    return ((mix(keys) >> np.uint64(40)) % np.uint64(parts) == np.uint64(part)) & (keys != END)
+
+
+def best_class(c: np.ndarray, own: np.ndarray, word: np.ndarray, slot: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class that raises the likelihood most for each of the words with class ``own``, were it
+    moved alone. ``word`` (ascending), ``slot``, ``n``: how often a class is before it (slot: the class) and
+    after it (slot: the class + number of classes)."""
+    classes = len(c)
+    size = c.sum(0)
+    cells = np.concatenate((c, c.T)).astype(float)        # slot x class of the word
+    logs = _xlogx(cells)
+
+    def gains(s: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per entry, what each class would gain by it, and what its class would lose without it."""
+        return _xlogx(cells[s] + k) - logs[s], logs[s] - _xlogx(np.maximum(cells[s] - k, 0))
+
+    few = np.arange(1, FEW + 1)                           # most counts are small: those from tables
+    to, off = gains(np.tile(np.arange(2 * classes), FEW), np.repeat(few, 2 * classes)[:, None].astype(float))
+    best = own.copy()
+    cut = np.searchsorted(word, np.arange(len(own) + 1))
+    at = 0
+    while at < len(own):                                  # bounded slices of the words
+        end = max(at + 1, int(np.searchsorted(cut, cut[at] + (1 << 15), "right")) - 1)
+        s, k, w = slot[cut[at]:cut[end]], n[cut[at]:cut[end]], word[cut[at]:cut[end]] - at
+        i, mine = np.arange(len(s)), own[at:end][w]
+        row = (np.minimum(k, FEW) - 1) * 2 * classes + s
+        gain = to[row]
+        gain[i, mine] = off[row, mine]                    # the word is in its own class
+        many = np.flatnonzero(k > FEW)
+        if len(many):
+            g, o = gains(s[many], k[many, None].astype(float))
+            gain[many] = g
+            gain[many, mine[many]] = o[np.arange(len(many)), mine[many]]
+        has = np.flatnonzero(cut[at + 1:end + 1] > cut[at:end])
+        total = np.add.reduceat(gain, cut[at:end][has] - cut[at]) if len(has) else np.zeros((0, classes))
+        times, t = np.unique(np.bincount(w, np.where(s < classes, k, 0), end - at)[has], return_inverse=True)
+        o, j = own[at:end][has], np.arange(len(has))
+        mass = (_xlogx(size + times[:, None]) - _xlogx(size))[t]
+        mass[j, o] = _xlogx(size[o]) - _xlogx(np.maximum(size[o] - times[t], 0))
+        total -= 2 * mass
+        total[:, -1] = -np.inf                            # the end token's own class
+        to_class = total.argmax(1)
+        better = total[j, to_class] > total[j, o] + 1e-6
+        best[at + has[better]] = to_class[better]
+        at = end
+    return best
+
+
+_MESSAGE = "bucket int, chunk long, keys binary, classes binary, runs binary, slots binary, n binary"
+_ANSWER = "bucket int, chunk long, moved long, classes binary"
+
+
+def exchange_words(train: DataFrame, voc: Vocabulary, bigrams: np.ndarray, cls: np.ndarray, classes: int,
+                   tolerance: float) -> tuple[np.ndarray, DataFrame]:
+    """Class bigram counts and a table (bucket, classes) in the order of the vocabulary, once every
+    word of the chunks ``train`` has been exchanged by its own contexts."""
+    spark = train.sparkSession
+    buckets, slots = voc.buckets, 2 * classes
+    small, slot_type = np.min_scalar_type(classes - 1), np.min_scalar_type(slots - 1)
+    shared = spark.sparkContext.broadcast((voc.frequent, cls))
+    n_parts = partitions(spark)
+    kept = (train.select("chunk", "n", "keys", "seq").repartition(n_parts, "chunk").sortWithinPartitions("chunk")
+            .persist(StorageLevel.DISK_ONLY))
+
+    def classed(row: dict, order: np.ndarray, told: list[dict] | None) -> np.ndarray:
+        """Class of each of a chunk's words, in their order by bucket."""
+        if told is None:
+            return cls_of(np.frombuffer(row["keys"], np.uint64)[order])
+        return np.frombuffer(b"".join(x["classes"] for x in sorted(told, key=lambda x: x["bucket"])), small).astype(np.int64)
+
+    def cls_of(keys: np.ndarray) -> np.ndarray:
+        frequent, cls = shared.value
+        return cls[unit_of(keys, frequent)[0]]
+
+    def over(fn: Callable[[dict, list[dict] | None], pa.Table], answers: DataFrame | None, schema: str) -> DataFrame:
+        """``fn`` over each chunk and what the buckets last told it."""
+        if answers is None:
+            return kept.mapInArrow(lambda batches: (b for r in each(batches) for b in fn(r, None).to_batches()), schema)
+        told = answers.where("chunk is not null").select("chunk", "bucket", "classes")
+        return kept.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+            lambda left, right: fn(left.to_pylist()[0], right.to_pylist()), schema)
+
+    def pairs(row: dict, told: list[dict] | None) -> pa.Table:
+        order, _ = by_bucket(np.frombuffer(row["keys"], np.uint64), buckets)
+        of = np.empty(len(order), np.int64)
+        of[order] = classed(row, order, told)
+        c = of[sequence(row)]
+        cell = np.concatenate(([classes - 1], c[:-1])) * classes + c
+        n = np.bincount(cell, minlength=classes * classes)
+        cell = np.flatnonzero(n)
+        return pa.table({"cell": pa.array(cell, pa.int64()), "n": pa.array(n[cell], pa.int64())})
+
+    def recount(answers: DataFrame) -> np.ndarray:
+        out = np.zeros(classes * classes, np.int64)
+        for r in over(pairs, answers, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            out[r["cell"]] = r["n"]
+        return out.reshape(classes, classes)
+
+    def messages(part: int, parts: int) -> Callable[[dict, list[dict] | None], pa.Table]:
+        def tell(row: dict, told: list[dict] | None) -> pa.Table:
+            keys = np.frombuffer(row["keys"], np.uint64)
+            order, spans = by_bucket(keys, buckets)
+            keys = keys[order]
+            mine = classed(row, order, told)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            word = place[sequence(row)]
+            c = mine[word]
+            before = np.concatenate(([classes - 1], c[:-1]))
+            moves = may_move(keys, part, parts)
+            a, b = moves[word], moves[word[:-1]]
+            code, n = np.unique(np.concatenate((word[a] * slots + before[a], word[:-1][b] * slots + classes + c[1:][b])),
+                                return_counts=True)
+            runs = np.bincount(code // slots, minlength=len(keys))
+            cut = np.concatenate(([0], np.cumsum(runs)))
+            slot, n, runs, mine = (code % slots).astype(slot_type), n.astype("<u4"), runs.astype("<u2"), mine.astype(small)
+            packed = {"keys": lambda i, j: keys[i:j], "classes": lambda i, j: mine[i:j], "runs": lambda i, j: runs[i:j],
+                      "slots": lambda i, j: slot[cut[i]:cut[j]], "n": lambda i, j: n[cut[i]:cut[j]]}
+            return pa.table({"bucket": pa.array([k for k, _, _ in spans], pa.int32()),
+                             "chunk": pa.array([row["chunk"]] * len(spans), pa.int64())}
+                            | {name: pa.array([of(i, j).tobytes() for _, i, j in spans], pa.binary())
+                               for name, of in packed.items()})
+
+        return tell
+
+    def decide(c: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def finish(bucket: int, keys: np.ndarray, own: np.ndarray, heard: list, asked: list) -> pa.RecordBatch:
+            code, n = added(heard)
+            best = best_class(c, own, code // slots, code % slots, n)
+            told = [best] + [best[at] for _, at in asked]
+            return pa.record_batch({
+                "bucket": pa.array([bucket] * len(told), pa.int32()),
+                "chunk": pa.array([None] + [k for k, _ in asked], pa.int64()),
+                "moved": pa.array([int((best != own).sum())] + [None] * len(asked), pa.int64()),
+                "classes": pa.array([x.astype(small).tobytes() for x in told], pa.binary())})
+
+        def added(heard: list) -> tuple[np.ndarray, np.ndarray]:
+            code, at = np.unique(np.concatenate([x for x, _ in heard]), return_inverse=True)
+            return code, np.bincount(at, np.concatenate([n for _, n in heard]), len(code)).astype(np.int64)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bucket = None
+            keys = own = heard = asked = None
+            size = settled = 0
+            for r in each(batches):
+                if r["chunk"] is None:                     # the vocabulary's row comes first
+                    if bucket is not None:
+                        yield finish(bucket, keys, own, heard, asked)
+                    bucket, keys = r["bucket"], np.frombuffer(r["keys"], np.uint64)
+                    own, asked = np.zeros(len(keys), np.int64), []
+                    heard, size, settled = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0, 0
+                    continue
+                at = np.searchsorted(keys, np.frombuffer(r["keys"], np.uint64)).astype(np.uint32)
+                own[at] = np.frombuffer(r["classes"], small)
+                asked.append((r["chunk"], at))
+                heard.append((np.repeat(at.astype(np.int64), np.frombuffer(r["runs"], "<u2")) * slots
+                              + np.frombuffer(r["slots"], slot_type), np.frombuffer(r["n"], "<u4")))
+                size += len(heard[-1][0])
+                if size > max(1 << 20, settled):
+                    heard, size = [added(heard)], 0
+                    settled = len(heard[0][0])
+            if bucket is not None:
+                yield finish(bucket, keys, own, heard, asked)
+
+        return run
+
+    none = F.lit(None).cast("binary")
+    words = voc.table.select("bucket", F.lit(None).cast("long").alias("chunk"), "keys", none.alias("classes"),
+                             none.alias("runs"), none.alias("slots"), none.alias("n"))
+    member = np.zeros((len(bigrams), classes), np.int64)
+    member[np.arange(len(bigrams)), cls] = 1
+    c = member.T @ bigrams @ member
+    answers, parts, high = None, 2, likelihood(c)
+    more, whole = voc.n_tokens > 0, False
+    while more:
+        start_of_sweep, fell = high, False
+        for part in range(parts):
+            dealt = words.unionByName(over(messages(part, parts), answers, _MESSAGE))
+            dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first())
+            new = stage(dealt.mapInArrow(decide(c), _ANSWER), "brown-classes", blobs=True)
+            if not new.where("chunk is null").agg(F.sum("moved")).first()[0]:
+                continue
+            now = recount(new)
+            if likelihood(now) > high:
+                answers, c, high = new, now, likelihood(now)
+            else:
+                fell = True
+        whole |= not fell
+        parts *= 1 + fell
+        more = high - start_of_sweep >= tolerance * voc.n_tokens or not whole and parts <= 8
+    kept.unpersist()
+    if answers is not None:
+        return c, answers.where("chunk is null").select("bucket", "classes")
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in each(batches):
+            yield pa.record_batch({"bucket": pa.array([r["bucket"]], pa.int32()), "classes": pa.array(
+                [cls_of(np.frombuffer(r["keys"], np.uint64)).astype(small).tobytes()], pa.binary())})
+
+    return c, voc.table.select("bucket", "keys").mapInArrow(start, "bucket int, classes binary")
+
+
 @dataclass
 class Model:
     frequent: np.ndarray
-    frequent_log: np.ndarray                 # log10(c + 0.5) of the units that are words
-    cls: np.ndarray                          # class of each unit
+    cls: np.ndarray                          # class of each unit, for words without a count
     transition: np.ndarray                   # log10 P(c | class before)
     emission: np.ndarray                     # log10(N_c + 0.5 (V_c + 1))
     base: float                              # log10(N + 0.5 (V + 1))
-    end_log: float                           # log10(c(end) + 0.5)
 
 
-def fit(train: DataFrame, classes: int = 64, unit_share: float = 5e-4,
-        strength: float = 20.0) -> tuple[Model, Vocabulary]:
-    voc = count_words(train, unit_share)
-    bigrams = count_bigrams(train, voc.frequent)
+def fit(train: DataFrame, classes: int = 64, unit_share: float = 5e-4, strength: float = 20.0,
+        tolerance: float = 0.01) -> tuple[Model, Vocabulary]:
+    rows = chunks(train.select(F.lit(None).cast("long").alias("doc_id"), "text",
+                               F.lit(False).alias("held_out")), "brown-train")
+    voc = count_words(rows, unit_share)
+    bigrams = count_bigrams(rows, voc.frequent)
     cls = exchange(bigrams, classes)
-    member = np.zeros((len(bigrams), classes))
-    member[np.arange(len(bigrams)), cls] = 1
-    c = member.T @ bigrams @ member
+    c, classed = exchange_words(rows, voc, bigrams, cls, classes, tolerance)
+    voc = replace(voc, table=stage(voc.table.join(classed, "bucket"), "brown-vocabulary", blobs=True))
     n_class = c.sum(0)
-    shared = train.sparkSession.sparkContext.broadcast((voc.frequent, cls))
+    small = np.min_scalar_type(classes - 1)
 
     def types(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, cls = shared.value
-        for b in batches:
-            for keys in b.column("keys").to_pylist():
-                k = cls[unit_of(np.frombuffer(keys, np.uint64), frequent)[0]]
-                own, n = np.unique(k, return_counts=True)
-                yield pa.record_batch({"class": pa.array(own, pa.int32()), "n": pa.array(n, pa.int64())})
+        for r in each(batches):
+            own, n = np.unique(np.frombuffer(r["classes"], small), return_counts=True)
+            yield pa.record_batch({"class": pa.array(own, pa.int32()), "n": pa.array(n, pa.int64())})
 
     v_class = np.zeros(classes)
-    for r in voc.table.mapInArrow(types, "class int, n long").groupBy("class").agg(F.sum("n").alias("n")).collect():
+    for r in (voc.table.select("classes").mapInArrow(types, "class int, n long").groupBy("class")
+              .agg(F.sum("n").alias("n")).collect()):
         v_class[r["class"]] = r["n"]
     if voc.n_tokens:
         prior = (n_class + 1) / (n_class + 1).sum()
@@ -296,137 +561,79 @@ def fit(train: DataFrame, classes: int = 64, unit_share: float = 5e-4,
         emission = np.log10(n_class + 0.5 * (v_class + 1))
     else:
         transition, emission = np.zeros((classes, classes)), np.full(classes, np.log10(0.5))
-    ends = float(n_class[-1])
-    return Model(voc.frequent, np.log10(voc.frequent_counts + 0.5), cls, transition, emission,
-                 float(np.log10(voc.n_tokens + 0.5 * (voc.n_types + 1))), float(np.log10(ends + 0.5))), voc
-
-
-_SCAN = ("uid long, doc_id {}, held_out boolean, n_tokens long, local double, seen double, known long, "
-         "bucket int, keys binary, runs binary, docs binary")
+    return Model(voc.frequent, cls, transition, emission,
+                 float(np.log10(voc.n_tokens + 0.5 * (voc.n_types + 1)))), voc
 
 
 def score(docs: DataFrame, model: Model, voc: Vocabulary, held_out: Column, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    buckets = voc.buckets
+    buckets, n_train, base = voc.buckets, voc.n_tokens, model.base
+    classes = len(model.emission)
+    small = np.min_scalar_type(classes - 1)
     shared = spark.sparkContext.broadcast(model)
-    n_train = voc.n_tokens
     id_type = dict(docs.dtypes)[id_col]
-    arrow_id = pa.int64() if id_type in ("bigint", "long") else None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        size = len(m.frequent) + GROUPS + 1
-        uid = TaskContext.get().partitionId() << 33
-        first = uid
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        n_held = 0
-
-        def flush() -> pa.RecordBatch:
-            keys = np.concatenate([k for k, _ in held])
-            doc = np.concatenate([d for _, d in held]).astype("<u2")
-            order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
-            own, at, n = np.unique(keys, return_index=True, return_counts=True)
-            by, used, cut = _dealt(own, buckets)
-            rows = []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                pick = by[a:b]
-                rows.append((own[pick].tobytes(), n[pick].astype("<u4").tobytes(),
-                             b"".join(doc[i:i + k].tobytes() for i, k in zip(at[pick].tolist(), n[pick].tolist()))))
-            none = [None] * len(rows)
-            return pa.record_batch({
-                "uid": pa.array([first] * len(rows), pa.int64()), "doc_id": pa.array(none, arrow_id or ids.type),
-                "held_out": pa.array(none, pa.bool_()), "n_tokens": pa.array(none, pa.int64()),
-                "local": pa.array(none, pa.float64()), "seen": pa.array(none, pa.float64()),
-                "known": pa.array(none, pa.int64()), "bucket": pa.array(used),
-                "keys": pa.array([x[0] for x in rows], pa.binary()),
-                "runs": pa.array([x[1] for x in rows], pa.binary()),
-                "docs": pa.array([x[2] for x in rows], pa.binary())})
-
-        ids = None
-        for batch, texts in by_bytes(batches):
-            ids = batch.column("doc_id")
-            for lo in range(0, len(texts), FLUSH_DOCS):
-                part = texts[lo:lo + FLUSH_DOCS]
-                if held and (n_held >= FLUSH_TOKENS or uid + len(part) - first > FLUSH_DOCS):
-                    yield flush()
-                    held, n_held = [], 0
-                if not held:
-                    first = uid
-                keys, doc, n = tokens(part)
-                unit, own = unit_of(keys, m.frequent)
-                c = m.cls[unit]
-                before = np.concatenate(([m.cls[size - 1]], c[:-1]))
-                local = np.bincount(doc, m.transition[before, c] - m.emission[c], len(part))
-                end = unit == size - 1
-                mine = own | end
-                logs = np.where(end[mine], m.end_log, 0.0)
-                logs[~end[mine]] = m.frequent_log[unit[mine & ~end]]
-                seen = np.bincount(doc[mine], logs, len(part))
-                # The end token is known once there is a training text.
-                known = np.bincount(doc[own | (end & (n_train > 0))], minlength=len(part))
-                k = len(part)
-                none = pa.array([None] * k, pa.binary())
-                yield pa.record_batch({
-                    "uid": np.arange(uid, uid + k), "doc_id": batch.column("doc_id").slice(lo, k),
-                    "held_out": batch.column("held_out").slice(lo, k), "n_tokens": n.astype(np.int64),
-                    "local": local, "seen": seen, "known": known.astype(np.int64),
-                    "bucket": pa.array([None] * k, pa.int32()), "keys": none, "runs": none, "docs": none})
-                held.append((keys[~mine], doc[~mine] + (uid - first)))
-                n_held += len(held[-1][0])
-                uid += k
-        if held:
-            yield flush()
-
-    cols = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    scan = stage(cols.mapInArrow(run, _SCAN.format(id_type)), "brown-scan", blobs=True)
-    postings = scan.where("bucket is not null").select(
-        "bucket", F.lit(1).alias("kind"), F.col("uid").alias("first"), "keys", F.col("runs").alias("a"), F.col("docs").alias("b"))
-    words = voc.table.select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("first"), "keys",
-                             F.col("counts").alias("a"), F.lit(b"").alias("b"))
+    rows = chunks(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                              F.coalesce(held_out, F.lit(False)).alias("held_out")), "brown-scan")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in each(batches):
+            keys = np.frombuffer(row["keys"], np.uint64)
+            order, spans = by_bucket(keys, buckets)
+            keys = keys[order]
+            yield pa.record_batch({"bucket": pa.array([k for k, _, _ in spans], pa.int32()),
+                                   "chunk": pa.array([row["chunk"]] * len(spans), pa.int64()),
+                                   "keys": pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary())})
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known, n = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["kind"] == 0 or r["bucket"] != at:
-                    at, known, n = r["bucket"], np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                if r["kind"] == 0:
-                    known, n = np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["a"], np.int64)
-                    continue
-                keys = np.frombuffer(r["keys"], np.uint64)
-                count = np.zeros(len(keys), np.int64)
-                if len(known):
-                    i = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    same = known[i] == keys
-                    count[same] = n[i[same]]
-                times = np.frombuffer(r["a"], "<u4")
-                docs = np.frombuffer(r["b"], "<u2").astype(np.int64)
-                total = np.bincount(docs, np.repeat(np.log10(count + 0.5), times))
-                hits = np.bincount(docs, np.repeat(count > 0, times))
-                used = np.flatnonzero(np.bincount(docs))
-                yield pa.record_batch({
-                    "first": [r["first"]], "docs": [used.astype("<u2").tobytes()],
-                    "seen": [total[used].tobytes()], "known": [hits[used].astype("<u4").tobytes()]})
-
-    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        docs = np.frombuffer(b"".join(frame["docs"]), "<u2")
-        seen = np.bincount(docs, np.frombuffer(b"".join(frame["seen"]), np.float64))
-        known = np.bincount(docs, np.frombuffer(b"".join(frame["known"]), "<u4")).astype(np.int64)
-        own = np.unique(docs).astype(np.int64)
-        return pd.DataFrame({"uid": own + key[0], "more_seen": seen[own], "more_known": known[own]})
-
-    dealt = words.unionByName(postings).repartition(buckets, "bucket").sortWithinPartitions("bucket", "kind", "first")
-    partial = dealt.mapInArrow(look_up, "first long, docs binary, seen binary, known binary")
-    more = partial.groupBy("first").applyInPandas(add, "uid long, more_seen double, more_known long")
-    out = scan.where("bucket is null").select("uid", "doc_id", "held_out", "n_tokens", "local", "seen", "known")
-    out = out.join(more, "uid", "left")
-    seen = F.col("seen") + F.coalesce("more_seen", F.lit(0.0))
-    return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(n_train).cast("long").alias("train_tokens"),
-        (seen - F.col("n_tokens") * F.lit(model.base)).alias("base_score"),
-        (seen + F.col("local")).alias("score"))
+        at, known, n, of = None, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, small)
+        for r in each(batches):
+            if r["chunk"] is None:
+                at, known = r["bucket"], np.frombuffer(r["keys"], np.uint64)
+                n, of = np.frombuffer(r["counts"], np.int64), np.frombuffer(r["classes"], small)
+                continue
+            keys = np.frombuffer(r["keys"], np.uint64)
+            count, told = np.zeros(len(keys), np.int64), np.zeros(len(keys), small)
+            if r["bucket"] == at:
+                i = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                same = known[i] == keys
+                count[same], told[same] = n[i[same]], of[i[same]]
+            yield pa.record_batch({"chunk": pa.array([r["chunk"]], pa.int64()), "bucket": pa.array([r["bucket"]], pa.int32()),
+                                   "counts": pa.array([count.tobytes()], pa.binary()),
+                                   "classes": pa.array([told.tobytes()], pa.binary())})
+
+    def texts(left: pa.Table, right: pa.Table) -> pa.Table:
+        m = shared.value
+        row = left.select(["n", "keys", "seq", "sizes"]).to_pylist()[0]
+        told = sorted(right.to_pylist(), key=lambda x: x["bucket"])
+        keys = np.frombuffer(row["keys"], np.uint64)
+        order, _ = by_bucket(keys, buckets)
+        count, of = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        count[order] = np.frombuffer(b"".join(x["counts"] for x in told), np.int64)
+        of[order] = np.frombuffer(b"".join(x["classes"] for x in told), small)
+        new = count == 0
+        of[new] = m.cls[unit_of(keys[new], m.frequent)[0]]
+        at = sequence(row)
+        sizes = np.frombuffer(row["sizes"], "<i8")
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        c = of[at]
+        before = np.concatenate(([classes - 1], c[:-1]))         # a text follows an end
+        seen = np.bincount(doc, np.log10(count + 0.5)[at], len(sizes))
+        local = np.bincount(doc, m.transition[before, c] - m.emission[c], len(sizes))
+        known = np.bincount(doc, (count > 0)[at], len(sizes)).astype(np.int64)
+        return pa.table({"doc_id": left.column("ids").combine_chunks().flatten(),
+                         "held_out": left.column("held").combine_chunks().flatten(), "n_tokens": sizes, "n_known": known,
+                         "train_tokens": np.full(len(sizes), n_train, np.int64),
+                         "base_score": seen - sizes * base, "score": seen + local})
+
+    none = F.lit(None).cast("binary")
+    asked = (rows.select("chunk", "keys").mapInArrow(ask, "bucket int, chunk long, keys binary")
+             .select("bucket", "chunk", "keys", none.alias("counts"), none.alias("classes")))
+    words = voc.table.select("bucket", F.lit(None).cast("long").alias("chunk"), "keys", "counts", "classes")
+    dealt = (words.unionByName(asked).repartition(buckets, "bucket")
+             .sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first()))
+    told = dealt.mapInArrow(look_up, "chunk long, bucket int, counts binary, classes binary")
+    return rows.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+        texts, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+               "base_score double, score double")

@@ -171,6 +171,28 @@ def test_brown_counts_and_scores(docs, empty):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0) and abs(r.score) < 1e-9 and abs(r.base_score) < 1e-9
 
 
+def test_brown_moves_every_word_by_its_contexts(spark):
+    rng = random.Random(4)
+    # Two kinds of rare words that alternate; length and last byte are the same for all of them.
+    kinds = [[f"{k}{i:02d}z" for i in range(40)] for k in "pq"]
+    alternating = [[rng.choice(kinds[i % 2]) for i in range(12)] for _ in range(300)]
+    model, voc = brown.fit(table(spark, [(k, " ".join(t), "en") for k, t in enumerate(alternating)]),
+                           classes=8, unit_share=0.5)
+    other = [t[::2] + t[1::2] for t in alternating[:20]]       # the same words, kinds no longer alternate
+    docs = table(spark, [(k, " ".join(t), "en") for k, t in enumerate(alternating[:20] + other)])
+    got = {r.doc_id: r for r in brown.score(docs, model, voc, F.lit(False)).collect()}
+    for k in range(20):
+        assert got[k].base_score == pytest.approx(got[20 + k].base_score)
+        assert got[k].score > got[20 + k].score + 1
+    classes = {}
+    for r in voc.table.collect():
+        assert len(r.classes) == len(r["keys"]) // 8
+        classes |= dict(zip(np.frombuffer(r["keys"], np.uint64).tolist(), r.classes))
+    assert len(classes) == voc.n_types == 81
+    of = [{classes[k] for k in brown.tokens([w.encode() for w in kind])[0][::2].tolist()} for kind in kinds]
+    assert not of[0] & of[1]
+
+
 def test_exchange_raises_the_class_likelihood():
     rng = np.random.default_rng(5)
     kind = np.append(rng.integers(0, 2, 29), 0)                # two hidden classes that alternate
