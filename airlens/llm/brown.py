@@ -501,7 +501,7 @@ def exchange_words(train: DataFrame, voc: Vocabulary, bigrams: np.ndarray, cls:
         start_of_sweep, fell = high, False
         for part in range(parts):
             dealt = words.unionByName(over(messages(part, parts), answers, _MESSAGE))
-            dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first())
+            dealt = dealt.repartition(min(n_parts, buckets), "bucket").sortWithinPartitions("bucket", F.col("chunk").asc_nulls_first())
             new = stage(dealt.mapInArrow(decide(c), _ANSWER), "brown-classes", blobs=True)
             if not new.where("chunk is null").agg(F.sum("moved")).first()[0]:
                 continue
